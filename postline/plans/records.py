@@ -261,8 +261,6 @@ def stamp_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.stamp(stamped, search_shard="north", search_is_remote=True)
 
 
-ALIGNED = """
-SELECT CAST(NULL AS STRING) AS apply_url, seq, 'linkedin' AS site, title FROM postings WHERE 1 = 0"""
 
 
 @query(
