@@ -261,7 +261,7 @@ def direct_then_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     "jn_10_fallback_merge",
     "JN-10 FLT-09",
     oracle(
-        f"SELECT seq, CASE WHEN {clean('title')} IS NULL THEN source ELSE title END AS title, CASE WHEN {clean('description')} IS NULL THEN job_function ELSE description END AS description FROM postings",
+        f"SELECT seq, CASE WHEN {clean('title')} IS NULL THEN source ELSE title END AS title, CASE WHEN {clean('description')} IS NULL AND job_function IS NOT NULL THEN job_function ELSE description END AS description FROM postings",
         "postings",
     ),
 )

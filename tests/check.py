@@ -75,9 +75,9 @@ def compare(spark, con, q, sf_dir: str) -> str | None:
     odd = [f"{c}: {t} != {kinds[c]}" for c, t in df.dtypes if kind_of(t) != kinds[c]]
     left, right = rows_of(df.columns, got), rows_of(names, want)
     if left != right:
-        diff = [(a, b) for a, b in zip(left, right) if a != b][:1]
-        only_l = [r for r in left if r not in set(right)][:2]
-        only_r = [r for r in right if r not in set(left)][:2]
+        in_left, in_right = set(left), set(right)
+        only_l = [r for r in left if r not in in_right][:2]
+        only_r = [r for r in right if r not in in_left][:2]
         return f"rows {len(left)}/{len(right)}\n   spark {only_l}\n   sql   {only_r}\n   cols {sorted(names)}"
     if odd:
         return f"types {odd}"
