@@ -160,19 +160,41 @@ def strip_attributes(html: Column, tag: str) -> Column:
     return F.regexp_replace(html, pattern, "$1>")
 
 
-def sections(parts: list[tuple[str | None, Column]], style: str = "markdown") -> Column:
-    """Titled sections under each other; blank ones are left out."""
-    mark = {"markdown": ("### ", "\n\n"), "html": ("<h3>", "</h3>"), "plain": ("", "\n")}[style]
-    joiner = "\n" if style == "html" else "\n\n"
+def sections(parts: list[tuple[str | None, Column]], style: str = "markdown", level: int = 3) -> Column:
+    """Titled sections under each other; blank ones are left out.
+
+    Level 3 is the form of feeds (`### t`, blank line), level 2 of careers
+    sites (`## t`, next line).
+    """
+    gap = "\n\n" if level == 3 else "\n"
+    before, after = {
+        "markdown": ("#" * level + " ", gap),
+        "html": (f"<h{level}>", f"</h{level}>"),
+        "plain": ("", "\n"),
+    }[style]
+    joiner = "\n\n" if style != "html" else "\n" if level == 3 else ""
     made = []
     for title, content in parts:
         body = clean_text(content)
-        head = "" if title is None else f"{mark[0]}{title}{mark[1]}"
+        head = "" if title is None else f"{before}{title}{after}"
         made.append(F.when(body.isNotNull(), strip(F.concat(F.lit(head), body))))
     kept = F.filter(F.array(*made), lambda x: x.isNotNull())
     return F.nullif(F.array_join(kept, joiner), F.lit(""))
 
 
+def bullet_lines(c: Column, style: str = "markdown") -> Column:
+    """Several lines become a list; one line stays as it is."""
+    lines = F.filter(F.transform(F.split(c, r"\r\n|\n|\r"), strip), lambda x: x != "")
+    many = F.size(lines) > 1
+    if style == "plain":
+        return F.array_join(lines, "\n")
+    if style == "html":
+        items = F.concat(F.lit("<ul><li>"), F.array_join(lines, "</li><li>"), F.lit("</li></ul>"))
+        return F.when(many, items).otherwise(F.concat(F.lit("<p>"), F.array_join(lines, ""), F.lit("</p>")))
+    marked = F.array_join(F.transform(lines, lambda x: F.concat(F.lit("- "), x)), "\n")
+    return F.when(many, marked).otherwise(F.array_join(lines, ""))
+
+
 @F.pandas_udf(StringType())
 def html_unescape(values: pd.Series) -> pd.Series:
     return values.map(html_lib.unescape, na_action="ignore")

@@ -11,6 +11,7 @@ from postline.functions.payload import empty_payload
 from postline.functions.text import non_blank
 from postline.operators.folding import duplicate_groups, merge_payloads
 from postline.operators.skew import attach
+from postline.session import cut_lineage
 
 MAX_DATES = ("reposted_at", "fetched_at", "updated_at")
 WINNER_FIRST = ("source", "external_id")
@@ -45,14 +46,16 @@ def rank_order() -> Column:
 def duplicate_mapping(jobs: DataFrame, cards: DataFrame, others: Iterable[DataFrame]) -> DataFrame:
     """loser_id, winner_id, job_url of rows that share a link.
 
-    Only links with several rows go on. The winner is an aggregate, joined
-    back with hot links split, so no window sorts a whole group in one task.
+    The winner is an aggregate, joined back with hot links split, so no
+    window sorts a whole group in one task.
     """
-    slim = jobs.select("id", "job_url", "updated_at", "fetched_at")
-    shared = attach(slim, duplicate_groups(slim).select("job_url"), ["job_url"], F.col("id"), "inner")
-    ranked = reference_counts(shared, cards, others)
-    winners = ranked.groupBy("job_url").agg(F.max_by("id", rank_order()).alias("winner_id"))
-    pairs = attach(ranked.select("id", "job_url"), winners, ["job_url"], F.col("id"), "inner")
+    slim = jobs.where(F.col("job_url").isNotNull()).select("id", "job_url", "updated_at", "fetched_at")
+    ranked = reference_counts(slim, cards, others)
+    winners = ranked.groupBy("job_url").agg(
+        F.max_by("id", rank_order()).alias("winner_id"), F.count("*").alias("_rows")
+    )
+    shared = winners.where("_rows > 1")
+    pairs = attach(slim.select("id", "job_url"), shared, ["job_url"], F.col("id"), "inner", size="_rows")
     return pairs.where("id <> winner_id").select(F.col("id").alias("loser_id"), "winner_id", "job_url")
 
 
@@ -111,7 +114,8 @@ def merge_losers(jobs: DataFrame, mapping: DataFrame, payload: str = "raw_json")
     own; the named ones are folded per winner. Losers apply in rank order, so
     the lowest-ranked loser with a value has the last word. Text of losers
     overrides the winner's, source and external id are the winner's first,
-    dates take the newest, payload keys the last.
+    dates take the newest, payload keys the last. The mapping is read several
+    times: pass it with its lineage cut.
     """
     touched = touched_ids(mapping)
     marked = jobs.join(touched, "id", "left")
@@ -150,7 +154,7 @@ def delete_losers(jobs: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def enforce_unique(jobs: DataFrame, cards: DataFrame, others: Iterable[DataFrame]) -> DataFrame:
     """Stored rows with one row per link."""
-    return merge_losers(jobs, duplicate_mapping(jobs, cards, others))
+    return merge_losers(jobs, cut_lineage(duplicate_mapping(jobs, cards, others)))
 
 
 def assert_unique(jobs: DataFrame, key: str = "job_url") -> DataFrame:

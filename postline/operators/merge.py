@@ -16,6 +16,7 @@ from postline.functions.lookups import BOARD_SOURCES
 from postline.operators.dedup import activate_reposted, collision_mapping, merge_losers
 from postline.operators.records import is_direct_page
 from postline.operators.skew import attach
+from postline.session import cut_lineage
 
 # Columns of a summary; none of them alone makes a row changed.
 SUMMARY_COLUMNS = (
@@ -78,7 +79,7 @@ def realign_links(current: DataFrame, staged: DataFrame) -> DataFrame:
     moves = slim.join(new, ["source", "external_id"]).where(~F.col("job_url").eqNullSafe(F.col("new_url")))
     taken = current.select(F.col("job_url").alias("new_url")).join(new.select("new_url"), "new_url", "left_semi")
     free = moves.join(taken, "new_url", "left_anti")
-    chosen = free.groupBy("new_url").agg(F.min("id").alias("id"))
+    chosen = cut_lineage(free.groupBy("new_url").agg(F.min("id").alias("id")))
     joined = current.join(chosen, "id", "left")
     return joined.withColumn("job_url", F.coalesce("new_url", "job_url")).select(*current.columns)
 
@@ -251,10 +252,12 @@ def upsert_postings(
     """The whole batch: dates, identity collisions, realigned links, upsert, reactivation.
 
     Also gives the collision mapping (for the facts) and the parsed rows.
-    `current` has one row per link; see dedup.enforce_unique.
+    `current` has one row per link; see dedup.enforce_unique. The batch and
+    the mapping, both small beside the stored rows, are written once because
+    every later step reads them; the stored rows are not.
     """
-    staged = default_dates(staged, run_ts)
-    mapping = collision_mapping(current, staged)
+    staged = cut_lineage(default_dates(staged, run_ts))
+    mapping = cut_lineage(collision_mapping(current, staged))
     aligned = realign_links(merge_losers(current, mapping), staged)
     result = upsert(aligned, staged, run_ts, next_id, **options)
     active = None if parsed is None else activate_reposted(parsed, result.snapshot, staged)

@@ -17,23 +17,24 @@ def attach(
     spread: Column,
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    size: str | None = None,
 ) -> DataFrame:
     """Join many rows to a side that has at most one row per key.
 
     Keys with more than `hot_rows` rows are split over several tasks: their
     rows get a salt from `spread` (any expression that differs between rows)
     and the side's row is repeated once per salt. Finding them costs one
-    aggregate over the key columns only. The list of hot keys is broadcast;
-    it holds at most rows / hot_rows entries of 16 bytes.
+    aggregate over the key columns only, or nothing when `size` names the
+    side's column that holds the rows per key. The list of hot keys is
+    broadcast; it holds at most rows / hot_rows entries of 16 bytes.
     """
+    mark = F.xxhash64(*keys).alias("_mark")
+    counts = rows.groupBy(mark).agg(F.count("*").alias("_n"))
+    if size is not None:
+        counts = side.groupBy(mark).agg(F.max(size).alias("_n"))
     mark = F.xxhash64(*keys)
-    hot = (
-        rows.groupBy(mark.alias("_mark"))
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select("_mark", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
-    )
-    hot = F.broadcast(hot)
+    big = counts.where(F.col("_n") > hot_rows)
+    hot = F.broadcast(big.select("_mark", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")))
     salted = rows.withColumn("_mark", mark).join(hot, "_mark", "left")
     salt = F.pmod(F.xxhash64(spread), F.coalesce("_salts", F.lit(1))).cast("int")
     salted = salted.withColumn("_salt", salt).drop("_salts", "_mark")

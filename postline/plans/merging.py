@@ -11,6 +11,7 @@ from postline.plans.derive import RUN_DATE, derived, oracle
 from postline.plans.folding import BATCH_KEYS, FOLDED, payload_sql, staged, with_payload
 from postline.plans.records import clean
 from postline.plans.registry import query
+from postline.session import cut_lineage
 
 C = F.col
 RUN_TS = f"{RUN_DATE} 12:00:00"
@@ -104,7 +105,7 @@ SELECT * FROM folded UNION ALL SELECT {', '.join(STORED_SHOWN)}, {payload_sql({p
 def merge_losers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards, others = facts(spark, sf_dir)
     rows = stored(spark, sf_dir)
-    return show(dedup.merge_losers(rows, dedup.duplicate_mapping(rows, cards, others)))
+    return show(dedup.enforce_unique(rows, cards, others))
 
 
 @query("mrg_07_delete_losers", "MRG-07", oracle(f"SELECT id, job_url FROM stored WHERE id NOT IN (SELECT loser_id FROM ({MAPPING}) AS m)", *ALL_FACTS))
@@ -118,7 +119,7 @@ def delete_losers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assert_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards, others = facts(spark, sf_dir)
     rows = stored(spark, sf_dir)
-    return dedup.assert_unique(dedup.merge_losers(rows, dedup.duplicate_mapping(rows, cards, others)))
+    return dedup.assert_unique(dedup.enforce_unique(rows, cards, others))
 
 
 def repointed(body: str, table: str) -> str:
@@ -161,7 +162,7 @@ FROM named GROUP BY 1, 2 UNION ALL SELECT {', '.join(MATCH_SHOWN)} FROM rest""",
 )
 def repoint_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards, others = facts(spark, sf_dir)
-    mapping = dedup.duplicate_mapping(derived(spark, sf_dir, "stored"), cards, others)
+    mapping = cut_lineage(dedup.duplicate_mapping(derived(spark, sf_dir, "stored"), cards, others))
     return dedup.repoint_facts(others[0], mapping, dedup.MATCH_RULES, ("user_id", "job_id")).select(*MATCH_SHOWN)
 
 
@@ -186,7 +187,7 @@ def repoint_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postline.operators.records import json_text
 
     cards, others = facts(spark, sf_dir)
-    mapping = dedup.duplicate_mapping(derived(spark, sf_dir, "stored"), cards, others)
+    mapping = cut_lineage(dedup.duplicate_mapping(derived(spark, sf_dir, "stored"), cards, others))
     data = F.create_map(F.lit("note"), json_text(C("d_note")), F.lit("step"), json_text(C("d_step")))
     rows = cards.withColumn("common_data", F.map_filter(data, lambda _, v: v.isNotNull())).drop("d_note", "d_step")
     out = dedup.repoint_facts(rows, mapping, dedup.CARD_RULES, ("user_id", "job_id"))
@@ -211,7 +212,7 @@ FROM named GROUP BY 1, 2, 3 UNION ALL SELECT {', '.join(SENT_SHOWN)} FROM rest""
 )
 def repoint_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards, others = facts(spark, sf_dir)
-    mapping = dedup.duplicate_mapping(derived(spark, sf_dir, "stored"), cards, others)
+    mapping = cut_lineage(dedup.duplicate_mapping(derived(spark, sf_dir, "stored"), cards, others))
     keys = ("user_id", "job_id", "service_name")
     return dedup.repoint_facts(others[1], mapping, dedup.DELIVERY_RULES, keys).select(*SENT_SHOWN)
 
