@@ -267,6 +267,11 @@ def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text)
 
 
+def derived_from(rows: DataFrame, name: str) -> DataFrame:
+    """The same derivation over rows at hand, e.g. a micro-batch; for texts that read one table."""
+    return rows.sparkSession.sql(re.sub(r"\{\w+\}", "{rows}", DERIVED[name]), rows=rows)
+
+
 def oracle(body: str, *names: str, **views: str) -> str:
     """SQL for the check: the named derived tables as CTEs before the body."""
     parts = [f"{n} AS ({DERIVED[n].format(**{g: g for g in GIVEN}).strip()})" for n in names]

@@ -30,7 +30,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="postline-checkpoint-")
+    folder = tempfile.mkdtemp(prefix="postline-checkpoint-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
