@@ -19,45 +19,39 @@ def iso_date(c: Column) -> Column:
     return found(clean_text(c), ISO).try_cast("date")
 
 
-def _numeric(c: Column, pattern: str, order: tuple[int, int, int]) -> Column:
-    text = clean_text(c)
+def _numeric(text: Column, pattern: str, order: tuple[int, int, int]) -> Column:
     year, month, day = (F.regexp_extract(text, pattern, g) for g in order)
-    return F.concat_ws("-", year, month, day).try_cast("date")
-
-
-def slash_ymd(c: Column) -> Column:
-    return _numeric(c, r"^(\d{4})/(\d{1,2})/(\d{1,2})$", (1, 2, 3))
-
-
-def slash_dmy(c: Column) -> Column:
-    return _numeric(c, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", (3, 2, 1))
+    return F.when(text.rlike(pattern), F.concat_ws("-", year, month, day).try_cast("date"))
 
 
-def slash_mdy(c: Column) -> Column:
-    return _numeric(c, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", (3, 1, 2))
-
-
-def worded(c: Column, pattern: str, fmt: str) -> Column:
-    text = clean_text(c)
+def _worded(text: Column, pattern: str, fmt: str) -> Column:
     return F.when(text.rlike(pattern), F.try_to_date(text, fmt))
 
 
 def parse_date(c: Column, style: str = "record") -> Column:
     """First form that fits. Styles differ in the forms tried after ISO."""
-    day_word = worded(c, r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy")
+    return parse_clean_date(clean_text(c), style)
+
+
+def parse_clean_date(text: Column, style: str = "record") -> Column:
+    """parse_date of text that is clean already."""
+    slash_ymd = _numeric(text, r"^(\d{4})/(\d{1,2})/(\d{1,2})$", (1, 2, 3))
+    slash_dmy = _numeric(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", (3, 2, 1))
+    slash_mdy = _numeric(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", (3, 1, 2))
+    day_word = _worded(text, r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy")
     forms = {
-        "record": [slash_ymd(c)],
-        "feed": [slash_ymd(c), slash_dmy(c), slash_mdy(c)],
+        "record": [slash_ymd],
+        "feed": [slash_ymd, slash_dmy, slash_mdy],
         "careers": [day_word],
         "board": [
             day_word,
-            worded(c, r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
-            worded(c, r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
-            worded(c, r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
-            slash_dmy(c),
+            _worded(text, r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+            _worded(text, r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
+            _worded(text, r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+            slash_dmy,
         ],
     }[style]
-    return F.coalesce(iso_date(c), *forms)
+    return F.coalesce(found(text, ISO).try_cast("date"), *forms)
 
 
 def epoch_date(c: Column, unit: str = "seconds") -> Column:

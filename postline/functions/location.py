@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from postline.functions.lookups import (
     look_up,
     review_domains,
 )
-from postline.functions.text import clean_text, strip
+from postline.functions.text import BLANK_CLASS, clean_text, strip
 
 
 def country_key(c: Column) -> Column:
@@ -58,9 +59,13 @@ def display_location(loc: Column) -> Column:
     return F.concat_ws(", ", *shown)
 
 
-def _pieces(text: Column, keep_blank: bool = False) -> Column:
-    cut = F.transform(F.split(text, ","), strip)
-    return cut if keep_blank else F.filter(cut, lambda x: x != "")
+def _pieces(line: Column, keep_blank: bool = False) -> Column:
+    """Pieces between commas, trimmed; blank ones go unless kept. Built without
+    per-item functions, so the whole rule stays in generated code."""
+    comma = rf"{BLANK_CLASS}*,{BLANK_CLASS}*"
+    if keep_blank:
+        return F.split(F.regexp_replace(line, comma, ","), ",")
+    return F.split(F.btrim(F.regexp_replace(line, rf"(?:{comma})+", ","), F.lit(",")), ",")
 
 
 def _at(parts: Column, i: int) -> Column:
@@ -69,61 +74,95 @@ def _at(parts: Column, i: int) -> Column:
 
 def _front(parts: Column, drop: int) -> Column:
     """All but the last `drop` pieces, joined."""
-    return F.nullif(F.array_join(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - drop, F.lit(0))), ", "), F.lit(""))
+    return F.array_join(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - drop, F.lit(0))), ", ")
+
+
+def _let(value: Column, rule: Callable[[Column], Column]) -> Column:
+    """The rule over a value that is computed once, however often the rule reads it."""
+    return F.get(F.transform(F.array(value), rule), F.lit(0))
 
 
 def parse_location(text: Column, style: str, country: Column | None = None) -> Column:
     """Location of a text in the writing style of its source."""
     home = F.lit(None).cast("string") if country is None else country
-    line = clean_text(text)
-    parts = _pieces(line)
-    n = F.size(parts)
-    if style == "linkedin":
-        return (
-            F.when(n == 2, place(_at(parts, 1), _at(parts, 2), home))
-            .when(n >= 3, place(_at(parts, 1), _at(parts, 2), _at(parts, -1)))
-            .otherwise(place(None, None, home))
-        )
-    if style == "glassdoor":
-        city = F.substring_index(line, ", ", 1)
-        state = F.when(F.contains(line, F.lit(", ")), F.regexp_replace(line, r"^.*?, ", "")).otherwise(F.lit(""))
-        return F.when(line != "Remote", place(city, state, None))
-    if style == "greenhouse":
-        raw = _pieces(line, keep_blank=True)
-        return F.when(F.size(raw) == 2, place(_at(raw, 1), _at(raw, 2), None)).when(
+    if style not in _STYLES:
+        raise ValueError(f"unknown location style: {style}")
+    return _let(clean_text(text), lambda line: _STYLES[style](line, home))
+
+
+def _linkedin(line: Column, home: Column) -> Column:
+    return _let(
+        _pieces(line),
+        lambda p: F.when(F.size(p) == 2, place(_at(p, 1), _at(p, 2), home))
+        .when(F.size(p) >= 3, place(_at(p, 1), _at(p, 2), _at(p, -1)))
+        .otherwise(place(None, None, home)),
+    )
+
+
+def _glassdoor(line: Column, home: Column) -> Column:
+    city = F.substring_index(line, ", ", 1)
+    state = F.substring(line, F.length(city) + 3, F.length(line))
+    return F.when(line != "Remote", place(city, state, None))
+
+
+def _greenhouse(line: Column, home: Column) -> Column:
+    return _let(
+        _pieces(line, keep_blank=True),
+        lambda p: F.when(F.size(p) == 2, place(_at(p, 1), _at(p, 2), None)).when(
             line.isNotNull(), place(None, None, line)
-        )
-    if style == "eightfold":
-        after = F.regexp_replace(line, r"^[^-]*-", "")
-        city = clean_text(F.substring_index(after, "(", 1))
-        return (
-            F.when(n >= 3, place(_front(parts, 2), _at(parts, -2), _at(parts, -1)))
-            .when(n == 2, place(_at(parts, 1), None, _at(parts, 2)))
-            .when(F.contains(line, F.lit("-")), place(city, None, clean_text(F.substring_index(line, "-", 1))))
-            .when(line.isNotNull(), place(None, None, line))
-        )
-    if style == "workday":
-        tidy = tidy_office(line)
-        bits = _pieces(tidy)
-        rest = F.array_join(F.slice(bits, 2, F.greatest(F.size(bits) - 1, F.lit(1))), ", ")
-        return F.when(F.size(bits) >= 2, place(_at(bits, 1), rest, home)).otherwise(
-            F.when(tidy.isNotNull(), place(tidy, None, home)).when(home.isNotNull(), place(None, None, home))
-        )
-    if style == "naukri":
-        bits = F.split(line, ", ")
-        return F.when(line.isNotNull(), place(_at(bits, 1), _at(bits, 2), F.lit("india"))).otherwise(
-            place(None, None, F.lit("india"))
-        )
-    if style == "bdjobs":
-        raw = _pieces(line, keep_blank=True)
-        return F.when(F.size(raw) >= 2, place(_at(raw, 1), _at(raw, 2), F.lit("bangladesh"))).otherwise(
+        ),
+    )
+
+
+def _eightfold(line: Column, home: Column) -> Column:
+    after = F.substring(line, F.locate("-", line) + 1, F.length(line))
+    dashed = place(clean_text(F.substring_index(after, "(", 1)), None, clean_text(F.substring_index(line, "-", 1)))
+    return _let(
+        _pieces(line),
+        lambda p: F.when(F.size(p) >= 3, place(_front(p, 2), _at(p, -2), _at(p, -1)))
+        .when(F.size(p) == 2, place(_at(p, 1), None, _at(p, 2)))
+        .when(F.contains(line, F.lit("-")), dashed)
+        .when(line.isNotNull(), place(None, None, line)),
+    )
+
+
+def _workday(line: Column, home: Column) -> Column:
+    return _let(tidy_office(line), lambda tidy: _office(tidy, home))
+
+
+def _naukri(line: Column, home: Column) -> Column:
+    parts = F.split(line, ", ")
+    return place(_at(parts, 1), _at(parts, 2), F.lit("india"))
+
+
+def _bdjobs(line: Column, home: Column) -> Column:
+    return _let(
+        _pieces(line, keep_blank=True),
+        lambda p: F.when(F.size(p) >= 2, place(_at(p, 1), _at(p, 2), F.lit("bangladesh"))).otherwise(
             place(line, None, F.lit("bangladesh"))
-        )
-    if style == "meta":
-        return F.when(n >= 2, place(_front(parts, 1), None, _at(parts, -1))).when(
+        ),
+    )
+
+
+def _meta(line: Column, home: Column) -> Column:
+    return _let(
+        _pieces(line),
+        lambda p: F.when(F.size(p) >= 2, place(_front(p, 1), None, _at(p, -1))).when(
             line.isNotNull(), place(None, None, line)
-        )
-    raise ValueError(f"unknown location style: {style}")
+        ),
+    )
+
+
+_STYLES: dict[str, Callable[[Column, Column], Column]] = {
+    "linkedin": _linkedin,
+    "glassdoor": _glassdoor,
+    "greenhouse": _greenhouse,
+    "eightfold": _eightfold,
+    "workday": _workday,
+    "naukri": _naukri,
+    "bdjobs": _bdjobs,
+    "meta": _meta,
+}
 
 
 def tidy_office(c: Column) -> Column:
@@ -133,11 +172,28 @@ def tidy_office(c: Column) -> Column:
     return clean_text(F.regexp_replace(strip(front), r"\s*-\s*[A-Z]{2,4}$", ""))
 
 
+def _office(tidy: Column, country: Column) -> Column:
+    """Place of one tidy office text; the country alone when there is none."""
+    return _let(
+        _pieces(tidy),
+        lambda p: F.when(
+            F.size(p) >= 2,
+            place(_at(p, 1), F.array_join(F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(1))), ", "), country),
+        )
+        .when(tidy.isNotNull(), place(tidy, None, country))
+        .when(country.isNotNull(), place(None, None, country)),
+    )
+
+
 def join_offices(offices: Column, country: Column) -> Column:
     """Several offices of one posting: one is split, more are joined by a slash."""
     clean = F.array_distinct(F.filter(F.transform(offices, tidy_office), lambda x: x.isNotNull()))
-    many = place(F.array_join(clean, " / "), None, country)
-    return F.when(F.size(clean) > 1, many).otherwise(parse_location(_at(clean, 1), "workday", country))
+    return _let(
+        clean,
+        lambda c: F.when(F.size(c) > 1, place(F.array_join(c, " / "), None, country)).otherwise(
+            _office(_at(c, 1), country)
+        ),
+    )
 
 
 def active_place(places: Column) -> Column:

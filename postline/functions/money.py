@@ -15,8 +15,13 @@ PAY_RANGE = (
 
 
 def safe_int(c: Column) -> Column:
-    """Whole part of numeric text; anything else is null."""
-    return clean_text(c).try_cast("double").try_cast("bigint")
+    """Whole part of numeric text; anything else is null.
+
+    Other text is sorted out by a pattern first: a failing cast costs an
+    exception per row.
+    """
+    number = F.regexp_extract(clean_text(c), r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$", 0)
+    return F.when(number != "", number.try_cast("double").try_cast("bigint"))
 
 
 def parse_bool(c: Column) -> Column:

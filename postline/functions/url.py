@@ -1,21 +1,18 @@
 """URL rules on the generic split of RFC 3986, appendix B.
 
-Built on regular expressions and not on parse_url: posted links often hold
-spaces or stray characters, which parse_url answers with null.
+Built on substring steps and not on parse_url: posted links often hold spaces
+or stray characters, which parse_url answers with null.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postline.functions.text import clean_text, slug
 
-HEAD = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
-
-
 @dataclass(frozen=True)
 class Parts:
     """The pieces of one URL column."""
@@ -49,7 +46,11 @@ class Parts:
         return clean_text(F.try_url_decode(raw))
 
 
+HEAD = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
+
+
 def split_url(url: Column) -> Parts:
+    """The pieces as expressions; for several links of a table see cut_urls."""
     text = clean_text(url)
     return Parts(
         scheme=F.lower(F.regexp_extract(text, r"^([A-Za-z][A-Za-z0-9+.\-]*)://", 1)),
@@ -59,6 +60,39 @@ def split_url(url: Column) -> Parts:
     )
 
 
+def cut_urls(df: DataFrame, links: dict[str, str]) -> DataFrame:
+    """Add `_<prefix>_scheme`, `_host`, `_path` and `_query` of clean link columns.
+
+    Cuts at the first `#`, `?`, `://` and `/` in turn, with plain substring
+    steps. Each step is a projection of its own, so nothing is computed twice;
+    Spark runs them as one generated loop.
+    """
+    def step(df: DataFrame, make) -> DataFrame:
+        made = {}
+        for column, prefix in links.items():
+            made |= {f"_{prefix}_{k}": v for k, v in make(F.col(column), lambda k: F.col(f"_{prefix}_{k}")).items()}
+        return df.withColumns(made)
+
+    df = step(df, lambda c, at: {"whole": F.substring_index(c, "#", 1)})
+    df = step(df, lambda c, at: {"page": F.substring_index(at("whole"), "?", 1)})
+    df = step(df, lambda c, at: {"colon": F.locate("://", at("page"))})
+    df = step(
+        df,
+        lambda c, at: {
+            "rest": F.when(at("colon") > 0, F.substring(at("page"), at("colon") + 3, F.length(at("page")))).otherwise(""),
+            "scheme": F.lower(F.left(at("page"), F.greatest(at("colon") - 1, F.lit(0)))),
+            "query": F.substring(at("whole"), F.length(at("page")) + 2, F.length(at("whole"))),
+        },
+    )
+    df = step(df, lambda c, at: {"host": F.substring_index(at("rest"), "/", 1)})
+    df = step(df, lambda c, at: {"path": F.substring(at("rest"), F.length(at("host")) + 1, F.length(at("rest")))})
+    return df.drop(*[f"_{p}_{k}" for p in links.values() for k in ("whole", "page", "colon", "rest")])
+
+
+def cut_parts(prefix: str) -> Parts:
+    return Parts(*[F.col(f"_{prefix}_{x}") for x in ("scheme", "host", "path", "query")])
+
+
 def found(text: Column, pattern: str, group: int = 1) -> Column:
     """First match of a pattern, null when there is none."""
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postline.functions.dates import parse_date
+from postline.functions.dates import parse_clean_date
 from postline.functions.money import safe_int, salary_text
 from postline.functions.text import clean_text, first_non_blank, work_type
-from postline.functions.url import Parts, found, page_url, page_url_with_query, path_parts, profile_url, split_url
+from postline.functions.url import (
+    Parts,
+    cut_parts,
+    cut_urls,
+    found,
+    page_url,
+    page_url_with_query,
+    path_parts,
+    profile_url,
+    split_url,
+)
 from postline.sources.specs import SPECS, SourceSpec
 
 RECORD_COLUMNS = (
@@ -93,9 +102,10 @@ def raw_payload(df: DataFrame, skip: tuple[str, ...] = ("seq",)) -> Column:
 
 
 def json_text(c: Column) -> Column:
-    """A text as JSON text, quoted and escaped."""
+    """A text as JSON text, quoted; only texts that need escapes go through the JSON writer."""
     boxed = F.to_json(F.struct(c.alias("v")))
-    return F.when(c.isNotNull(), F.substring(boxed, F.lit(6), F.length(boxed) - 6))
+    escaped = F.substring(boxed, F.lit(6), F.length(boxed) - 6)
+    return F.when(c.rlike(r'[\x00-\x1f"\\]'), escaped).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
 
 
 def _choose(source: Column, rule: Callable[[SourceSpec], Column | None], *fields: str) -> Column:
@@ -144,7 +154,10 @@ def canonical_link(spec: SourceSpec, p: Parts, link_id: Column) -> Column:
 
 def valid_link(src: Column, job_url: Column) -> Column:
     """The raw link fits its source. One pattern per row, on the raw text only."""
-    text = clean_text(job_url)
+    return _valid(src, clean_text(job_url))
+
+
+def _valid(src: Column, text: Column) -> Column:
     return F.coalesce(_choose(src, lambda s: text.rlike(s.valid), "valid"), F.lit(False))
 
 
@@ -157,25 +170,6 @@ def canonical_url(source: Column, url: Column) -> tuple[Column, Column]:
     return F.when(ok, link), F.when(ok, link_id)
 
 
-def _parts(prefix: str) -> Parts:
-    return Parts(*[F.col(f"_{prefix}_{x}") for x in ("scheme", "host", "path", "query")])
-
-
-def _with_parts(df: DataFrame, links: dict[str, str]) -> DataFrame:
-    made = {}
-    for column, prefix in links.items():
-        text = f"_{prefix}_text"
-        p = split_url(F.col(column))
-        made |= {
-            text: clean_text(F.col(column)),
-            f"_{prefix}_scheme": p.scheme,
-            f"_{prefix}_host": p.host,
-            f"_{prefix}_path": p.path,
-            f"_{prefix}_query": p.query,
-        }
-    return df.withColumns(made)
-
-
 def complete_raw(df: DataFrame) -> DataFrame:
     """Add raw columns a landing table lacks, as nulls."""
     missing = {c: F.lit(None).cast("string") for c in RAW_TEXT if c not in df.columns}
@@ -188,30 +182,37 @@ def complete_raw(df: DataFrame) -> DataFrame:
 def map_records(raw: DataFrame, payload: Column | None = None) -> DataFrame:
     """Every raw row with its record columns, plus `seq` and `reject_reason`.
 
-    The links are split once, in a projection of their own; the record
-    columns then read the pieces. The reject reason reads raw columns only: a
+    Texts are cleaned once and links are split once, in projections of their
+    own; the record columns then read the pieces. The reject reason reads raw columns only: a
     filter on it moves down to the scan without dragging the mapping along.
     No shuffle, no Python.
     """
-    df = complete_raw(raw).withColumn("_src", detect_source(F.col("site"), F.col("source")))
-    df = _with_parts(df, {"job_url": "j", "company_url": "c", "apply_url": "a"})
-    src, j, c, a = F.col("_src"), _parts("j"), _parts("c"), _parts("a")
-    ctext, atext = F.col("_c_text"), F.col("_a_text")
-    direct = clean_text(F.col("job_url_direct"))
+    df = complete_raw(raw).select(
+        "seq",
+        "is_remote",
+        "min_amount",
+        "max_amount",
+        (raw_payload(raw) if payload is None else payload).alias("raw_json"),
+        *[clean_text(F.col(c)).alias(c) for c in RAW_TEXT],
+    )
+    src = F.col("_src")
+    df = df.withColumn("_src", F.lower(F.coalesce("site", "source", F.lit("linkedin"))))
+    df = cut_urls(df, {"job_url": "j", "company_url": "c", "apply_url": "a"})
+    j, c, a = cut_parts("j"), cut_parts("c"), cut_parts("a")
+    ctext, atext = F.col("company_url"), F.col("apply_url")
     df = df.withColumns(
         {
             "_link_id": _choose(src, lambda s: _link_id(s, j), "path_id", "query_id"),
             "_profile": profile_url(ctext, c),
-            "_direct": direct,
         }
     )
-    link_id, profile, direct = F.col("_link_id"), F.col("_profile"), F.col("_direct")
+    link_id, profile, direct = F.col("_link_id"), F.col("_profile"), F.col("job_url_direct")
     df = df.withColumn(
         "_link",
         _choose(src, lambda s: canonical_link(s, j, link_id), "canonical", "fixed_url", "query_id"),
     )
     link = F.col("_link")
-    text = functools.cache(lambda name: clean_text(F.col(name)))
+    text = F.col
 
     def external_id(s: SourceSpec) -> Column:
         if s.canonical == "hosted":
@@ -276,7 +277,7 @@ def map_records(raw: DataFrame, payload: Column | None = None) -> DataFrame:
     reason = (
         F.when(~src.isin(*[s.name for s in SPECS]), F.lit("unsupported_source"))
         .when(title.isNull(), F.lit("missing_title"))
-        .when(~valid_link(src, F.col("job_url")), F.lit("invalid_url"))
+        .when(~_valid(src, F.col("job_url")), F.lit("invalid_url"))
     )
     none = F.lit(None).cast("string")
     name = F.coalesce(text("company"), text("company_name"))
@@ -285,7 +286,7 @@ def map_records(raw: DataFrame, payload: Column | None = None) -> DataFrame:
         "title": title,
         "location": text("location"),
         "posted_time": text("date_posted"),
-        "published_at": parse_date(F.col("date_posted")),
+        "published_at": parse_clean_date(F.col("date_posted")),
         "job_url": link,
         "company_name": _choose(src, lambda s: name if s.name_fallback else text("company"), "name_fallback"),
         "company_url": _choose(src, company_link, *company),
@@ -304,7 +305,7 @@ def map_records(raw: DataFrame, payload: Column | None = None) -> DataFrame:
         "benefits": none,
         "source": F.coalesce(direct_page_source(F.col), _choose(src, lambda s: F.lit(s.source), "source")),
         "external_id": _choose(src, external_id, "canonical", "id_first"),
-        "raw_json": raw_payload(raw) if payload is None else payload,
+        "raw_json": F.col("raw_json"),
     }
     return df.select(
         F.col("seq"),

@@ -17,8 +17,15 @@ Columns = Callable[[], dict[str, Column]]
 C = F.col
 
 
-def project(name: str, covers: str, source: str, columns: Columns, sql: str | None, key: str = "seq") -> None:
-    """Register a row-by-row query: key plus columns over one derived or given table."""
+def project(
+    name: str, covers: str, source: str, columns: Columns, sql: str | None, key: str = "seq",
+    fields: dict[str, str] | None = None,
+) -> None:
+    """Register a row-by-row query: key plus columns over one derived or given table.
+
+    With `fields` (output name -> field of a struct column) the structs are
+    made in a first projection, so that each is computed once.
+    """
     sql_text = None
     if sql is not None:
         sql_text = oracle(sql, source) if source not in ("documents", "pages", "events") else sql
@@ -27,7 +34,8 @@ def project(name: str, covers: str, source: str, columns: Columns, sql: str | No
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         given = source in ("documents", "pages", "events")
         df = table(spark, sf_dir, source) if given else derived(spark, sf_dir, source)
-        return df.select(key, *[v.alias(k) for k, v in columns().items()])
+        made = df.select(key, *[v.alias(k) for k, v in columns().items()])
+        return made if fields is None else made.select(key, *[C(path).alias(out) for out, path in fields.items()])
 
 
 def title_sql(c: str) -> str:
@@ -408,19 +416,16 @@ FROM (SELECT *, CAST(floor(a) AS BIGINT) * f AS lo, CAST(floor(b) AS BIGINT) * f
 PAY_OK = "year_lo BETWEEN 1000 AND 700000 AND year_hi BETWEEN 1000 AND 700000 AND year_lo < year_hi"
 
 
-def _pay_columns() -> dict[str, Column]:
-    pay, year = money.extract_salary(C("description")), money.extract_salary(C("description"), annual=True)
-    return {
-        "pay_interval": pay["pay_interval"], "low": pay["min_amount"], "high": pay["max_amount"],
-        "currency": pay["currency"], "year_low": year["min_amount"], "year_high": year["max_amount"],
-    }
-
-
 project(
-    "sal_01_extract_salary", "SAL-01", "postings", _pay_columns,
+    "sal_01_extract_salary", "SAL-01", "postings",
+    lambda: {"pay": money.extract_salary(C("description")), "year": money.extract_salary(C("description"), annual=True)},
     f"""SELECT seq, CASE WHEN {PAY_OK} THEN unit END AS pay_interval, CASE WHEN {PAY_OK} THEN lo END AS low, CASE WHEN {PAY_OK} THEN hi END AS high,
         CASE WHEN {PAY_OK} THEN 'USD' END AS currency, CASE WHEN {PAY_OK} THEN year_lo END AS year_low, CASE WHEN {PAY_OK} THEN year_hi END AS year_high
         FROM ({PAY_SQL}) AS z""",
+    fields={
+        "pay_interval": "pay.pay_interval", "low": "pay.min_amount", "high": "pay.max_amount", "currency": "pay.currency",
+        "year_low": "year.min_amount", "year_high": "year.max_amount",
+    },
 )
 project(
     "sal_02_annualise", "SAL-02", "postings",
@@ -580,14 +585,13 @@ project(
 )
 
 
+STYLES = ("linkedin", "glassdoor", "greenhouse", "eightfold", "meta", "naukri", "bdjobs")
+
+
 def _places() -> dict[str, Column]:
-    out = {}
-    for style in ("linkedin", "glassdoor", "greenhouse", "eightfold", "meta", "naukri", "bdjobs"):
-        loc = location.parse_location(C("location"), style, F.lit("usa"))
-        out |= {f"{style}_city": loc["city"], f"{style}_state": loc["state"], f"{style}_country": loc["country"]}
+    out = {style: location.parse_location(C("location"), style, F.lit("usa")) for style in STYLES}
     offices = F.array(F.concat(F.lit("US-CA - "), C("location")), F.concat(C("location"), F.lit(" - HQ")), F.when(C("cust") % 2 == 0, "Haifa - IL"))
-    joined = location.join_offices(offices, F.lit("usa"))
-    return out | {"office_city": joined["city"], "office_state": joined["state"]}
+    return out | {"office": location.join_offices(offices, F.lit("usa"))}
 
 
 project(
@@ -603,6 +607,8 @@ project(
         CASE WHEN cust % 2 = 0 THEN concat_ws(' / ', location, 'Haifa') ELSE p[1] END AS office_city,
         CASE WHEN cust % 2 > 0 AND n >= 2 THEN array_to_string(p[2:], ', ') END AS office_state
         FROM (SELECT *, string_split(location, ', ') AS p, len(string_split(location, ', ')) AS n FROM postings) AS q""",
+    fields={f"{s}_{f}": f"{s}.{f}" for s in STYLES for f in ("city", "state", "country")}
+    | {"office_city": "office.city", "office_state": "office.state"},
 )
 KEYS = "['USA', 'UK', 'GERMANY', 'USA', NULL, 'WORLDWIDE', 'US_CANADA', 'SOUTHKOREA'][cust % 8 + 1]"
 project(
