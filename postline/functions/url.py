@@ -79,7 +79,9 @@ def cut_urls(df: DataFrame, links: dict[str, str]) -> DataFrame:
     df = step(
         df,
         lambda c, at: {
-            "rest": F.when(at("colon") > 0, F.substring(at("page"), at("colon") + 3, F.length(at("page")))).otherwise(""),
+            "rest": F.when(at("colon") > 0, F.substring(at("page"), at("colon") + 3, F.length(at("page")))).when(
+                at("page").isNotNull(), F.lit("")
+            ),
             "scheme": F.lower(F.left(at("page"), F.greatest(at("colon") - 1, F.lit(0)))),
             "query": F.substring(at("whole"), F.length(at("page")) + 2, F.length(at("whole"))),
         },
