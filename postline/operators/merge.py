@@ -274,7 +274,11 @@ def company_keys(catalog: DataFrame) -> DataFrame:
 
 
 def flag_configured(records: DataFrame, catalog: DataFrame, spread: str = "job_url") -> DataFrame:
-    """Adds is_duplicate: a board row of a company that has its own configured page."""
+    """Adds is_duplicate: a board row of a company that has its own configured page.
+
+    The records are read twice (once for the company names alone, to find hot
+    ones): pass a staged batch, not a plan that maps raw rows again.
+    """
     keyed = records.withColumn("match_key", match_key(F.col("company_name")))
     wanted = company_keys(catalog).withColumn("_wanted", F.lit(True))
     joined = attach(keyed, wanted, ["match_key"], F.col(spread))

@@ -13,6 +13,7 @@ from postline.plans.records import KNOWN, RULES, clean, record_sql
 from postline.plans.registry import query, table
 from postline.plans.scalars import PAY_OK, PAY_SQL
 from postline.plans.streams import scratch
+from postline.session import cut_lineage
 from postline.sources import sinks
 
 C = F.col
@@ -207,11 +208,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postline.operators.records import json_text
 
     raw = derived(spark, sf_dir, "postings")
-    mark = json_text(C("direct_company_career_page_key"))
-    payload = F.map_filter(F.create_map(F.lit("direct_company_career_page_key"), mark), lambda _, v: v.isNotNull())
-    mapped = records.valid_records(records.map_records(raw, payload=payload))
-    slim = mapped.select("seq", "job_url", "source", "company_name", "description", "raw_json")
-    flagged = merge.flag_configured(folding.fold_inputs(slim), derived(spark, sf_dir, "catalog"))
+    key = "direct_company_career_page_key"
+    mapped = records.valid_records(records.map_records(raw, payload=json_text(C(key))))
+    slim = mapped.select("seq", "job_url", "source", "company_name", "description", C("raw_json").alias("page_key"))
+    batch = cut_lineage(folding.fold_inputs(slim))
+    payload = F.map_filter(F.create_map(F.lit(key), C("page_key")), lambda _, v: v.isNotNull())
+    flagged = merge.flag_configured(batch.withColumn("raw_json", payload), derived(spark, sf_dir, "catalog"))
     pay = extract_salary(C("description"), annual=True)
     rows = flagged.withColumn("pay", pay).withColumn(
         "source", F.when(records.is_direct_page(C("raw_json")), F.lit("company")).otherwise(C("source"))
