@@ -63,16 +63,27 @@ def collision_mapping(current: DataFrame, staged: DataFrame) -> DataFrame:
     """loser_id, winner_id, job_url where a staged row meets two stored rows:
     one by (source, external_id), another by link.
 
-    One winner per loser (the smallest id). Two rows that point at each other
-    keep the pair whose winner has the smaller id. Chains are followed twice;
-    a mapping that is still a chain is an error.
+    One winner per loser (the smallest id that is not its own). Two rows that
+    point at each other keep the pair whose winner has the smaller id. Chains
+    are followed twice; a mapping that is still a chain is an error.
+
+    Per identity only the two smallest winners are kept, so an id that very
+    many rows share is joined once per row and never pairs all with all. The
+    matches of the batch are written once, as several steps read them.
     """
-    new = staged.where(F.trim("external_id") != "").select("source", "external_id", "job_url")
-    by_id = current.select(F.col("id").alias("loser_id"), "source", "external_id")
+    identity = ["source", "external_id"]
+    new = staged.where(F.trim("external_id") != "").select(*identity, "job_url")
+    by_id = current.select(F.col("id").alias("loser_id"), *identity)
     by_link = current.select(F.col("id").alias("winner_id"), "job_url")
-    pairs = new.join(by_id, ["source", "external_id"]).join(by_link, "job_url").where("loser_id <> winner_id")
-    single = pairs.groupBy("loser_id").agg(F.min(F.struct("winner_id", "job_url")).alias("w"))
-    single = single.select("loser_id", "w.winner_id", "w.job_url")
+    winners = cut_lineage(new.join(by_link, "job_url").withColumn("w", F.struct("winner_id", "job_url")))
+    first = winners.groupBy(*identity).agg(F.min("w").alias("first"))
+    others = attach(winners, first, identity, F.col("winner_id"), "inner").where("w <> first")
+    second = others.groupBy(*identity).agg(F.min("w").alias("second"))
+    best = cut_lineage(first.join(second, identity, "left"))
+    own = F.col("first.winner_id") == F.col("loser_id")
+    pairs = attach(by_id, best, identity, F.col("loser_id"), "inner")
+    chosen = pairs.select("loser_id", F.when(own, F.col("second")).otherwise(F.col("first")).alias("w"))
+    single = chosen.where("w IS NOT NULL").select("loser_id", "w.winner_id", "w.job_url")
     back = single.select(F.col("loser_id").alias("winner_id"), F.col("winner_id").alias("loser_id"))
     mutual = single.join(back, ["loser_id", "winner_id"], "left_semi").where("loser_id < winner_id")
     mapping = single.join(mutual, ["loser_id"], "left_anti")

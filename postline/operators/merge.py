@@ -76,7 +76,7 @@ def realign_links(current: DataFrame, staged: DataFrame) -> DataFrame:
     stated = staged.where(F.trim("external_id") != "")
     new = stated.groupBy("source", "external_id").agg(F.min("job_url").alias("new_url"))
     slim = current.select("id", "source", "external_id", "job_url")
-    moves = slim.join(new, ["source", "external_id"]).where(~F.col("job_url").eqNullSafe(F.col("new_url")))
+    moves = attach(slim, new, ["source", "external_id"], F.col("id"), "inner").where(~F.col("job_url").eqNullSafe(F.col("new_url")))
     taken = current.select(F.col("job_url").alias("new_url")).join(new.select("new_url"), "new_url", "left_semi")
     free = moves.join(taken, "new_url", "left_anti")
     chosen = cut_lineage(free.groupBy("new_url").agg(F.min("id").alias("id")))

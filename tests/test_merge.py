@@ -111,6 +111,14 @@ def test_collisions_chase_chains_and_break_pairs(spark):
     assert pairs == {(2, 1)}
 
 
+def test_shared_ids_give_one_winner_each(spark):
+    rows = [old(i, f"u{i}", ext="same") for i in range(1, 41)]
+    batch = [new(i, f"u{i}", ext="same") for i in range(3, 41)]
+    mapping = dedup.collision_mapping(spark.createDataFrame(rows, STORED), spark.createDataFrame(batch, STAGED))
+    got = {r["loser_id"]: r["winner_id"] for r in mapping.collect()}
+    assert got == {i: 3 for i in range(1, 41) if i != 3}
+
+
 def test_a_chain_too_long_is_an_error(spark):
     rows = [(i, i + 1, "u") for i in range(1, 9)]
     mapping = spark.createDataFrame(rows, "loser_id bigint, winner_id bigint, job_url string")
