@@ -44,6 +44,10 @@ class Doc:
     def __init__(self, run_date: Column, style: str) -> None:
         self.run_date, self.style = run_date, style
 
+    @property
+    def link(self) -> Column:
+        return F.col("_link")
+
     def at(self, path: str, kind: str) -> Column:
         root, _, rest = path.partition(".")
         return F.try_variant_get(F.col(root), f"$.{rest}", kind)
@@ -296,13 +300,13 @@ LANDED: dict[str, Landed] = {
             "listing_type": ("job.workType",), "company_logo": ("job.logoUrl",),
         },
         rules={
-            "id": lambda d: F.coalesce(F.concat(F.lit("gh-"), d.text("job.id")), url.board_id(_greenhouse_link(d))),
+            "id": lambda d: F.coalesce(F.concat(F.lit("gh-"), d.text("job.id")), url.board_id(d.link)),
             "job_url": _greenhouse_link,
             "apply_url": lambda d: F.coalesce(
-                url.drop_query_key(d.at("detail.redirect_to", "string"), "gh_src"), _greenhouse_link(d)
+                url.drop_query_key(d.at("detail.redirect_to", "string"), "gh_src"), d.link
             ),
-            "company_url": lambda d: url.site_root(_greenhouse_link(d)),
-            "company_url_direct": lambda d: url.site_root(_greenhouse_link(d)),
+            "company_url": lambda d: url.site_root(d.link),
+            "company_url_direct": lambda d: url.site_root(d.link),
             "description": lambda d: d.body("detail.content"),
             "location": lambda d: location.parse_location(
                 d.joined("detail.job_post_location", "job.locations"), "greenhouse"
@@ -516,20 +520,22 @@ def map_landed(df: DataFrame, source: str, run_date: str, style: str = "markdown
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("variant"))
     spec, doc = LANDED[source], Doc(F.lit(run_date).cast("date"), style)
-    made: dict[str, Column] = {}
-    for name in POSTING:
+
+    def value(name: str) -> Column:
         if name in spec.rules:
-            value = spec.rules[name](doc)
+            made = spec.rules[name](doc)
         elif name in spec.texts:
-            value = doc.text(*spec.texts[name])
-        elif name in spec.constants:
-            value = F.lit(spec.constants[name])
+            made = doc.text(*spec.texts[name])
         else:
-            value = F.lit(None)
-        made[name] = value.cast(TYPES.get(name, "string"))
+            made = F.lit(spec.constants.get(name))
+        return made.cast(TYPES.get(name, "string"))
+
+    # The link is made once, in a projection of its own; other rules read it.
+    df = df.withColumn("_link", value("job_url"))
+    made = {name: doc.link if name == "job_url" else value(name) for name in POSTING}
     for name in spec.same_as_link:
-        made[name] = F.coalesce(made[name], made["job_url"])
-    kept = df.where(made["title"].isNotNull() & made["job_url"].isNotNull())
+        made[name] = F.coalesce(made[name], doc.link)
+    kept = df.where(made["title"].isNotNull() & doc.link.isNotNull())
     out = kept.select("seq", F.lit(source).alias("site"), *[made[n].alias(n) for n in POSTING])
     mails = text.extract_emails(F.col("description"))
     return out.withColumn("emails", F.when(F.size(mails) > 0, mails))
