@@ -495,20 +495,16 @@ def new_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_per_company(joins.only_new(rows, fresh))
 
 
-@query(
-    "jn_11_hydrate_details",
-    "JN-11",
-    oracle(
-        f"""
+HYDRATED = f"""
 WITH p AS (SELECT seq, {clean('job_url')} AS link, description, CASE WHEN contains(lower(job_url), 'linkedin.com/jobs/view/')
    THEN regexp_extract(regexp_replace({clean('job_url')}, '[?#].*$', ''), '([0-9]+)/?$', 1) END AS job_id FROM postings),
 d AS (SELECT CAST(jid AS STRING) AS job_id, max(description) FILTER (WHERE seq % 5 > 0) AS description FROM postings WHERE jid % 4 > 0 GROUP BY 1)
 SELECT seq, CASE WHEN {clean('d.description')} IS NOT NULL THEN d.description ELSE p.description END AS description,
   CASE WHEN link IS NULL THEN 'skipped' WHEN {clean('d.description')} IS NOT NULL THEN 'hydrated' ELSE 'failed' END AS hydration
-FROM p LEFT JOIN d ON d.job_id = p.job_id""",
-        "postings",
-    ),
-)
+FROM p LEFT JOIN d ON d.job_id = p.job_id"""
+
+
+@query("jn_11_hydrate_details", "JN-11", oracle(HYDRATED, "postings"))
 def hydrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hydrated(spark, sf_dir).select("seq", "description", "hydration")
 
@@ -523,7 +519,15 @@ def _hydrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.hydrate(df.drop("jid"), details)
 
 
-@query("jn_11_hydration_summary", "JN-11", None)
+@query(
+    "jn_11_hydration_summary",
+    "JN-11",
+    oracle(
+        f"""SELECT count_if(hydration <> 'skipped') AS requested, count_if(hydration = 'hydrated') AS hydrated, count_if(hydration = 'failed') AS failed
+        FROM ({HYDRATED}) AS h""",
+        "postings",
+    ),
+)
 def hydration_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.hydration_summary(_hydrated(spark, sf_dir))
 
