@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postline.llm import mixing, packing, quality
+from postline.llm import bagminhash, mixing, packing, quality, suffixes
 from postline.llm.common import stage, table
 
 #: The stages need trained models, sketches, suffix arrays and a tokeniser, which SQL cannot express.
@@ -20,6 +20,16 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of every group of near duplicates."""
+    return bagminhash.keep_one_of_each(docs)
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, their texts without byte strings that repeat."""
+    return suffixes.deduplicated(docs)
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of the mix: repeated once per epoch, the one at a source's cut shortened."""
     return mixing.mixed_documents(docs)
@@ -32,6 +42,8 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("quality", good_quality),
+    ("near_duplicates", one_of_each_group),
+    ("repeated_passages", without_repeated_passages),
     ("mixing", mixed_sources),
     ("packing", packed_sequences),
 ]

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postline.llm import langid, mixing, packing, perplexity, quality
+from postline.llm import bagminhash, gru, itq, langid, mixing, packing, paragraphs, perplexity, quality, suffixes
 from postline.llm.common import stage, table
 
 
+def op1_gated_word_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru.score(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(table(spark, sf_dir, "documents"))
 
@@ -18,6 +22,14 @@ def op3_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_itq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op5_paragraph_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.removal(table(spark, sf_dir, "documents"))
+
+
 def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
@@ -31,12 +43,25 @@ def op8_line_field_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_maximal_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal(table(spark, sf_dir, "documents"))
+
+
+def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    op1_gated_word_model,
     op2_language_id,
     op3_perplexity_rules,
+    op4_itq_near_duplicates,
+    op5_paragraph_bands,
     op6_pattern_packing,
     op7_source_mixing,
     op8_line_field_quality,
+    op9_maximal_repeats,
+    op10_bagminhash,
 )
 
 #: Not expressible: trained models, tokenisers, suffix arrays, sketches; tests hold those against brute force.
