@@ -203,16 +203,6 @@ def active_place(places: Column) -> Column:
     return F.when(chosen.isNotNull(), place(city, clean_text(chosen["state"]), clean_text(chosen["country"])))
 
 
-def listed_place(display: Column, city: Column, state: Column, code: Column) -> Column:
-    """Place given as display text plus parts: last part of the text is the country."""
-    has_comma = F.contains(display, F.lit(","))
-    land = F.when(has_comma, strip(F.substring_index(display, ",", -1))).otherwise(
-        F.when(clean_text(code) == "IL", F.lit("Israel")).otherwise(clean_text(code))
-    )
-    town = F.coalesce(clean_text(city), F.when(has_comma, strip(F.substring_index(display, ",", 1))))
-    return place(town, clean_text(state), land)
-
-
 def nested_place(nested: Column, parent: Column, default_country: str) -> Column:
     """Nested location first, then the parent's fields."""
     return place(

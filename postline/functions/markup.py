@@ -100,7 +100,7 @@ def to_markdown(html: str) -> str:
     parser.close()
     text = "".join(parser.out)
     text = re.sub(r"[ \t]*\n[ \t]*(?=\n)", "\n", text)
-    text = re.sub(r"\n{3,}", "\n\n", text)
+    text = re.sub(r"\n{3,} *|\n\n +", "\n\n", text)
     return "\n".join(line.rstrip(" ") if not line.endswith("  ") else line for line in text.split("\n")).strip()
 
 

@@ -173,11 +173,6 @@ def upsert_companies(current: DataFrame, new: DataFrame, run_ts: str, key: str =
     return updated.unionByName(fresh, allowMissingColumns=True)
 
 
-def upsert_counts(upserted: DataFrame) -> DataFrame:
-    a = F.col("action")
-    return upserted.agg(F.count_if(a == "insert").alias("inserted"), F.count_if(a == "update").alias("updated"))
-
-
 def complete_pages(pages: DataFrame) -> DataFrame:
     """All columns of the careers page table; late ones are null or have their default."""
     out = []

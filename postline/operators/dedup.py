@@ -63,9 +63,9 @@ def collision_mapping(current: DataFrame, staged: DataFrame) -> DataFrame:
     """loser_id, winner_id, job_url where a staged row meets two stored rows:
     one by (source, external_id), another by link.
 
-    One winner per loser (the smallest id that is not its own). Two rows that
-    point at each other keep the pair whose winner has the smaller id. Chains
-    are followed twice; a mapping that is still a chain is an error.
+    One winner per loser (the smallest id that is not its own), followed to
+    the end of its chain; rows that point at each other in a ring go to the
+    smallest id of the ring.
 
     Per identity only the two smallest winners are kept, so an id that very
     many rows share is joined once per row and never pairs all with all. The
@@ -84,31 +84,30 @@ def collision_mapping(current: DataFrame, staged: DataFrame) -> DataFrame:
     pairs = attach(by_id, best, identity, F.col("loser_id"), "inner")
     chosen = pairs.select("loser_id", F.when(own, F.col("second")).otherwise(F.col("first")).alias("w"))
     single = chosen.where("w IS NOT NULL").select("loser_id", "w.winner_id", "w.job_url")
-    back = single.select(F.col("loser_id").alias("winner_id"), F.col("winner_id").alias("loser_id"))
-    mutual = single.join(back, ["loser_id", "winner_id"], "left_semi").where("loser_id < winner_id")
-    mapping = single.join(mutual, ["loser_id"], "left_anti")
-    return assert_flat(chase(chase(mapping)))
+    return final_winners(cut_lineage(single))
 
 
-def chase(mapping: DataFrame) -> DataFrame:
-    """Replace a winner that is itself a loser by its own winner."""
-    onward = mapping.select(
-        F.col("loser_id").alias("winner_id"), F.col("winner_id").alias("_to"), F.col("job_url").alias("_url")
-    )
-    joined = mapping.join(onward, "winner_id", "left")
-    return joined.select(
-        "loser_id", F.coalesce("_to", "winner_id").alias("winner_id"), F.coalesce("_url", "job_url").alias("job_url")
-    )
-
+def final_winners(single: DataFrame) -> DataFrame:
+    """Every loser with the winner at the end of its chain, however long it is.
 
-def assert_flat(mapping: DataFrame) -> DataFrame:
-    """The mapping, raising when a winner is still a loser."""
-    losers = mapping.select(F.col("loser_id").alias("winner_id"), F.lit(True).alias("_chain"))
-    checked = mapping.join(losers, "winner_id", "left")
-    fail = F.raise_error(F.lit("duplicate mapping is still a chain after two passes")).cast("bigint")
-    return checked.select(
-        "loser_id", F.when(F.col("_chain"), fail).otherwise(F.col("winner_id")).alias("winner_id"), "job_url"
-    )
+    Pointers double: after k rounds a row points 2**k steps on and knows the
+    smallest id on the way. A chain that comes back to itself ends at its
+    smallest id, which is then no loser. Rounds stop when all rows point at
+    ends, at the latest when a chain through all rows would be walked.
+    """
+    links = single.groupBy("winner_id").agg(F.min("job_url").alias("job_url"))
+    steps = single.select(F.col("loser_id").alias("id"), F.col("winner_id").alias("to"), F.col("loser_id").alias("least"))
+    for _ in range(single.count().bit_length() + 1):
+        onward = steps.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("least").alias("_least"))
+        if steps.join(onward, "to", "left_semi").isEmpty():
+            break
+        joined = steps.join(onward, "to", "left")
+        steps = cut_lineage(
+            joined.select("id", F.coalesce("_to", "to").alias("to"), F.least("least", "_least").alias("least"))
+        )
+    rings = steps.select(F.col("id").alias("to"), F.col("least").alias("_least"))
+    ends = steps.drop("least").join(rings, "to", "left").withColumn("winner_id", F.coalesce("_least", "to"))
+    return ends.where("id <> winner_id").join(links, "winner_id").select(F.col("id").alias("loser_id"), "winner_id", "job_url")
 
 
 def touched_ids(mapping: DataFrame) -> DataFrame:

@@ -142,7 +142,3 @@ def pick_sources(wanted: str | list[str] | None = None) -> list[str]:
 def from_sources(df: DataFrame, wanted: str | list[str] | None = None, column: str = "site") -> DataFrame:
     """A plain isin, so that a table partitioned by source reads only the chosen ones."""
     return df.where(F.col(column).isin(*pick_sources(wanted)))
-
-
-def direct_place(row: Column) -> Column:
-    return place(clean_text(row["city"]), clean_text(row["state"]), clean_text(row["country"]))

@@ -113,10 +113,6 @@ def ordered_links(df: DataFrame, owner: str, link: str, seq: str = "seq") -> Dat
     return df.groupBy(owner, link).agg(F.min(seq).alias("first_seen"))
 
 
-def count_links(df: DataFrame, owner: str, link: str) -> DataFrame:
-    return df.select(owner, link).distinct().groupBy(owner).agg(F.count("*").alias("links"))
-
-
 def insert_missing(current: DataFrame, new: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Rows to append, and all rows after appending. Rows already there stay as they are."""
     known = current.select(key).join(new.select(key), key, "left_semi")

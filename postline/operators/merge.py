@@ -241,27 +241,96 @@ def summary(rows: DataFrame, fresh: DataFrame, changes: DataFrame) -> DataFrame:
     )
 
 
+def touched_rows(current: DataFrame, staged: DataFrame) -> DataFrame:
+    """Stored rows that a batch can touch: those with one of its links or of its identities.
+
+    One scan; the keys of a small batch go to it and no stored row is shuffled.
+    """
+    links = staged.select("job_url").distinct().withColumn("_link", F.lit(True))
+    stated = staged.where(F.trim("external_id") != "")
+    identities = stated.select("source", "external_id").distinct().withColumn("_identity", F.lit(True))
+    marked = current.join(links, "job_url", "left").join(identities, ["source", "external_id"], "left")
+    return marked.where("_link or _identity").select(*current.columns)
+
+
+@dataclass(frozen=True)
+class Batch:
+    """What a whole batch gives back. `compared` and `changes` hold the rows it could touch."""
+
+    snapshot: DataFrame
+    touched: DataFrame
+    result: Upsert
+    mapping: DataFrame
+    parsed: DataFrame | None
+    summary: DataFrame
+
+
 def upsert_postings(
     current: DataFrame,
     staged: DataFrame,
     run_ts: str,
     next_id: int = 0,
     parsed: DataFrame | None = None,
+    landed: DataFrame | None = None,
     **options: object,
-) -> tuple[Upsert, DataFrame, DataFrame | None]:
-    """The whole batch: dates, identity collisions, realigned links, upsert, reactivation.
+) -> Batch:
+    """The whole batch: dates, identity collisions, realigned links, upsert, reactivation, summary.
 
-    Also gives the collision mapping (for the facts) and the parsed rows.
-    `current` has one row per link; see dedup.enforce_unique. The batch and
-    the mapping, both small beside the stored rows, are written once because
-    every later step reads them; the stored rows are not.
+    `current` has one row per link; see dedup.enforce_unique. The stored rows
+    are read twice: once for those the batch can touch, which are written and
+    then stand for all of them, and once for the rows that go through unread.
     """
     staged = cut_lineage(default_dates(staged, run_ts))
-    mapping = cut_lineage(collision_mapping(current, staged))
-    aligned = realign_links(merge_losers(current, mapping), staged)
+    part = cut_lineage(touched_rows(current, staged))
+    mapping = cut_lineage(collision_mapping(part, staged))
+    aligned = cut_lineage(realign_links(cut_lineage(merge_losers(part, mapping)), staged))
     result = upsert(aligned, staged, run_ts, next_id, **options)
-    active = None if parsed is None else activate_reposted(parsed, result.snapshot, staged)
-    return result, mapping, active
+    touched = cut_lineage(result.snapshot)
+    rest = current.join(part.select("id"), "id", "left_anti")
+    active = None if parsed is None else activate_reposted(parsed, touched, staged)
+    counts = batch_summary(result, staged, mapping, active, landed)
+    return Batch(rest.unionByName(touched), touched, result, mapping, active, counts)
+
+
+def batch_summary(
+    result: Upsert, staged: DataFrame, mapping: DataFrame, parsed: DataFrame | None, landed: DataFrame | None
+) -> DataFrame:
+    """One row of counts for a whole batch; the links behind them are in its frames.
+
+    Without the landed rows the rows are those that were folded. An activated
+    row is a parsed one whose status changed; marked rows are staged ones with
+    the duplicate flag.
+    """
+    none = F.lit(0).cast("bigint")
+    copies = F.col("copies") if "copies" in staged.columns else F.lit(1)
+    marked = F.count_if("is_duplicate") if "is_duplicate" in staged.columns else F.max(none)
+    prepared = staged.agg(F.count("*").alias("prepared"), F.sum(copies).alias("_folded"), marked.alias("marked"))
+    landed_rows = (staged.agg(F.sum(copies).alias("rows")) if landed is None else landed.agg(F.count("*").alias("rows")))
+    changes = result.changes.agg(F.count("*").alias("changes"))
+    deleted = mapping.agg(F.count("*").alias("deleted"))
+    active = (mapping.limit(0) if parsed is None else parsed.where("activated")).agg(F.count("*").alias("activated"))
+    parts = [result.summary, prepared, landed_rows, changes, deleted, active]
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p, allowMissingColumns=True)
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), none)
+
+    return stacked.agg(
+        total("rows").alias("rows"),
+        total("prepared").alias("prepared"),
+        (total("rows") - total("_folded")).alias("skipped_invalid"),
+        (total("_folded") - total("prepared")).alias("skipped_duplicate_input"),
+        total("inserted").alias("inserted"),
+        total("updated").alias("updated"),
+        total("unchanged").alias("unchanged"),
+        total("changes").alias("changes"),
+        total("activated").alias("parsed_jobs_activated"),
+        total("deleted").alias("deleted_duplicate_rows"),
+        total("marked").alias("marked_duplicate_jobs"),
+        F.max("updated_fields").alias("updated_fields"),
+    )
 
 
 def company_keys(catalog: DataFrame) -> DataFrame:

@@ -279,6 +279,8 @@ def oracle(body: str, *names: str, **views: str) -> str:
     if not parts:
         return body.strip()
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join(parts) + ",\n" + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
     return "WITH " + ",\n".join(parts) + "\n" + body

@@ -237,18 +237,23 @@ def existing_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.existing(derived(spark, sf_dir, "stored"), staged(spark, sf_dir))
 
 
-PAIRS = f"""
-SELECT DISTINCT a.id AS loser_id, b.id AS winner_id, b.job_url FROM ({FOLDED}) AS s
-JOIN u AS a ON a.source = s.source AND a.external_id = s.external_id JOIN u AS b ON b.job_url = s.job_url
-WHERE trim(s.external_id) <> '' AND a.id <> b.id"""
-CHASE = """SELECT m.loser_id, coalesce(n.winner_id, m.winner_id) AS winner_id, coalesce(n.job_url, m.job_url) AS job_url
-FROM {m} AS m LEFT JOIN {m} AS n ON n.loser_id = m.winner_id"""
-COLLISIONS = f"""
-WITH u AS ({UNIQUE}), pairs AS ({PAIRS}),
-single AS (SELECT loser_id, min(winner_id) AS winner_id, arg_min(job_url, winner_id) AS job_url FROM pairs GROUP BY 1),
-open AS (SELECT * FROM single AS s WHERE NOT EXISTS (SELECT 1 FROM single AS o WHERE o.loser_id = s.winner_id AND o.winner_id = s.loser_id AND s.loser_id < s.winner_id)),
-once AS ({CHASE.format(m='open')}), twice AS ({CHASE.format(m='once')})
-SELECT * FROM twice"""
+def collision_ctes(rows: str, staged_rows: str, tag: str = "") -> str:
+    """CTEs up to mapping{tag}: chains are walked step by step, rings end at their smallest id."""
+    return f"""
+pairs{tag} AS (SELECT DISTINCT a.id AS loser_id, b.id AS winner_id, b.job_url FROM {staged_rows} AS s
+  JOIN {rows} AS a ON a.source = s.source AND a.external_id = s.external_id JOIN {rows} AS b ON b.job_url = s.job_url
+  WHERE trim(s.external_id) <> '' AND a.id <> b.id),
+single{tag} AS (SELECT loser_id, min(winner_id) AS winner_id, arg_min(job_url, winner_id) AS job_url FROM pairs{tag} GROUP BY 1),
+walk{tag} AS (SELECT loser_id, winner_id AS goal, [loser_id] AS path FROM single{tag}
+  UNION ALL SELECT w.loser_id, s.winner_id, list_append(w.path, w.goal) FROM walk{tag} AS w JOIN single{tag} AS s ON s.loser_id = w.goal
+  WHERE NOT list_contains(w.path, w.goal)),
+ends{tag} AS (SELECT loser_id, CASE WHEN list_contains(path, goal) THEN list_min(list_slice(path, list_position(path, goal), len(path))) ELSE goal END AS winner_id
+  FROM walk{tag} WHERE list_contains(path, goal) OR goal NOT IN (SELECT loser_id FROM single{tag})),
+mapping{tag} AS (SELECT e.loser_id, e.winner_id, l.job_url FROM ends{tag} AS e
+  JOIN (SELECT winner_id, min(job_url) AS job_url FROM single{tag} GROUP BY 1) AS l ON l.winner_id = e.winner_id WHERE e.loser_id <> e.winner_id)"""
+
+
+COLLISIONS = f"WITH RECURSIVE u AS ({UNIQUE}), f AS ({FOLDED}), {collision_ctes('u', 'f')} SELECT * FROM mapping"
 
 
 @query("jn_02_identity_collisions", "JN-02 MRG-07", oracle(COLLISIONS, "batch", "stored"))
@@ -376,27 +381,94 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_changes(_upsert(spark, sf_dir).changes)
 
 
+ALL_KEYS = ("p_date_posted", "p_description", "p_direct_key", "p_score", "p_tag")
+WHOLE = (*STORED_SHOWN, "is_duplicate", *ALL_KEYS)
+BASE = f"SELECT {', '.join(STORED_SHOWN)}, is_duplicate, {', '.join(KEYS)}, CAST(NULL AS STRING) AS p_direct_key FROM ({UNIQUE}) AS u"
+
+
+def batch_ctes(rows: str, staged_rows: str, tag: str, next_id: int, flag: bool = False) -> str:
+    """CTEs of a whole batch over the CTEs rows and staged_rows; after{tag} holds the rows it leaves."""
+    merged = {p: f"coalesce(s.{p}, u.{p})" for p in ALL_KEYS}
+    merged |= {"p_description": f"coalesce({nb('s.p_description')}, u.p_description)", "p_date_posted": "coalesce(u.p_date_posted, s.p_date_posted)"}
+    rest_keys = ("p_direct_key", "p_score", "p_tag")
+    before, after = payload_sql({p: f"u.{p}" for p in rest_keys}), payload_sql({p: merged[p] for p in rest_keys})
+    flagged = " OR u.is_duplicate IS DISTINCT FROM s.is_duplicate" if flag else ""
+    new_flag = "n_is_duplicate" if flag else "is_duplicate"
+    return f"""{collision_ctes(rows, staged_rows, tag)},
+touched{tag} AS (SELECT loser_id AS id, winner_id, FALSE AS w FROM mapping{tag} UNION ALL SELECT DISTINCT winner_id, winner_id, TRUE FROM mapping{tag}),
+named{tag} AS (SELECT s.*, t.winner_id, t.w, row_number() OVER (PARTITION BY t.winner_id ORDER BY t.w DESC,
+    s.updated_at DESC NULLS LAST, s.fetched_at DESC NULLS LAST, s.id DESC) AS o FROM {rows} AS s JOIN touched{tag} AS t ON t.id = s.id),
+merged{tag} AS (SELECT winner_id AS id, any_value(job_url) FILTER (WHERE w) AS job_url, {winner_first('source')} AS source, {winner_first('external_id')} AS external_id,
+  {loser_text('title')} AS title, {loser_text('company_name')} AS company_name, {loser_text('description')} AS description,
+  {loser_text('posted_time')} AS posted_time, {loser_any('published_at')} AS published_at, max(reposted_at) AS reposted_at,
+  max(fetched_at) AS fetched_at, max(updated_at) AS updated_at, any_value(is_duplicate) FILTER (WHERE w) AS is_duplicate,
+  {', '.join(f"arg_max({p}, o) FILTER (WHERE {p} IS NOT NULL) AS {p}" for p in ALL_KEYS)} FROM named{tag} GROUP BY winner_id
+  UNION ALL SELECT {', '.join(WHOLE)} FROM {rows} WHERE id NOT IN (SELECT id FROM touched{tag})),
+new{tag} AS (SELECT source, external_id, min(job_url) AS new_url FROM {staged_rows} WHERE trim(external_id) <> '' GROUP BY 1, 2),
+moves{tag} AS (SELECT n.new_url, min(u.id) AS id FROM merged{tag} AS u JOIN new{tag} AS n ON n.source = u.source AND n.external_id = u.external_id
+  WHERE u.job_url <> n.new_url AND n.new_url NOT IN (SELECT job_url FROM merged{tag}) GROUP BY 1),
+aligned{tag} AS (SELECT u.* REPLACE (coalesce(m.new_url, u.job_url) AS job_url) FROM merged{tag} AS u LEFT JOIN moves{tag} AS m ON m.id = u.id),
+compared{tag} AS (SELECT u.*, s.job_url IS NOT NULL AS hit, s.source AS n_source, s.external_id AS n_external_id, s.title AS n_title, s.company_name AS n_company_name,
+  s.posted_time AS n_posted_time, s.published_at AS n_published_at, coalesce({nb('s.description')}, u.description) AS n_description,
+  {REPOSTED} AS n_reposted_at, {before} AS before, {after} AS after, {', '.join(f"{e} AS n_{p}" for p, e in merged.items())},
+  {'s.is_duplicate AS n_is_duplicate,' if flag else ''}
+  s.job_url IS NOT NULL AND ({before} <> {after} OR u.reposted_at IS DISTINCT FROM {REPOSTED}{flagged}) AS changed
+  FROM aligned{tag} AS u LEFT JOIN {staged_rows} AS s ON s.job_url = u.job_url),
+fresh{tag} AS (SELECT s.* FROM {staged_rows} AS s WHERE job_url NOT IN (SELECT job_url FROM aligned{tag})),
+after{tag} AS (SELECT id, job_url, {pick('source')}, {pick('external_id')}, {pick('title')}, {pick('company_name')}, {pick('description')},
+  CASE WHEN changed THEN coalesce(posted_time, n_posted_time) ELSE posted_time END AS posted_time,
+  CASE WHEN changed THEN coalesce(published_at, n_published_at) ELSE published_at END AS published_at,
+  {pick('reposted_at')}, fetched_at, CASE WHEN changed THEN DATE '{RUN_DATE}' ELSE updated_at END AS updated_at,
+  CASE WHEN changed THEN {new_flag} ELSE is_duplicate END AS is_duplicate, {', '.join(pick(p) for p in ALL_KEYS)} FROM compared{tag}
+  UNION ALL SELECT {next_id} + seq, job_url, source, external_id, title, company_name, description, posted_time, published_at, NULL, DATE '{RUN_DATE}', NULL,
+  {'is_duplicate' if flag else 'NULL'}, {', '.join(ALL_KEYS)} FROM fresh{tag})"""
+
+
+def shown(rows: str, *extra: str) -> str:
+    return f"SELECT {', '.join((*STORED_SHOWN, *extra))}, {payload_sql({p: p for p in ALL_KEYS})} AS payload FROM {rows}"
+
+
+NEXT_ID = 900000000
+FULL = f"WITH RECURSIVE base AS ({BASE}), s AS ({STAGED}), {batch_ctes('base', 's', '1', NEXT_ID)} "
+
+
+def _full(spark: SparkSession, sf_dir: str, **options: object) -> merge.Batch:
+    return merge.upsert_postings(unique(spark, sf_dir), staged(spark, sf_dir), RUN_TS, NEXT_ID, **options)
+
+
+@query("mrg_01_full_batch", "MRG-01 MRG-07 MRG-08 JN-02 JN-03", oracle(FULL + shown("after1"), "batch", "stored"))
+def full_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return show(_full(spark, sf_dir).snapshot)
+
+
+PARSED = "SELECT id, CASE id % 3 WHEN 0 THEN 'active' WHEN 1 THEN 'closed' END AS status FROM stored"
+
+
+def parsed_of(rows: DataFrame) -> DataFrame:
+    status = F.when(C("id") % 3 == 0, "active").when(C("id") % 3 == 1, "closed")
+    return rows.select(C("id").alias("raw_job_id"), status.alias("status"))
+
+
 @query(
     "agg_05_upsert_summary",
     "AGG-05",
     oracle(
-        f"""SELECT (SELECT count(*) FROM ({STAGED}) AS s WHERE job_url NOT IN (SELECT job_url FROM stored)) AS inserted, count_if(changed) AS updated,
-        count_if(hit AND NOT changed) AS unchanged, 'raw_json,reposted_at' AS updated_fields FROM ({COMPARED}) AS c""",
+        FULL
+        + f"""SELECT (SELECT count(*) FROM batch) AS rows, (SELECT count(*) FROM s) AS prepared, CAST(0 AS BIGINT) AS skipped_invalid,
+  (SELECT count(*) FROM batch) - (SELECT count(*) FROM s) AS skipped_duplicate_input, (SELECT count(*) FROM fresh1) AS inserted,
+  count_if(changed) AS updated, count_if(hit AND NOT changed) AS unchanged,
+  CAST(count_if(changed AND before IS DISTINCT FROM after) + count_if(changed AND reposted_at IS DISTINCT FROM n_reposted_at) AS BIGINT) AS changes,
+  (SELECT count(*) FROM ({PARSED}) AS p WHERE status IS DISTINCT FROM 'active' AND id IN (SELECT a.id FROM after1 AS a JOIN s ON s.job_url = a.job_url
+    WHERE s.source = 'linkedin' AND a.reposted_at IS NOT NULL)) AS parsed_jobs_activated,
+  (SELECT count(*) FROM mapping1) AS deleted_duplicate_rows, CAST(0 AS BIGINT) AS marked_duplicate_jobs,
+  concat_ws(',', CASE WHEN bool_or(changed AND before IS DISTINCT FROM after) THEN 'raw_json' END,
+    CASE WHEN bool_or(changed AND reposted_at IS DISTINCT FROM n_reposted_at) THEN 'reposted_at' END) AS updated_fields FROM compared1""",
         "batch", "stored",
     ),
 )
 def upsert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _upsert(spark, sf_dir).summary
-
-
-@query(
-    "mrg_01_full_batch",
-    "MRG-01 MRG-07 MRG-08 JN-02 JN-03",
-    None,
-)
-def full_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result, _, _ = merge.upsert_postings(unique(spark, sf_dir), staged(spark, sf_dir), RUN_TS, 900000000)
-    return show(result.snapshot)
+    rows, landed = derived(spark, sf_dir, "stored"), derived(spark, sf_dir, "batch")
+    return _full(spark, sf_dir, parsed=parsed_of(rows), landed=landed).summary
 
 
 @query(
@@ -408,15 +480,13 @@ WITH links AS (SELECT job_url FROM ({FOLDED}) AS f WHERE source = 'linkedin'),
 again AS (SELECT id FROM stored WHERE reposted_at IS NOT NULL AND job_url IN (SELECT job_url FROM links))
 SELECT id AS raw_job_id, CASE WHEN id IN (SELECT id FROM again) THEN 'active' ELSE status END AS status,
   id IN (SELECT id FROM again) AND status IS DISTINCT FROM 'active' AS activated
-FROM (SELECT id, CASE id % 3 WHEN 0 THEN 'active' WHEN 1 THEN 'closed' END AS status FROM stored) AS p""",
+FROM ({PARSED}) AS p""",
         "batch", "stored",
     ),
 )
 def activate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = derived(spark, sf_dir, "stored")
-    status = F.when(C("id") % 3 == 0, "active").when(C("id") % 3 == 1, "closed")
-    parsed = rows.select(C("id").alias("raw_job_id"), status.alias("status"))
-    return dedup.activate_reposted(parsed, rows, staged(spark, sf_dir))
+    return dedup.activate_reposted(parsed_of(rows), rows, staged(spark, sf_dir))
 
 
 KEYS_SQL = f"""
@@ -440,6 +510,25 @@ def configured_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select("job_url", "source", "company_name", "is_duplicate")
 
 
+FLAG = f"""coalesce(source IN ('linkedin', 'indeed') AND p_direct_key IS NULL
+  AND lower(regexp_replace({clean('company_name')}, '\\s+', ' ', 'g')) IN (SELECT k FROM keys), FALSE)"""
+
+
+@query(
+    "mrg_01_flagged_batch",
+    "MRG-01 JN-06 FLT-10",
+    oracle(
+        f"""WITH RECURSIVE keys AS ({KEYS_SQL}), base AS ({BASE}), s AS (SELECT *, {FLAG} AS is_duplicate FROM ({STAGED}) AS f),
+{batch_ctes('base', 's', '1', NEXT_ID, flag=True)} {shown('after1', 'is_duplicate')}""",
+        "batch", "stored", "catalog",
+    ),
+)
+def flagged_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = merge.flag_configured(staged(spark, sf_dir), derived(spark, sf_dir, "catalog"))
+    done = merge.upsert_postings(unique(spark, sf_dir), flagged, RUN_TS, NEXT_ID, with_flag=True)
+    return show(done.snapshot, "is_duplicate")
+
+
 @query(
     "jn_06_flag_counts",
     "JN-06 AGG-03",

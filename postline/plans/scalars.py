@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postline.functions import dates, jobs, location, lookups, money, payload, text, url
 from postline.operators import records
-from postline.plans.derive import RUN_DATE, derived, oracle
+from postline.plans.derive import GIVEN, RUN_DATE, derived, oracle
 from postline.plans.records import DATE, HOST, KNOWN, PATH, QUERY, SALARY, SCHEME, clean, parts, rx
 from postline.plans.registry import query, table
 
@@ -28,12 +28,11 @@ def project(
     """
     sql_text = None
     if sql is not None:
-        sql_text = oracle(sql, source) if source not in ("documents", "pages", "events") else sql
+        sql_text = sql if source in GIVEN else oracle(sql, source)
 
     @query(name, covers, sql_text)
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        given = source in ("documents", "pages", "events")
-        df = table(spark, sf_dir, source) if given else derived(spark, sf_dir, source)
+        df = table(spark, sf_dir, source) if source in GIVEN else derived(spark, sf_dir, source)
         made = df.select(key, *[v.alias(k) for k, v in columns().items()])
         return made if fields is None else made.select(key, *[C(path).alias(out) for out, path in fields.items()])
 
@@ -90,16 +89,53 @@ project(
     f"SELECT doc_id, array_to_string(regexp_extract_all(text, '{text.EMAIL}'), ', ') AS emails FROM documents",
     key="doc_id",
 )
+def tagged(*pieces: str | Column) -> Column:
+    """HTML from literals and escaped column texts."""
+    out = []
+    for p in pieces:
+        c = F.lit(p) if isinstance(p, str) else p
+        if not isinstance(p, str):
+            for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&#62;"), ("'", "&apos;")):
+                c = F.replace(c, F.lit(plain), F.lit(entity))
+        out.append(c)
+    return F.concat(*out)
+
+
+BOTH = "p_brand || ' <&> ' || p_size"
+both = lambda: F.concat(C("p_brand"), F.lit(" <&> "), C("p_size").cast("string"))
+sheet = lambda: tagged(
+    "<style>b {x:y}</style><h2>", C("p_name"), "</h2><p>A <b>", both(), "</b>\n  <i>of</i> <a href='/p'>", C("p_type"), "</a></p>",
+    "<ul><li>", C("p_brand"), "</li><li>", both(), "</li></ul><script>no()</script>",
+)
+SHEET_PLAIN = f"p_name || ' A ' || {BOTH} || ' of ' || p_type || ' ' || p_brand || ' ' || {BOTH}"
+SHEET_MARKDOWN = f"""'## ' || p_name || chr(10) || chr(10) || 'A **' || {BOTH} || '** *of* [' || p_type || '](/p)' || chr(10) || chr(10)
+    || '* ' || p_brand || chr(10) || '* ' || {BOTH}"""
+SHEET_HTML = f"""'<style>b {{x:y}}</style><h2>' || p_name || '</h2><p>A <b>' || {BOTH} || '</b>' || chr(10) || '  <i>of</i> <a href=''/p''>' || p_type
+    || '</a></p><ul><li>' || p_brand || '</li><li>' || {BOTH} || '</li></ul><script>no()</script>'"""
 project(
-    "str_05_html_unescape", "STR-05", "pages", lambda: {"html": text.html_unescape(C("html"))}, None, key="page_id"
+    "str_05_html_unescape", "STR-05", "documents",
+    lambda: {"text": text.html_unescape(tagged(C("text"))), "named": text.html_unescape(F.concat(C("lang"), F.lit("&nbsp;&eacute;&#x41;&#66;&unknown;")))},
+    "SELECT doc_id, text, lang || chr(160) || 'éAB&unknown;' AS named FROM documents", key="doc_id",
 )
-project("str_06_html_to_plain", "STR-06", "pages", lambda: {"plain": text.html_to_plain(C("html"))}, None, key="page_id")
+project("str_06_html_to_plain", "STR-06", "part", lambda: {"plain": text.html_to_plain(sheet())}, f"SELECT p_partkey, {SHEET_PLAIN} AS plain FROM part", key="p_partkey")
 project(
-    "str_07_html_to_markdown", "STR-07", "pages", lambda: {"markdown": text.html_to_markdown(C("html"))}, None, key="page_id"
+    "str_07_html_to_markdown", "STR-07", "part", lambda: {"markdown": text.html_to_markdown(sheet())},
+    f"SELECT p_partkey, {SHEET_MARKDOWN} AS markdown FROM part", key="p_partkey",
 )
 project(
-    "str_08_format_description", "STR-08", "pages",
-    lambda: {s: text.format_description(C("html"), s) for s in ("html", "plain", "markdown")}, None, key="page_id",
+    "str_08_format_description", "STR-08", "part",
+    lambda: {
+        "plain": text.format_description(F.concat(F.lit("<p>"), C("p_name"), F.lit("</p> and &lt;b&gt;"), C("p_type"), F.lit("&lt;/b&gt;")), "plain"),
+        "markdown": text.format_description(F.concat(F.lit("<p>"), C("p_name"), F.lit("</p> and &lt;b&gt;"), C("p_type"), F.lit("&lt;/b&gt;")), "markdown"),
+        "html": text.format_description(F.concat(F.lit("<p>"), C("p_name"), F.lit("</p> &amp; "), C("p_type")), "html"),
+        "untagged": text.format_description(F.concat(C("p_name"), F.lit(" &amp; 1 < 2 "))),
+        "escaped": text.format_description(F.concat(C("p_name"), F.lit(" &amp; 1 < 2 ")), "html"),
+        "none": text.format_description(F.when(C("p_size") % 2 == 0, C("p_name"))),
+    },
+    """SELECT p_partkey, p_name || ' and ' || p_type AS plain, p_name || chr(10) || chr(10) || 'and **' || p_type || '**' AS markdown,
+    '<p>' || p_name || '</p> & ' || p_type AS html, p_name || ' & 1 < 2' AS untagged, p_name || ' &amp; 1 &lt; 2' AS escaped,
+    CASE WHEN p_size % 2 = 0 THEN p_name END AS none FROM part""",
+    key="p_partkey",
 )
 project(
     "str_09_join_sections", "STR-09", "postings",
@@ -153,10 +189,13 @@ project(
 project(
     "str_15_repair_mojibake", "STR-15", "documents",
     lambda: {
-        "same": text.repair_mojibake(F.decode(F.encode(C("text"), "UTF-8"), "ISO-8859-1")) == text.clean_text(C("text")),
-        "text": text.repair_mojibake(C("text")),
+        "read_again": text.repair_mojibake(F.decode(F.encode(C("text"), "UTF-8"), "ISO-8859-1")),
+        "quotes": text.repair_mojibake(F.concat(F.lit("â€œ"), C("lang"), F.lit("â€\u009d â€™ â€“ Ã©"))),
+        "right": text.repair_mojibake(C("text")),
+        "mixed": text.repair_mojibake(F.concat(C("lang"), F.lit(" Ã© 漢 â"))),
     },
-    None, key="doc_id",
+    f"""SELECT doc_id, {clean('text')} AS read_again, '“' || lang || '” ’ – é' AS quotes, {clean('text')} AS right, lang || ' Ã© 漢 â' AS mixed FROM documents""",
+    key="doc_id",
 )
 project(
     "str_16_applicant_count", "STR-16", "postings",

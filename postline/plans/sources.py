@@ -145,13 +145,39 @@ def json_ld(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("page_id", *[summary[n].alias(n) for n in shown])
 
 
-@query("src_08_html_rows", "SRC-08", None)
+def _parts_page(*pieces: str | Column) -> Column:
+    """Page text from literals and columns; column texts are escaped."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else _escaped(p) for p in pieces])
+
+
+def _escaped(c: Column) -> Column:
+    out = c.cast("string")
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        out = F.replace(out, F.lit(plain), F.lit(entity))
+    return out
+
+
+@query(
+    "src_08_html_rows",
+    "SRC-08",
+    """SELECT p_partkey, 0 AS pos, p_name AS name, 'https://x.org/p/' || p_partkey AS link, '<b>' || p_name || '</b>' AS inner, p_type AS kind FROM part
+    UNION ALL SELECT p_partkey, 1, p_brand || ' & ' || p_size, NULL, '<b>' || p_brand || ' &amp; ' || p_size || '</b>', NULL FROM part WHERE p_size % 2 = 0""",
+)
 def html_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "pages")
-    fields = {"name": ".", "link": {"selector": "a", "attr": "href", "urljoin": True}, "inner": {"selector": "a", "attr": "html"}}
-    return html.explode_rows(df, html.html_rows(C("html"), C("url"), "nav li", fields), ["page_id"]).select(
-        "page_id", "pos", C("row")["name"].alias("name"), C("row")["link"].alias("link"), C("row")["inner"].alias("inner")
+    df = table(spark, sf_dir, "part")
+    first = _parts_page(
+        "<h1>Parts</h1><ul class='a list'><li class=row><span><b>", C("p_name"), "</b></span><a data-href='/no' href='/p/", C("p_partkey"),
+        "' title=\"", C("p_type"), "\">more</a>",
     )
+    second = _parts_page("<li class='row even'><span><b>", F.concat_ws(" & ", "p_brand", C("p_size").cast("string")), "</b></span></li>")
+    page = F.concat(first, F.when(C("p_size") % 2 == 0, second).otherwise(F.lit("<li class='row'></li>")), F.lit("</ul><li class='row'>outside"))
+    fields = {
+        "name": "span", "link": {"selector": "a", "attr": "href", "urljoin": True}, "inner": {"selector": "span", "attr": "html"},
+        "kind": {"selector": "a", "attr": "title"},
+    }
+    rows = html.html_rows(page, F.lit("https://x.org/list?x=1"), "ul.list > li.row", fields)
+    found = html.explode_rows(df, rows, ["p_partkey"])
+    return found.select("p_partkey", "pos", *[C("row")[n].alias(n) for n in ("name", "link", "inner", "kind")])
 
 
 HREFS = """SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) AS i FROM pages"""
@@ -190,13 +216,25 @@ def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("src_10_html_description", "SRC-10", None)
+@query(
+    "src_10_html_description",
+    "SRC-10",
+    """SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN '<p>' || p_name || '</p> in <i>' || p_type || '</i>' ELSE p_brand END AS body,
+    CASE WHEN p_size % 3 = 0 THEN p_name || ' in ' || p_type ELSE p_brand END AS text, 'about ' || p_name AS stated FROM part""",
+)
 def html_description(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "pages")
+    main = _parts_page("<div id=main><div class='text'> <p>", C("p_name"), "</p> in <i>", C("p_type"), "</i> </div></div>")
+    page = F.concat(
+        _parts_page('<meta name="description" content="about ', C("p_name"), '"><div class="text"></div>'),
+        F.when(C("p_size") % 3 == 0, main).otherwise(F.lit("<div id=main><div class=text> </div></div>")),
+        _parts_page("<footer>", C("p_brand"), "</footer>"),
+    )
+    df = table(spark, sf_dir, "part")
     return df.select(
-        "page_id",
-        html.html_description(C("html"), ["div.missing", "article h1", "body"]).alias("inner"),
-        html.html_description(C("html"), ["footer"], "text").alias("text"),
+        "p_partkey",
+        html.html_description(page, ["div.missing", "#main div.text", "footer"]).alias("body"),
+        html.html_description(page, ["div.missing", "#main div.text", "footer"], "text").alias("text"),
+        html.html_description(page, ["div.missing", {"selector": "meta[name=description]", "attr": "content"}, "footer"]).alias("stated"),
     )
 
 
@@ -217,14 +255,35 @@ def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("page_id", html.canonical_page(F.concat(C("html"), extra), answered).alias("link"))
 
 
-@query("src_14_labelled_values", "SRC-14", None)
+@query(
+    "src_14_labelled_values",
+    "SRC-14",
+    """SELECT p_partkey, p_type AS job_level, CASE WHEN p_size % 2 = 0 THEN p_brand || ' & more' END AS job_type, p_name AS industry FROM part""",
+)
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "pages")
-    extra = F.lit(
-        '<ul><li><h3 class="k"> Seniority level </h3><span> Mid </span></li><li><h3>Employment type</h3> <span>Full-time</span></li></ul>'
-        '<span class="x industry">IT</span>'
+    kind = F.when(
+        C("p_size") % 2 == 0, _parts_page("<li><h3>Employment type</h3> <br><span>", F.concat("p_brand", F.lit(" & more")), "</span></li>")
+    ).otherwise(F.lit("<li><h3>Employment</h3><span>no label</span></li>"))
+    page = F.concat(
+        _parts_page('<ul><li><h3 class="k"> Seniority level </h3><span> ', C("p_type"), " </span></li>"), kind,
+        _parts_page('</ul><span class="x industry">', C("p_name"), "</span>"),
     )
-    values = html.labelled_values(
-        F.concat(C("html"), extra), {"job_level": "Seniority level", "job_type": "Employment type"}, {"industry": "span.industry"}
+    values = html.labelled_values(page, {"job_level": "Seniority level", "job_type": "Employment type"}, {"industry": "span.industry"})
+    return table(spark, sf_dir, "part").select("p_partkey", *[values[n].alias(n) for n in ("job_level", "job_type", "industry")])
+
+
+@query(
+    "src_02_link_rows",
+    "SRC-02",
+    oracle("SELECT seq AS file, k AS pos, 'https://x.org/' || id || '/' || k AS link FROM positions, (VALUES (0), (1)) AS n(k)", "positions"),
+)
+def link_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links from each of the shapes a file of links may have."""
+    one = lambda k: F.to_json(F.struct(F.concat(F.lit("https://x.org/"), C("id"), F.lit(f"/{k}")).alias("url")))
+    listed = F.concat(F.lit("["), one(0), F.lit(","), one(1), F.lit("]"))
+    wrap = lambda a, b: F.concat(F.lit(a), listed, F.lit(b))
+    shape = (
+        F.when(C("seq") % 3 == 0, listed).when(C("seq") % 3 == 1, wrap('{"jobs":', "}")).otherwise(wrap('{"table":{"columns":[],"rows":', "}}"))
     )
-    return df.select("page_id", *[values[n].alias(n) for n in ("job_level", "job_type", "industry")])
+    rows = landing.explode_items(_docs(spark, sf_dir, shape), landing.link_rows(C("doc")), ["file"])
+    return rows.select("file", "pos", F.variant_get("item", "$.url", "string").alias("link"))

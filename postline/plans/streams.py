@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from postline.operators import folding
 from postline.plans.derive import derived_from, oracle
 from postline.plans.folding import with_payload
-from postline.plans.merging import RUN_TS, SNAPSHOT, show, unique
+from postline.plans.merging import BASE, RUN_TS, STAGED, batch_ctes, show, shown, unique
 from postline.plans.registry import query, table
 from postline.session import checkpoint_dir
 from postline.streaming import ingest, ticks
@@ -22,47 +22,79 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query(
-    "stm_01_incremental_ingest",
-    "STM-01 MRG-01",
-    oracle(SNAPSHOT.replace("900000000 + seq", "1000000000 + seq"), "batch", "stored"),
-)
+def landed(spark: SparkSession, parts: list[DataFrame], name: str) -> DataFrame:
+    """A stream that brings each part as one micro-batch, in their order."""
+    folder = scratch(spark, name)
+    for i, rows in enumerate(parts):
+        rows.coalesce(1).write.parquet(f"{folder}/part={i}")
+    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part=*")
+
+
+PARTS = 3
+
+
+def _chain() -> str:
+    """CTEs of one whole batch after the other."""
+    parts = [f"base AS ({BASE})"]
+    rows = "base"
+    for i in range(PARTS):
+        own = STAGED.replace("FROM batch", f"FROM (SELECT * FROM batch WHERE seq % {PARTS} = {i}) AS b")
+        parts += [f"s{i} AS ({own})", batch_ctes(rows, f"s{i}", f"_{i}", 1_000_000_000)]
+        rows = f"after_{i}"
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + shown(rows)
+
+
+@query("stm_01_incremental_ingest", "STM-01 MRG-01", oracle(_chain(), "batch", "stored"))
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = scratch(spark, "store")
     ingest.write_version(unique(spark, sf_dir), store, 0)
-    schema = table(spark, sf_dir, "orders").schema
-    landing = spark.readStream.schema(schema).parquet(f"{sf_dir}/orders*.parquet")
+    orders = table(spark, sf_dir, "orders")
+    stream = landed(spark, [orders.where(C("o_orderkey") % PARTS == i) for i in range(PARTS)], "landing")
     stage = lambda rows: folding.fold_inputs(with_payload(derived_from(rows, "batch")))
-    ingest.ingest(landing, store, scratch(spark, "ingest"), stage, RUN_TS).awaitTermination()
+    ingest.ingest(stream, store, scratch(spark, "ingest"), stage, RUN_TS).awaitTermination()
     return show(ingest.read_store(spark, store))
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet").withColumn("ts", C("ts").cast("timestamp"))
-
-
 @query(
     "stm_02_cross_batch_dedup",
     "STM-02",
-    "SELECT DISTINCT user_id, event_type FROM events",
+    """SELECT user_id, event_type, day FROM (SELECT DISTINCT user_id, event_type FROM events) AS e, (VALUES ('2024-01-01'), ('2024-01-11')) AS d(day)
+    UNION ALL SELECT -i, 'clock', '2024-01-11' FROM (VALUES (1), (2)) AS c(i)""",
 )
 def cross_batch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event comes again an hour later, within the delay, and ten days later, beyond it.
+
+    Two batches in between only move the clock, so that the state has expired.
+    """
+    start = F.lit("2024-01-01 10:00:00").cast("timestamp")
+    events = table(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.timestamp_add("SECOND", (C("event_id") % 3600).cast("int"), start).alias("ts")
+    )
+    later = lambda hours: events.withColumn("ts", F.timestamp_add("HOUR", F.lit(hours), C("ts")))
+    clock = lambda i: spark.range(1).select(
+        F.lit(-i).cast("bigint").alias("user_id"), F.lit("clock").alias("event_type"), F.timestamp_add("HOUR", F.lit(240), start).alias("ts")
+    )
+    stream = landed(spark, [events, later(1), clock(1), clock(2), later(240)], "deliveries")
     target = scratch(spark, "dedup")
-    once = ingest.dedupe_stream(_events(spark, sf_dir), "ts", ["user_id", "event_type"], "60 days")
-    ingest.run_to_folder(once.select("user_id", "event_type"), target, scratch(spark, "dedup-state"))
-    return spark.read.parquet(target)
+    once = ingest.dedupe_stream(stream, "ts", ["user_id", "event_type"])
+    ingest.run_to_folder(once, target, scratch(spark, "dedup-state"))
+    return spark.read.parquet(target).select("user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
 
 
-TICKS_SQL = f"""
-SELECT strftime(to_timestamp(floor((epoch(ts) - 1800) / (3600 * h)) * 3600 * h + 1800)::TIMESTAMPTZ AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M') AS tick, event_type, h AS hours, count(*) AS n
-FROM (SELECT *, CASE WHEN event_type IN ('error', 'signup') THEN 3 ELSE 1 END AS h FROM events) AS e GROUP BY 1, 2, 3"""
+# The tick that collects an event: by the list of ticks of its day and the next, in local time.
+TICKS_SQL = """
+WITH e AS (SELECT CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_type END AS event_type, ts::TIMESTAMP AT TIME ZONE 'UTC' AT TIME ZONE 'Asia/Jerusalem' AS t FROM events),
+h AS (SELECT *, CASE WHEN event_type IN ('error', 'signup') THEN 3 ELSE 1 END AS hours FROM e),
+ticks AS (SELECT DISTINCT t::DATE + d * INTERVAL 1 DAY + INTERVAL 450 MINUTE + i * INTERVAL 1 HOUR AS tick, i % 3 = 0 AS slow
+  FROM h, range(0, 2) AS days(d), range(0, 16) AS hour(i)),
+found AS (SELECT h.event_type, h.hours, (SELECT min(tick) FROM ticks WHERE tick >= h.t AND (slow OR h.hours = 1) AND tick < h.t + INTERVAL 2 DAY) AS tick FROM h)
+SELECT strftime(tick, '%Y-%m-%d %H:%M') AS tick, event_type, hours::INT AS hours, count(*) AS n FROM found GROUP BY 1, 2, 3"""
 
 
 @query("stm_03_tick_coverage", "STM-03 AGG-03", TICKS_SQL)
 def tick_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "events").select("ts", "event_type")
-    counted = ticks.coverage(df, "ts", "event_type", ["error", "signup"])
+    kind = F.when(C("event_id") % 50 > 0, C("event_type")).alias("event_type")
+    counted = ticks.coverage(table(spark, sf_dir, "events").select(C("ts").cast("timestamp").alias("ts"), kind), "ts", "event_type", ["error", "signup"])
     return counted.withColumn("tick", F.date_format("tick", "yyyy-MM-dd HH:mm"))
 
 

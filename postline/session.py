@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 
 def build_session(app: str = "postline", cpus: str = "*", partitions: int = 8) -> SparkSession:
@@ -41,12 +44,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df once to the shared checkpoint folder and read it from there.
+    """Write df once as Parquet to the shared checkpoint folder and read it from there.
 
-    Used where one result feeds several outputs, so that a lost executor costs
-    a re-read and not a re-run. Never a local checkpoint.
+    Used where one result feeds several outputs: a lost executor costs a
+    re-read and not a re-run, and the planner knows the size of what it reads.
+    Never a local checkpoint. Columns without a type become text.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    typed = df.withColumns({f.name: F.col(f.name).cast("string") for f in df.schema if isinstance(f.dataType, NullType)})
+    typed.write.parquet(path)
+    return spark.read.schema(typed.schema).parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType
 
-from postline.functions.markup import first_match, parse, select
+from postline.functions.markup import Node, first_match, parse, select
 from postline.functions.text import clean_text, html_unescape, strip
 from postline.functions.url import found, join_url, linkedin_page
 
@@ -86,21 +87,30 @@ def posting_summary(posting: Column) -> dict[str, Column]:
 
 def links(html: Column, base: Column, prefix: str = "") -> Column:
     """Absolute addresses of anchors whose href starts with a prefix, first seen first."""
-    hrefs = F.regexp_extract_all(html, F.lit(r"(?i)<a\b[^>]*?\bhref=[\"']([^\"']*)[\"']"), F.lit(1))
+    tags = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*>"), F.lit(0))
+    hrefs = F.filter(F.transform(tags, lambda t: _attr(t, "href")), lambda h: h.isNotNull())
     mine = F.filter(F.transform(hrefs, strip), lambda h: (h != "") & F.startswith(h, F.lit(prefix)) & (h != prefix))
     return F.array_distinct(F.transform(mine, lambda h: join_url(base, h)))
 
 
-def script_links(html: Column, base: Column, tags: int = 40, total: int = 80) -> Column:
-    """Script addresses: up to 40 from script tags, chunk files up to 80 in all."""
-    tagged = F.regexp_extract_all(html, F.lit(r"(?i)<script[^>]+src=[\"']([^\"']+)[\"']"), F.lit(1))
-    chunks = F.regexp_extract_all(html, F.lit(r"/_next/static/chunks/[^\"'\\\s<>]+?\.js"), F.lit(0))
-    first = F.slice(F.array_distinct(F.transform(tagged, lambda h: join_url(base, h))), 1, tags)
-    return F.slice(F.array_distinct(F.concat(first, F.transform(chunks, lambda h: join_url(base, h)))), 1, total)
+def script_links(html: Column, base: Column) -> Column:
+    """Absolute addresses of all script tags, then of the chunk files named anywhere; each once."""
+    tags = F.regexp_extract_all(html, F.lit(r"(?is)<script\s[^>]*>"), F.lit(0))
+    sources = F.filter(F.transform(tags, lambda t: strip(_attr(t, "src"))), lambda h: h != "")
+    chunks = F.regexp_extract_all(html, F.lit(CHUNK), F.lit(0))
+    return F.array_distinct(F.transform(F.concat(sources, chunks), lambda h: join_url(base, h)))
+
+
+# Fixed value: the folder in which one framework keeps its script files.
+CHUNK_FOLDER = "/_next/static/chunks/"
+CHUNK = CHUNK_FOLDER + r"[\w./%@~-]*?\.js"
 
 
 def _attr(tag: Column, name: str) -> Column:
-    return found(tag, rf"(?i)\b{name}=[\"']([^\"']*)[\"']")
+    """Value of an attribute, quoted or bare; null without it or when it is empty."""
+    start = rf"(?is)\s{name}\s*=\s*"
+    quoted = F.coalesce(found(tag, start + '"([^"]*)"'), found(tag, start + "'([^']*)'"))
+    return F.coalesce(quoted, found(tag, start + r"""([^\s"'>]+)"""))
 
 
 def _last_of_key(entries: Column) -> Column:
@@ -168,78 +178,60 @@ def canonical_page(html: Column, response_url: Column) -> Column:
     return F.coalesce(*[linkedin_page(c)[0] for c in candidates])
 
 
-def off_site(html: Column) -> Column:
-    """Marks of a page whose applications go elsewhere."""
-    marks = (
-        r"apply-button__offsite-apply-icon-svg|public_jobs_apply-link-offsite|Apply on company website"
-        r"|Responses managed off LinkedIn|(?i:data-is-offsite-apply=[\"']true)"
-    )
-    return html.rlike(marks)
+Reader = Callable[[str, Node, str], str | None]
 
 
-def _field(node, config: dict, base: str) -> str | None:
-    selector = (config.get("selector") or "").strip()
-    target = node if selector in ("", ".") else first_match(node, selector)
-    if target is None:
-        return None
-    attr = (config.get("attr") or "text").strip()
-    value = target.text() if attr == "text" else target.attrs.get(attr)
-    value = (value or "").strip()
-    if not value:
-        return None
-    return urljoin(base, value) if config.get("urljoin") else value
+def field_reader(config: dict | str) -> Reader:
+    """A function of page, row element and base address that reads one configured field.
 
+    `selector` picks an element below the row (the row itself if blank or `.`),
+    `attr` its text, inner html or an attribute; `urljoin` makes it absolute.
+    """
+    options = {"selector": config} if isinstance(config, str) else config
+    selector, attr = ((options.get(k) or "").strip() for k in ("selector", "attr"))
+    values: dict[str, Callable[[str, Node], str | None]] = {
+        "": lambda page, at: at.text(),
+        "text": lambda page, at: at.text(),
+        "html": lambda page, at: page[at.start : at.stop],
+    }
+    value = values.get(attr, lambda page, at: at.attrs.get(attr))
 
-def _inner(html: str, node) -> str:
-    return html[node.start : node.stop]
+    def read(page: str, row: Node, base: str) -> str | None:
+        at = row if selector in ("", ".") else first_match(row, selector)
+        content = (value(page, at) or "").strip() if at is not None else ""
+        return (urljoin(base, content) if options.get("urljoin") else content) if content else None
+
+    return read
 
 
 def html_rows(html: Column, base: Column, row_selector: str, fields: dict[str, dict | str]) -> Column:
     """array<map<string,string>>: one map per matched element; empty ones are dropped."""
-    configs = {n: {"selector": c} if isinstance(c, str) else c for n, c in fields.items()}
 
     @F.pandas_udf(ArrayType(MapType(StringType(), StringType())))
     def extract(pages: pd.Series, bases: pd.Series) -> pd.Series:
-        out = []
-        for page, base_url in zip(pages, bases):
-            rows = []
-            for node in select(parse(page or ""), row_selector):
-                row = {}
-                for name, config in configs.items():
-                    if config.get("attr") == "html":
-                        at = node if config.get("selector") in (None, "", ".") else first_match(node, config["selector"])
-                        value = _inner(page, at).strip() if at is not None else None
-                    else:
-                        value = _field(node, config, base_url or "")
-                    if value:
-                        row[name] = value
-                if row:
-                    rows.append(row)
-            out.append(rows)
-        return pd.Series(out)
+        readers = {name: field_reader(config) for name, config in fields.items()}
+
+        def rows(page: str, base_url: str) -> list[dict[str, str]]:
+            found_rows = ({n: read(page, node, base_url) for n, read in readers.items()} for node in select(parse(page), row_selector))
+            return [kept for row in found_rows if (kept := {n: v for n, v in row.items() if v})]
+
+        return pd.Series([rows(page or "", base_url or "") for page, base_url in zip(pages, bases, strict=True)])
 
     return extract(html, base)
 
 
-def html_description(html: Column, selectors: list[str], attr: str = "html") -> Column:
-    """Content of the first selector that yields any."""
+def html_description(html: Column, selectors: list[dict | str], attr: str = "html") -> Column:
+    """Content of the first selector that yields any. A selector may state its own `attr`."""
 
     @F.pandas_udf(StringType())
     def extract(pages: pd.Series) -> pd.Series:
-        def one(page: str | None) -> str | None:
-            if not page:
-                return None
+        readers = [field_reader({"attr": attr} | ({"selector": s} if isinstance(s, str) else s)) for s in selectors]
+
+        def first(page: str) -> str | None:
             tree = parse(page)
-            for selector in selectors:
-                node = first_match(tree, selector)
-                if node is None:
-                    continue
-                value = (node.text() if attr == "text" else _inner(page, node)).strip()
-                if value:
-                    return value
-            return None
+            return next((v for read in readers if (v := read(page, tree, ""))), None)
 
-        return pages.map(one)
+        return pages.map(first, na_action="ignore")
 
     return extract(html)
 

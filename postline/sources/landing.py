@@ -54,7 +54,8 @@ def grid(doc: Column) -> tuple[Column, Column]:
 
 def link_rows(doc: Column) -> Column:
     """Rows of a file of links: a list, {jobs: [...]}, or a grid export."""
-    return F.coalesce(as_items(doc), as_items(doc, "$.jobs"), grid(doc)[0])
+    listed = F.coalesce(as_items(doc), as_items(doc, "$.jobs"))
+    return F.when(listed.isNotNull(), listed).otherwise(grid(doc)[0])
 
 
 def locate_rows(doc: Column, rows_path: str | None = None) -> Column:
@@ -67,16 +68,6 @@ def locate_rows(doc: Column, rows_path: str | None = None) -> Column:
     return F.coalesce(as_items(doc), *direct, *nested)
 
 
-def locate_rows_deep(doc: Column, depth: int = 3) -> Column:
-    """As locate_rows, looking into the known keys of objects several levels down."""
-    found = [as_items(doc)]
-    places = ["$"]
-    for _ in range(depth):
-        places = [f"{p}.{k}" for p in places for k in ROW_KEYS]
-        found += [F.when(F.size(as_items(doc, p)) > 0, as_items(doc, p)) for p in places]
-    return F.coalesce(*found)
-
-
 def require_rows(rows: Column) -> Column:
     return must(rows.isNotNull(), rows, "array<variant>", "a feed payload must be a list or expose one")
 

@@ -1,23 +1,27 @@
 """Micro-batch ingest into a versioned postings folder.
 
-A version holds only the rows its batch inserted or changed, so an hourly
-batch writes about as much as it brings, not the whole table. Readers take
-the newest version of each link; `compact` writes them out as one version.
-A batch reads versions below its own and overwrites its own, so a batch that
-is run again gives the same rows.
+A version holds only the rows its batch touched, so an hourly batch writes
+about as much as it brings, not the whole table; rows that were merged into
+others are written as gone. Readers take the newest version of each id;
+`compact` writes them out as one version. A batch reads versions below its own
+and overwrites its own, so a batch that is run again gives the same rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postline.operators.merge import apply_changes, compare, default_dates, new_rows
+from postline.operators.merge import default_dates, touched_rows, upsert_postings
 from postline.session import cut_lineage
 
+GONE = "_gone"
+
 
 def write_version(rows: DataFrame, store: str, version: int) -> None:
     rows.write.mode("overwrite").parquet(f"{store}/version={version}")
@@ -25,14 +29,16 @@ def write_version(rows: DataFrame, store: str, version: int) -> None:
 
 def all_versions(spark: SparkSession, store: str) -> DataFrame:
     """Rows of every version, with `version`; older files may lack late columns."""
-    return spark.read.option("mergeSchema", "true").parquet(store)
+    rows = spark.read.option("mergeSchema", "true").parquet(store)
+    return rows if GONE in rows.columns else rows.withColumn(GONE, F.lit(False))
 
 
 def newest(rows: DataFrame) -> DataFrame:
-    """The newest version of each link."""
+    """The newest version of each id, without those that are gone."""
     columns = [c for c in rows.columns if c != "version"]
     picked = F.max_by(F.struct(*columns), "version").alias("_row")
-    return rows.groupBy("job_url").agg(picked).select("_row.*")
+    found = rows.groupBy("id").agg(picked).select("_row.*")
+    return found.where(~F.coalesce(GONE, F.lit(False))).drop(GONE)
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame:
@@ -40,18 +46,25 @@ def read_store(spark: SparkSession, store: str) -> DataFrame:
 
 
 def rows_of_batch(spark: SparkSession, store: str, staged: DataFrame, version: int) -> DataFrame:
-    """Stored rows of the links in a batch, as they were before it."""
+    """Stored rows a batch can touch, as they were before it.
+
+    Any version of a row can show that; what counts is its newest.
+    """
     before = all_versions(spark, store).where(F.col("version") < version)
-    return newest(before.join(staged.select("job_url"), "job_url", "left_semi"))
+    ids = cut_lineage(touched_rows(before, staged).select("id").distinct())
+    return cut_lineage(touched_rows(newest(before.join(ids, "id", "left_semi")), staged))
 
 
-def apply_batch(spark: SparkSession, store: str, staged: DataFrame, version: int, run_ts: str, next_id: int) -> None:
-    """Upsert one folded batch as one new version."""
+def apply_batch(
+    spark: SparkSession, store: str, staged: DataFrame, version: int, run_ts: str, next_id: int, **options: object
+) -> None:
+    """The whole upsert of one folded batch, written as one new version."""
     staged = cut_lineage(default_dates(staged, run_ts))
     current = rows_of_batch(spark, store, staged, version)
-    compared = compare(current, staged)
-    changed = apply_changes(compared.where("changed"), current.columns, run_ts)
-    write_version(changed.unionByName(new_rows(current, staged, next_id, run_ts)), store, version)
+    done = upsert_postings(current, staged, run_ts, next_id, **options)
+    losers = current.join(done.mapping.select(F.col("loser_id").alias("id")), "id", "left_semi")
+    rows = done.touched.withColumn(GONE, F.lit(False)).unionByName(losers.withColumn(GONE, F.lit(True)))
+    write_version(rows, store, version)
 
 
 def compact(spark: SparkSession, store: str, target: str, version: int) -> None:
@@ -59,23 +72,39 @@ def compact(spark: SparkSession, store: str, target: str, version: int) -> None:
     write_version(read_store(spark, store), target, version)
 
 
+def base_version(spark: SparkSession, store: str, checkpoint: str) -> int:
+    """The version of a run's first batch: one above all that the store holds when the run first starts.
+
+    It is written down beside the versions under the run's checkpoint, so a
+    restart goes on with it and a run with a new checkpoint never overwrites.
+    """
+    marker = f"{store}/_runs/{hashlib.md5(checkpoint.encode()).hexdigest()}"
+    try:
+        return spark.read.schema("base int").json(marker).first()["base"]
+    except AnalysisException:
+        last = all_versions(spark, store).agg(F.max("version")).first()[0]
+        base = (last if last is not None else -1) + 1
+        spark.createDataFrame([(base,)], "base int").coalesce(1).write.json(marker)
+        return base
+
+
 def ingest(
     landing: DataFrame,
     store: str,
     checkpoint: str,
     stage: Callable[[DataFrame], DataFrame],
     run_ts: str,
-    first_version: int = 1,
-    id_step: int = 1_000_000_000,
+    first_id: int = 1_000_000_000,
+    **options: object,
 ) -> StreamingQuery:
     """Run the landed stream to its end. `stage` turns landed rows into a folded batch.
 
-    Every batch numbers its new rows in its own range of ids.
+    New rows get first_id + seq; seq is unique over all landed rows, so ids are.
     """
+    base = base_version(landing.sparkSession, store, checkpoint)
 
     def one(batch: DataFrame, epoch: int) -> None:
-        version = first_version + epoch
-        apply_batch(batch.sparkSession, store, stage(batch), version, run_ts, version * id_step)
+        apply_batch(batch.sparkSession, store, stage(batch), base + epoch, run_ts, first_id, **options)
 
     return (
         landing.writeStream.foreachBatch(one)

@@ -1,13 +1,14 @@
-"""Ticks of the hourly runs: which one a moment belongs to and how far it looks back."""
+"""Ticks of the hourly runs: which one collects a row and how far it looks back."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Runs at half past, from 7 to 22; some sources only every third hour.
+# Runs at half past, from 7 to 22, on the clock of one zone; some sources only every third hour.
 FIRST_HOUR, LAST_HOUR, MINUTE = 7, 22, 30
 HOURLY_MINUTES, FIRST_MINUTES, SLOW_HOURS = 60, 24 * 60, 3
+ZONE = "Asia/Jerusalem"
 
 
 def lookback_minutes(tick: Column) -> Column:
@@ -25,16 +26,33 @@ def is_slow_tick(tick: Column) -> Column:
     return is_tick(tick) & ((F.hour(tick) - FIRST_HOUR) % SLOW_HOURS == 0)
 
 
+def collecting_tick(moment: Column, slow: Column, zone: str = ZONE) -> Column:
+    """Local time of the first tick at or after a moment; of the slow ones where `slow` holds.
+
+    After the last tick of a day the first one of the next day collects, as it
+    looks back a day.
+    """
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.to_utc_timestamp(moment, F.current_timezone()).cast("timestamp_ntz"))
+    day = F.date_trunc("day", local).cast("timestamp_ntz")
+    past = F.timestamp_diff("SECOND", day, local) - (FIRST_HOUR * 60 + MINUTE) * 60
+    step = F.when(slow, F.lit(SLOW_HOURS * 3600)).otherwise(F.lit(3600))
+    waits = F.greatest(F.ceil(past / step), F.lit(0)) * step
+    whole = (LAST_HOUR - FIRST_HOUR) // SLOW_HOURS * SLOW_HOURS
+    last = F.when(slow, F.lit(whole * 3600)).otherwise(F.lit((LAST_HOUR - FIRST_HOUR) * 3600))
+    after = F.when(waits > last, F.lit(24 * 3600)).otherwise(waits)
+    return F.timestamp_add("SECOND", (after + (FIRST_HOUR * 60 + MINUTE) * 60).cast("int"), day)
+
+
+def coverage(df: DataFrame, moment: str, source: str, slow: list[str], zone: str = ZONE) -> DataFrame:
+    """tick, source, hours, n: rows per collecting tick. Rows without a source count as hourly ones; one scan."""
+    late = F.coalesce(F.col(source).isin(slow), F.lit(False))
+    ticked = df.select(
+        collecting_tick(F.col(moment), late, zone).alias("tick"), source, F.when(late, SLOW_HOURS).otherwise(1).alias("hours")
+    )
+    return ticked.groupBy("tick", source, "hours").agg(F.count("*").alias("n"))
+
+
 def tick_counts(df: DataFrame, moment: str, source: str, width: str = "1 hour") -> DataFrame:
-    """Rows per source and tick window; the same for tables and for streams."""
+    """Rows per source and window between ticks; the same for tables and for streams."""
     counted = df.groupBy(F.window(moment, width, startTime=f"{MINUTE} minutes").alias("w"), source)
     return counted.agg(F.count("*").alias("n")).select(F.col("w.start").alias("tick"), source, "n")
-
-
-def coverage(df: DataFrame, moment: str, source: str, slow: list[str]) -> DataFrame:
-    """Windows of one hour, of three hours for the slow sources."""
-    fast = df.where(~F.col(source).isin(slow))
-    late = df.where(F.col(source).isin(slow))
-    one = tick_counts(fast, moment, source).withColumn("hours", F.lit(1))
-    three = tick_counts(late, moment, source, f"{SLOW_HOURS} hours").withColumn("hours", F.lit(SLOW_HOURS))
-    return one.unionByName(three)
