@@ -78,8 +78,12 @@ def _front(parts: Column, drop: int) -> Column:
 
 
 def _let(value: Column, rule: Callable[[Column], Column]) -> Column:
-    """The rule over a value that is computed once, however often the rule reads it."""
-    return F.get(F.transform(F.array(value), rule), F.lit(0))
+    """The rule over a value that it reads several times.
+
+    Every rule reads the value in its first test, so generated code computes it
+    once per row and shares it; a function over a one-item array would not be generated.
+    """
+    return rule(value)
 
 
 def parse_location(text: Column, style: str, country: Column | None = None) -> Column:

@@ -77,8 +77,11 @@ def spark_type(kind: str, name: str, is_datetime: bool) -> str:
 
 
 def grid_schema(columns: DataFrame, item: str = "item") -> list[GridColumn]:
-    """Column definitions of an export. The column list of a grid is its header:
-    small by nature, so it is read on the driver."""
+    """Column definitions of all documents of an export, in order of first place.
+
+    Equal definitions are folded on Spark; what reaches the driver is the header,
+    one row per different definition. One id with two types or names is an error.
+    """
     v = F.col(item)
     get = lambda path, kind="string": F.try_variant_get(v, path, kind)
     choice_list = F.transform(
@@ -93,16 +96,22 @@ def grid_schema(columns: DataFrame, item: str = "item") -> list[GridColumn]:
             F.coalesce(F.try_variant_get(e["value"], "$.name", "string"), F.try_variant_get(e["value"], "$", "string")).alias("name"),
         ),
     )
-    header = columns.orderBy("pos").select(
-        clean_text(get("$.id")).alias("id"), clean_text(get("$.name")).alias("name"), clean_text(get("$.type")).alias("type"),
+    stated = columns.select(
+        "pos", clean_text(get("$.id")).alias("id"), clean_text(get("$.name")).alias("name"), clean_text(get("$.type")).alias("type"),
         F.coalesce(get("$.typeOptions.isDateTime", "boolean"), F.lit(False)).alias("is_datetime"),
         F.coalesce(choice_list, from_map).alias("choices"),
-    ).collect()
+    )
+    folded = stated.groupBy("id", "name", "type", "is_datetime").agg(
+        F.min("pos").alias("pos"), F.array_distinct(F.flatten(F.collect_set("choices"))).alias("choices")
+    )
+    header = folded.orderBy("pos", "id").collect()
     out: list[GridColumn] = []
     for row in header:
         if not row["id"] or not row["name"] or not row["type"]:
             raise ValueError("each grid column needs id, name and type")
         name = column_name(row["name"])
+        if any(c.source_id == row["id"] for c in out):
+            raise ValueError(f"grid column {row['id']!r} is defined in two ways")
         if any(c.name == name for c in out):
             raise ValueError(f"two grid columns become {name!r}")
         choices = {c["id"].strip(): c["name"].strip() for c in row["choices"] or [] if c["id"] and c["name"]}

@@ -215,7 +215,8 @@ def repoint_facts(facts: DataFrame, mapping: DataFrame, rules: dict[str, str], k
     One pass: only facts of postings the mapping names are grouped, the rest
     pass through. `tie` orders facts of the same posting, if the table has it.
     """
-    marked = facts.join(touched_ids(mapping).withColumnRenamed("id", "job_id"), "job_id", "left")
+    spread = F.xxhash64(*[k for k in keys if k != "job_id"])
+    marked = attach(facts, touched_ids(mapping).withColumnRenamed("id", "job_id"), ["job_id"], spread)
     rest = marked.where("winner_id IS NULL").select(*facts.columns)
     tie = ["tie"] if "tie" in facts.columns else []
     order = F.struct(~F.col("is_winner"), "job_id", *tie)

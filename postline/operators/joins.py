@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postline.functions.text import clean_text, meaningful
 from postline.functions.url import linkedin_page
+from postline.operators.skew import attach
 
 DETAIL_COLUMNS = (
     "description", "apply_url", "job_url_direct", "applications_count", "job_level", "company_industry", "job_function",
@@ -70,14 +71,15 @@ def hydration_summary(hydrated: DataFrame) -> DataFrame:
     )
 
 
-def with_context(positions: DataFrame, companies: DataFrame, key: str = "page_key") -> DataFrame:
-    """Every position takes name, site, logo and description of its page."""
-    return positions.join(companies, key, "left")
+def with_context(positions: DataFrame, companies: DataFrame, key: str = "page_key", spread: str = "id") -> DataFrame:
+    """Every position takes name, site, logo and description of its page; hot pages are split."""
+    return attach(positions, companies, [key], F.col(spread))
 
 
-def only_new(postings: DataFrame, inserted: DataFrame) -> DataFrame:
-    """Postings whose link was inserted by an upsert."""
-    return postings.join(inserted.select("job_url"), "job_url", "left_semi")
+def only_new(postings: DataFrame, inserted: DataFrame, spread: str = "seq") -> DataFrame:
+    """Postings whose link was inserted by an upsert; hot links are split."""
+    found = attach(postings, inserted.select("job_url").distinct(), ["job_url"], F.col(spread), "inner")
+    return found.select(*postings.columns)
 
 
 def resolve_choices(ids: Column, names: dict[str, str]) -> Column:

@@ -21,6 +21,7 @@ from postline.functions.url import (
     profile_url,
     split_url,
 )
+from postline.operators.skew import attach
 from postline.sources.specs import SPECS, SourceSpec
 
 RECORD_COLUMNS = (
@@ -334,14 +335,17 @@ def rejects(mapped: DataFrame) -> DataFrame:
 
 
 def count_rejects(mapped: DataFrame) -> DataFrame:
-    """Invalid rows by reason, and rows that repeat an accepted link."""
+    """Invalid rows by reason, and rows that repeat an accepted link.
+
+    One pass over the mapped rows: they are counted per reason and, where there
+    is none, per link.
+    """
     ok = F.col("reject_reason").isNull()
-    invalid = mapped.where(~ok).groupBy(F.col("reject_reason").alias("reason")).agg(F.count("*").alias("n"))
-    per_link = mapped.where(ok).groupBy("job_url").agg(F.count("*").alias("n"))
-    repeats = per_link.agg(
-        F.lit("duplicate_input").alias("reason"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")
-    )
-    return invalid.unionByName(repeats)
+    per_link = mapped.groupBy("reject_reason", F.when(ok, F.col("job_url")).alias("link")).agg(F.count("*").alias("n"))
+    repeats = F.col("n") - F.when(ok, 1).otherwise(0)
+    found = per_link.select(F.coalesce("reject_reason", F.lit("duplicate_input")).alias("reason"), repeats.alias("n"))
+    always = mapped.sparkSession.range(1).select(F.lit("duplicate_input").alias("reason"), F.lit(0).cast("bigint").alias("n"))
+    return found.unionByName(always).groupBy("reason").agg(F.sum("n").alias("n"))
 
 
 def build_records(raw: DataFrame, builder: Callable[[DataFrame], DataFrame] = map_records) -> DataFrame:
@@ -354,11 +358,8 @@ def stamp(df: DataFrame, **constants: object) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in constants.items()})
 
 
-def stamp_from_catalog(df: DataFrame, catalog: DataFrame, key: str = "page_key") -> DataFrame:
-    """Provenance of many career pages at once, by the page key of each row.
-
-    The catalog is joined as it is: Spark broadcasts it when its size allows.
-    """
+def stamp_from_catalog(df: DataFrame, catalog: DataFrame, key: str = "page_key", spread: str = "seq") -> DataFrame:
+    """Provenance of many career pages at once, by the page key of each row; hot pages are split."""
     pages = catalog.select(
         F.col("company_key").alias(key),
         F.col("id").cast("string").alias("direct_company_career_page_id"),
@@ -366,4 +367,4 @@ def stamp_from_catalog(df: DataFrame, catalog: DataFrame, key: str = "page_key")
         F.col("company_name").alias("direct_company_career_page_company"),
         F.coalesce(clean_text(F.col("company_name")), clean_text(F.col("company_key"))).alias("source"),
     )
-    return df.drop("source").join(pages, key, "left")
+    return attach(df.drop("source"), pages, [key], F.col(spread))

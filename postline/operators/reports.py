@@ -39,24 +39,48 @@ def coverage(rows: DataFrame) -> DataFrame:
     )
 
 
-def validate_sources(raw: DataFrame, pages: DataFrame | None = None, key: str = "source", sample: int | None = 5) -> DataFrame:
-    """Per source: sample size, rows per error, the error texts and valid or failed.
+def checked_rows(raw: DataFrame, key: str = "source", sample: int | None = None) -> DataFrame:
+    """key, seq, title, job_url, the mapped record and what is wrong with each row.
 
-    The sample is the first rows of each source; None checks all rows. Pass
-    `pages` to report sources without any row.
+    All rows, or the first `sample` of each source. `messages` holds one text
+    per fault; the mapping carries the raw title and link, so nothing is joined.
     """
     from postline.operators.skew import slice_within
 
     rows = raw if sample is None else slice_within(raw, key, 0, sample)
-    mapped = map_records(rows, payload=F.lit(None)).select("seq", F.col("reject_reason").alias("_reject"))
-    checked = rows.join(mapped, "seq")
-    no_title = clean_text(F.col("title")).isNull()
-    no_link = clean_text(F.col("job_url")).isNull()
+    given = {name: F.col(name).alias(f"given_{name}") for name in (key, "title", "job_url")}
+    mapped = map_records(rows, payload=F.to_json(F.struct(*given.values())))
+    back = F.from_json("raw_json", f"given_{key} string, given_title string, given_job_url string")
+    out = mapped.withColumn("given", back).drop("raw_json")
+    faults = [
+        F.when(clean_text(F.col("given.given_title")).isNull(), F.lit("missing title")),
+        F.when(clean_text(F.col("given.given_job_url")).isNull(), F.lit("missing job_url")),
+        F.when(F.col("reject_reason").isNotNull(), F.concat(F.lit("could not be normalised: "), "reject_reason")),
+    ]
+    return out.select(
+        F.col(f"given.given_{key}").alias(key),
+        "seq",
+        F.col("given.given_title").alias("given_title"),
+        F.col("given.given_job_url").alias("given_job_url"),
+        F.col("title").alias("record_title"),
+        F.when(F.col("reject_reason").isNull(), F.col("job_url")).alias("record_url"),
+        "reject_reason",
+        F.filter(F.array(*faults), lambda x: x.isNotNull()).alias("messages"),
+    )
+
+
+def validate_sources(raw: DataFrame, pages: DataFrame | None = None, key: str = "source", sample: int | None = None) -> DataFrame:
+    """Per source: rows, rows per error, the error texts and valid or failed.
+
+    All rows unless a sample size is given; then the first rows of each source.
+    Pass `pages` to report sources without any row.
+    """
+    checked = checked_rows(raw, key, sample)
     counts = checked.groupBy(key).agg(
         F.count("*").alias("jobs"),
-        F.count_if(no_title).alias("missing_title"),
-        F.count_if(no_link).alias("missing_job_url"),
-        F.count_if(F.col("_reject").isNotNull()).alias("not_normalised"),
+        F.count_if(F.array_contains("messages", "missing title")).alias("missing_title"),
+        F.count_if(F.array_contains("messages", "missing job_url")).alias("missing_job_url"),
+        F.count_if(F.col("reject_reason").isNotNull()).alias("not_normalised"),
     )
     if pages is not None:
         counts = pages.select(key).join(counts, key, "left").na.fill(0)
@@ -81,10 +105,10 @@ def _status() -> Column:
 def run_report(runs: DataFrame, finished_at: str) -> DataFrame:
     """One report row over the runs that were both fetched and stored.
 
-    `runs` has one row per source run, so its list has no more entries than there are sources.
+    `runs` has one row per source run; the list names every source once.
     """
     done = runs.where(F.col("scraped") & F.col("persisted"))
-    sites = F.array_sort(F.collect_list("site"))
+    sites = F.array_sort(F.collect_set("site"))
     return done.agg(
         F.count("site").alias("site_count"),
         F.array_join(sites, ",").alias("sites"),

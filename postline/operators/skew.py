@@ -25,8 +25,8 @@ def attach(
     rows get a salt from `spread` (any expression that differs between rows)
     and the side's row is repeated once per salt. Finding them costs one
     aggregate over the key columns only, or nothing when `size` names the
-    side's column that holds the rows per key. The list of hot keys is
-    broadcast; it holds at most rows / hot_rows entries of 16 bytes.
+    side's column that holds the rows per key. The list of hot keys holds at
+    most rows / hot_rows entries of 16 bytes; Spark decides how to join it.
     """
     mark = F.xxhash64(*keys).alias("_mark")
     counts = rows.groupBy(mark).agg(F.count("*").alias("_n"))
@@ -34,7 +34,7 @@ def attach(
         counts = side.groupBy(mark).agg(F.max(size).alias("_n"))
     mark = F.xxhash64(*keys)
     big = counts.where(F.col("_n") > hot_rows)
-    hot = F.broadcast(big.select("_mark", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")))
+    hot = big.select("_mark", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
     salted = rows.withColumn("_mark", mark).join(hot, "_mark", "left")
     salt = F.pmod(F.xxhash64(spread), F.coalesce("_salts", F.lit(1))).cast("int")
     salted = salted.withColumn("_salt", salt).drop("_salts", "_mark")
@@ -85,3 +85,22 @@ def slice_within(
     inside = F.col("_rn") > start
     inside = inside if stop is None else inside & (F.col("_rn") <= stop)
     return numbered.where(inside).drop("_rn")
+
+
+def budget(df: DataFrame, key: str, column: str, wanted: int, seq: str = "seq") -> DataFrame:
+    """df with `column` kept in the first `wanted` rows of each key and null in the others.
+
+    Only key and seq are numbered; the wide rows meet one cut per key.
+    """
+    last = slice_within(df.select(key, seq), key, wanted - 1, 1, seq)
+    cuts = last.select(F.col(key).alias("_key"), F.col(seq).alias("_cut"))
+    joined = df.join(cuts, F.col(key).eqNullSafe(F.col("_key")), "left")
+    inside = F.col("_cut").isNull() | (F.col(seq) <= F.col("_cut"))
+    return joined.withColumn(column, F.when(inside, F.col(column))).select(*df.columns)
+
+
+def target_counts(df: DataFrame, key: str, offset: int, wanted: int | None) -> DataFrame:
+    """Per key the rows a run goes for after its offset: at most `wanted`, and all that are left."""
+    rest = F.greatest(F.count("*") - offset, F.lit(0))
+    goal = rest if wanted is None or wanted <= 0 else F.least(rest, F.lit(wanted))
+    return df.groupBy(key).agg(goal.alias("wanted"), rest.alias("all_rest"))

@@ -40,7 +40,7 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = grid(spark, sf_dir)
     rows, header = landing.grid(C("doc"))
-    columns = companies.grid_schema(landing.explode_items(docs.orderBy("seq").limit(1), header, ["seq"]))
+    columns = companies.grid_schema(landing.explode_items(docs, header, ["seq"]))
     typed = companies.grid_records(
         landing.explode_items(docs, rows, ["seq"]).withColumn("pos", C("seq") * 10 + C("pos")), columns
     )

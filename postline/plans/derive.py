@@ -193,7 +193,7 @@ SELECT l_suppkey AS user_id, l_orderkey AS job_id, l_linenumber * 100000 + l_par
   CAST(l_shipdate AS DATE) AS moved_at,
   CAST(l_shipdate AS DATE) - 3 AS created_at,
   CASE WHEN l_linenumber < 4 THEN CAST(l_shipdate AS DATE) END AS deleted_at
-FROM {lineitem} WHERE l_linenumber < 6
+FROM {lineitem}
 """
 DELIVERIES = """
 SELECT l_suppkey % 20 AS user_id, l_orderkey AS job_id,

@@ -163,15 +163,14 @@ def direct_page_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     "win_03_description_budget",
     "WIN-03",
     oracle(
-        """SELECT seq, source, rn, CASE WHEN rn <= 40 THEN description END AS description
+        """SELECT seq, source, CASE WHEN rn <= 40 THEN description END AS description
         FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY seq) AS rn FROM postings) AS p""",
         "postings",
     ),
 )
 def description_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = derived(spark, sf_dir, "postings").select("seq", "source", "description")
-    numbered = skew.number_within(df, "source")
-    return numbered.withColumn("description", F.when(C("rn") <= 40, C("description")))
+    return skew.budget(df, "source", "description", 40)
 
 
 @query(
@@ -198,8 +197,7 @@ def offset_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def target_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = derived(spark, sf_dir, "postings")
-    rest = F.greatest(F.count("*") - 200, F.lit(0))
-    return df.groupBy("source").agg(F.least(rest, F.lit(600)).alias("wanted"), rest.alias("all_rest"))
+    return skew.target_counts(df, "source", 200, 600)
 
 
 @query(

@@ -580,7 +580,7 @@ def new_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     fresh = _upsert(spark, sf_dir).inserted
     batch = derived(spark, sf_dir, "batch")
-    rows = batch.select("job_url", C("p_direct_key").alias("direct_company_career_page_key"))
+    rows = batch.select("seq", "job_url", C("p_direct_key").alias("direct_company_career_page_key"))
     return new_per_company(joins.only_new(rows, fresh))
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postline.functions import payload
 from postline.functions.money import extract_salary
 from postline.operators import folding, merge, output, records, reports
 from postline.plans.derive import RUN_DATE, derived, oracle
-from postline.plans.merging import KEYS_SQL
+from postline.plans.folding import with_payload
+from postline.plans.merging import BASE, FLAG, KEYS_SQL, NEXT_ID, RUN_TS, STAGED, batch_ctes, unique
 from postline.plans.records import KNOWN, RULES, clean, record_sql
 from postline.plans.registry import query, table
 from postline.plans.scalars import PAY_OK, PAY_SQL
@@ -101,6 +103,75 @@ def validate_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.validate_sources(derived(spark, sf_dir, "postings"), sample=5)
 
 
+@query(
+    "dq_01_faults_of_rows",
+    "DQ-01",
+    oracle(
+        f"""
+WITH good AS ({VALID}), p AS (SELECT *, lower(coalesce({clean('site')}, {clean('source')}, 'linkedin')) AS route FROM postings)
+SELECT source, seq, title AS given_title, job_url AS given_job_url,
+  concat_ws('; ', CASE WHEN {clean('title')} IS NULL THEN 'missing title' END, CASE WHEN {clean('job_url')} IS NULL THEN 'missing job_url' END,
+    'could not be normalised: ' || CASE WHEN route NOT IN ({KNOWN}) THEN 'unsupported_source' WHEN {clean('title')} IS NULL THEN 'missing_title' ELSE 'invalid_url' END) AS messages
+FROM p WHERE seq NOT IN (SELECT seq FROM good)""",
+        "postings",
+    ),
+)
+def faults_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = reports.checked_rows(derived(spark, sf_dir, "postings")).where(F.size("messages") > 0)
+    return rows.select("source", "seq", "given_title", "given_job_url", F.array_join("messages", "; ").alias("messages"))
+
+
+@query(
+    "dq_01_sources_without_rows",
+    "DQ-01 SRC-11",
+    oracle(
+        f"""
+WITH keyed AS (SELECT seq, title, job_url, coalesce(direct_company_career_page_key, 'none') AS k FROM postings), good AS ({VALID}),
+n AS (SELECT k, count(*) AS jobs, count_if({clean('title')} IS NULL) AS missing_title, count_if({clean('job_url')} IS NULL) AS missing_job_url,
+  count_if(seq NOT IN (SELECT seq FROM good)) AS not_normalised FROM keyed GROUP BY 1),
+c AS (SELECT company_key, coalesce(jobs, 0) AS jobs, coalesce(missing_title, 0) AS missing_title, coalesce(missing_job_url, 0) AS missing_job_url,
+  coalesce(not_normalised, 0) AS not_normalised FROM catalog LEFT JOIN n ON n.k = company_key)
+SELECT *, concat_ws('; ', CASE WHEN jobs = 0 THEN 'no jobs' END, CASE WHEN missing_title > 0 THEN 'missing title' END,
+  CASE WHEN missing_job_url > 0 THEN 'missing job_url' END, CASE WHEN not_normalised > 0 THEN 'could not be normalised' END) AS errors,
+  CASE WHEN jobs = 0 OR missing_title + missing_job_url + not_normalised > 0 THEN 'failed' ELSE 'valid' END AS status FROM c""",
+        "postings", "catalog",
+    ),
+)
+def sources_without_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = derived(spark, sf_dir, "postings")
+    key = F.coalesce(C("direct_company_career_page_key"), F.lit("none"))
+    pages = derived(spark, sf_dir, "catalog").select("company_key")
+    return reports.validate_sources(raw.withColumn("company_key", key), pages, key="company_key")
+
+
+COMBINED = f"""
+WITH RECURSIVE keys AS ({KEYS_SQL}), base AS ({BASE}), s AS (SELECT *, {FLAG} AS is_duplicate FROM ({STAGED}) AS f),
+{batch_ctes('base', 's', '1', NEXT_ID, flag=True)},
+found AS (SELECT c.company_key, c.enabled, count(s.job_url) AS jobs FROM catalog AS c LEFT JOIN s ON s.p_direct_key = c.company_key GROUP BY 1, 2)
+SELECT (SELECT count(*) FROM batch) AS rows, (SELECT count(*) FROM s) AS prepared, (SELECT count(*) FROM fresh1) AS inserted,
+  (SELECT count_if(changed) FROM compared1) AS updated, (SELECT count(*) FROM mapping1) AS deleted_duplicate_rows,
+  (SELECT count_if(is_duplicate) FROM s) AS marked_duplicate_jobs, (SELECT count(*) FROM found WHERE enabled) AS companies,
+  (SELECT count(*) FROM found WHERE enabled AND jobs > 0) AS companies_with_jobs"""
+
+
+@query("mrg_01_combined_run", "MRG-01 SET-02 JN-06 AGG-04 SRC-11", oracle(COMBINED, "batch", "stored", "catalog"))
+def combined_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog, company pages before boards, union, flagged upsert, report."""
+    catalog, landed = derived(spark, sf_dir, "catalog"), derived(spark, sf_dir, "batch")
+    direct, boards = landed.where("p_direct_key IS NOT NULL"), landed.where("p_direct_key IS NULL")
+    folded = folding.fold_inputs(with_payload(output.union_sources([direct, boards])))
+    batch = cut_lineage(merge.flag_configured(folded, catalog))
+    done = merge.upsert_postings(unique(spark, sf_dir), batch, RUN_TS, NEXT_ID, landed=landed, with_flag=True)
+    page = payload.payload_text(C("raw_json"), "direct_company_career_page_key")
+    found = batch.select(page.alias("company_key"), "job_url").where("company_key IS NOT NULL")
+    pages = catalog.where("enabled").select("company_key")
+    none = pages.select("company_key", F.lit(None).cast("string").alias("error")).limit(0)
+    cover = reports.coverage(reports.coverage_rows(pages, found, none)).select("companies", "companies_with_jobs")
+    wanted = ("rows", "prepared", "inserted", "updated", "deleted_duplicate_rows", "marked_duplicate_jobs")
+    both = done.summary.select(*wanted).unionByName(cover, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 @query(
     "dq_02_reject_split",
     "DQ-02 FLT-01",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from postline.functions import dates, jobs, location, lookups, money, payload, text, url
 from postline.operators import records
 from postline.plans.derive import GIVEN, RUN_DATE, derived, oracle
-from postline.plans.records import DATE, HOST, KNOWN, PATH, QUERY, SALARY, SCHEME, clean, parts, rx
+from postline.plans.records import DATE, HOST, KNOWN, PATH, QUERY, RULES, SALARY, SCHEME, clean, parts, record_sql, rx
 from postline.plans.registry import query, table
 
 Columns = Callable[[], dict[str, Column]]
@@ -251,20 +251,12 @@ project(
 @query(
     "url_01_canonical_link_and_id",
     "URL-01",
-    oracle(
-        f"""
-SELECT seq, CASE route WHEN 'linkedin' THEN 'https://www.linkedin.com/jobs/view/' || {rx('j_path', '([0-9]+)/?$')}
-  WHEN 'meta' THEN 'https://www.metacareers.com/jobs/' || {rx('j_path', '([0-9]+)')} || '/'
-  ELSE 'https://www.indeed.com/viewjob?jk=' || {rx('j_query', 'jk=([0-9]+)')} END AS link
-FROM (SELECT seq, lower(coalesce({clean('site')}, {clean('source')}, 'linkedin')) AS route, {parts('j', 'job_url')} FROM postings) AS p
-WHERE route IN ('linkedin', 'indeed', 'meta') AND j_scheme <> ''""",
-        "postings",
-    ),
+    oracle(" UNION ALL ".join(f"SELECT seq, job_url AS link, external_id FROM ({record_sql(n)}) AS r" for n in RULES), "postings"),
 )
 def canonical_link_and_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = derived(spark, sf_dir, "postings").withColumn("route", _source())
-    mine = df.where(C("route").isin("linkedin", "indeed", "meta") & records.valid_link(C("route"), C("job_url")))
-    return mine.select("seq", records.canonical_url(C("route"), C("job_url"))[0].alias("link"))
+    """Link and id of every row that makes a record, over all sources."""
+    mapped = records.map_records(derived(spark, sf_dir, "postings"), payload=F.lit(None))
+    return records.valid_records(mapped).select("seq", C("job_url").alias("link"), "external_id")
 
 
 project(
