@@ -217,7 +217,7 @@ KNOWN = ", ".join(f"'{n}'" for n in [*RULES, "redhat"])
 
 @query(
     "flt_01_valid_record_counts",
-    "FLT-01 DQ-02 EXT-02",
+    "FLT-01 DQ-02",
     oracle(
         f"""
 WITH good AS ({VALID}), prepared AS ({PREPARED}),
@@ -232,6 +232,21 @@ def valid_record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.count_rejects(_mapped(spark, sf_dir))
 
 
+def upper_titles(raw: DataFrame) -> DataFrame:
+    """A builder of one's own: titles in capitals, everything else as the specs say."""
+    return records.map_records(raw, payload=F.lit(None)).withColumn("title", F.upper("title"))
+
+
+@query(
+    "ext_02_own_record_builder",
+    "EXT-02 PRJ-02",
+    oracle(" UNION ALL ".join(f"SELECT seq, upper(title) AS title, job_url, source FROM ({record_sql(n)}) AS r" for n in RULES), "postings"),
+)
+def own_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built = records.build_records(derived(spark, sf_dir, "postings"), upper_titles)
+    return built.select("seq", "title", "job_url", "source")
+
+
 @query(
     "prj_15_direct_page_source",
     "PRJ-15",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postline.plans.derive import derived, oracle
 from postline.plans.registry import query, table
+from postline.plans.streams import scratch
 from postline.sources import html, landing
 
 C = F.col
@@ -26,30 +27,33 @@ def _two() -> Column:
 ITEMS_SQL = """SELECT seq AS file, 0 AS pos, id, name AS title FROM positions UNION ALL SELECT seq, 1, id || 'b', url FROM positions"""
 
 
-@query("src_01_read_postings_json", "SRC-01", oracle(ITEMS_SQL, "positions"))
+def _landed(spark: SparkSession, sf_dir: str, shape: Column) -> DataFrame:
+    """The documents as they are read back from files, one per line."""
+    path = scratch(spark, "landed")
+    derived(spark, sf_dir, "positions").select(shape.alias("value")).write.text(path)
+    return landing.documents(spark, path)
+
+
+@query("src_01_read_postings_json", "SRC-01", oracle(f"SELECT pos, id, title FROM ({ITEMS_SQL}) AS i", "positions"))
 def read_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = F.when(C("seq") % 2 == 0, _two()).otherwise(F.concat(F.lit('{"jobs":'), _two(), F.lit("}")))
-    rows = landing.read_postings(_docs(spark, sf_dir, shape))
-    return rows.select(
-        "file", "pos", F.variant_get("item", "$.id", "string").alias("id"), F.variant_get("item", "$.title", "string").alias("title")
-    )
+    rows = landing.read_postings(_landed(spark, sf_dir, shape))
+    return rows.select("pos", F.variant_get("item", "$.id", "string").alias("id"), F.variant_get("item", "$.title", "string").alias("title"))
 
 
 @query(
     "src_02_read_grid_export",
     "SRC-02",
-    oracle(
-        "SELECT file, pos, id FROM (" + ITEMS_SQL + ") AS i UNION ALL SELECT seq, 0, 'col' FROM positions", "positions"
-    ),
+    oracle(f"SELECT pos, id FROM ({ITEMS_SQL}) AS i UNION ALL SELECT 0, 'col' FROM positions", "positions"),
 )
 def read_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     table_text = F.concat(F.lit('{"table":{"columns":[{"id":"col"}],"rows":'), _two(), F.lit("}}"))
     shape = F.when(C("seq") % 2 == 0, table_text).otherwise(F.concat(F.lit('{"data":'), table_text, F.lit("}")))
-    docs = _docs(spark, sf_dir, shape)
+    docs = _landed(spark, sf_dir, shape)
     rows, columns = landing.grid(C("doc"))
     parts = [landing.explode_items(docs, x, ["file"]) for x in (rows, columns)]
     both = parts[0].unionByName(parts[1])
-    return both.select("file", "pos", F.variant_get("item", "$.id", "string").alias("id"))
+    return both.select("pos", F.variant_get("item", "$.id", "string").alias("id"))
 
 
 @query(

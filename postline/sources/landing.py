@@ -11,9 +11,12 @@ from postline.functions.payload import get_path
 ROW_KEYS = ("jobs", "data", "positions", "results", "items")
 
 
-def documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per JSON file: file, doc (VARIANT). A file is read whole by one task."""
-    text = spark.read.text(path, wholetext=True)
+def documents(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """file, doc (VARIANT) of landed JSON: one document per line, so that large files are read by many tasks.
+
+    With `whole` every file is one document, which one task reads into one string.
+    """
+    text = spark.read.text(path, wholetext=whole).where(F.trim("value") != "")
     return text.select(F.col("_metadata.file_path").alias("file"), F.parse_json("value").alias("doc"))
 
 

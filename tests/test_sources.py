@@ -22,7 +22,7 @@ def write(folder, name, doc):
 def test_posting_files(spark, tmp_path):
     write(tmp_path, "a.json", [{"title": "x"}, {"title": "é"}])
     write(tmp_path, "b.json", {"jobs": [{"title": "y"}]})
-    rows = landing.read_postings(landing.documents(spark, str(tmp_path)))
+    rows = landing.read_postings(landing.documents(spark, str(tmp_path), whole=True))
     got = {(r["pos"], r["t"]) for r in rows.select("pos", F.variant_get("item", "$.title", "string").alias("t")).collect()}
     assert got == {(0, "x"), (1, "é"), (0, "y")}
 
@@ -31,13 +31,13 @@ def test_posting_files(spark, tmp_path):
 def test_other_shapes_are_errors(spark, tmp_path, doc):
     path = write(tmp_path, "a.json", doc)
     with pytest.raises(Exception, match="expected a list of objects"):
-        landing.read_postings(landing.documents(spark, path)).collect()
+        landing.read_postings(landing.documents(spark, path, whole=True)).collect()
 
 
 def test_grid_needs_rows_and_columns(spark, tmp_path):
     path = write(tmp_path, "a.json", {"table": {"rows": [1], "columns": []}})
     with pytest.raises(Exception, match="rows list of objects"):
-        docs = landing.documents(spark, path)
+        docs = landing.documents(spark, path, whole=True)
         docs.select(landing.grid(C("doc"))[0]).collect()
 
 
@@ -177,3 +177,34 @@ def test_report_counts_only_stored_runs(spark):
     runs = spark.createDataFrame([("b", 2, True, True), ("a", 3, True, True), ("c", 9, True, False)], "site string, jobs_retrieved int, scraped boolean, persisted boolean")
     r = reports.run_report(runs, "2001-01-01T00:00:00").first()
     assert (r["site_count"], r["sites"], r["jobs_retrieved"]) == (2, "a,b", 5)
+
+
+def test_lines_of_a_file_are_documents(spark, tmp_path):
+    lines = ['{"jobs":[{"id":1},{"id":2}]}', "", '[{"id":3}]']
+    (tmp_path / "many.json").write_text("\n".join(lines))
+    rows = landing.read_postings(landing.documents(spark, str(tmp_path))).select(F.variant_get("item", "$.id", "int").alias("id"))
+    assert sorted(r["id"] for r in rows.collect()) == [1, 2, 3]
+
+
+def test_grid_header_is_that_of_all_documents(spark):
+    def schema(*columns):
+        df = spark.createDataFrame([(i, c) for i, c in enumerate(columns)], "pos int, t string")
+        return companies.grid_schema(df.select("pos", F.parse_json("t").alias("item")))
+
+    a, b = '{"id":"f1","name":"Name","type":"text"}', '{"id":"f2","name":"Size","type":"number"}'
+    assert [c.source_id for c in schema(a, a, b, a)] == ["f1", "f2"]
+    with pytest.raises(ValueError, match="two ways"):
+        schema(a, '{"id":"f1","name":"Name","type":"number"}')
+
+
+def test_script_links_have_no_limit_and_read_whole_names(spark, value):
+    page = "".join(f"<script data-src='/no{i}.js' src='/s{i}.js'></script>" for i in range(60)) + "<script async src=/bare.js></script>"
+    found = value(html.script_links(F.lit(page), F.lit("https://x.org/")))
+    assert found == [f"https://x.org/s{i}.js" for i in range(60)] + ["https://x.org/bare.js"]
+    anchors = F.lit("<a data-href='/no' href='/yes'>x</a><a href=/bare>y</a>")
+    assert value(html.links(anchors, F.lit("https://x.org/"), "/")) == ["https://x.org/yes", "https://x.org/bare"]
+
+
+def test_a_selector_may_state_its_attribute(value):
+    page = F.lit("<div class='d'></div><p title='from title'>text</p>")
+    assert value(html.html_description(page, ["div.d", {"selector": "p", "attr": "title"}])) == "from title"
