@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from postline.session import checkpoint_dir
 
+#: Texts that go to a Python worker at once.
+TEXTS_AT_ONCE = 1000
 #: Fixed value: what separates words, in Java's and RE2's notation.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,6 +35,15 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_batches(spark: SparkSession, rows: int) -> None:
+    """Rows that go to a Python worker at once, from now on in this session.
+
+    Spark's own number, 10,000, is made for narrow rows; of whole texts it is
+    tens of megabytes in the JVM, in Arrow and in Python each.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def ship(spark: SparkSession, model: object) -> Broadcast:
     """Broadcast a model of bounded size, its classes by value, so that workers need no install."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(model))

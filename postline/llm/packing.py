@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postline.llm.common import stage
+from postline.llm.common import TEXTS_AT_ONCE, in_batches, stage
 
 LENGTH = 2048
 #: Distinct texts between two blanks whose ids a worker remembers at most.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Characters that are tokenised in one go.
-AT_ONCE = 4_000_000
+AT_ONCE = 1_000_000
 SAFE_CUT = re.compile(r"\S \S")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -95,6 +95,7 @@ def encoder(path: str) -> Callable[[str], bytes]:
 
 def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id: int = 0) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
+    in_batches(docs.sparkSession, TEXTS_AT_ONCE)
     path = path or tokenizer_path()
     end = int(end_id).to_bytes(4, "little")
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])

@@ -25,14 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from postline.llm.common import code_points, in_bulk, remainder, ship, texts_of, unpacked
+from postline.llm.common import TEXTS_AT_ONCE, code_points, in_batches, in_bulk, remainder, ship, texts_of, unpacked
 
 SAMPLE_DOCS = 4000
 SAMPLE_LINES = 200
 FOLDS = 5
 KEEP_FROM = 0.3
 #: Characters handled in one go.
-AT_ONCE = 4_000_000
+AT_ONCE = 1_000_000
 #: Classes of characters that line features count.
 GROUPS = {"blank": " \t\r\x0b\x0c", "symbol": "#*$%&", "bar": "|<>", "loud": "!?", "stop": ".,;:'\"()-"}
 LOWER, UPPER, DIGIT, OTHER, BLANK = range(5)
@@ -91,7 +91,7 @@ def line_counts(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
         if held is not None:
             if run[0][2]:  # the first line goes on where the last one was cut
                 found[1][0] += held[1][-1]
-                found[2][0] = found[2][0] * np.uint64(31) + held[2][-1]
+                found[2][:1] = found[2][:1] * np.uint64(31) + held[2][-1:]
                 held = tuple(a[:-1] for a in held)
             found = tuple(np.concatenate([a, b]) for a, b in zip(held, found, strict=True))
         last = np.searchsorted(found[0], found[0][-1])
@@ -223,6 +223,7 @@ def fit_field(own: np.ndarray, row: np.ndarray, length: np.ndarray, label: np.nd
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, folds: int = FOLDS) -> Field | float:
     """The field, or the share of label 1 where there are not both kinds of labels."""
+    in_batches(docs.sparkSession, TEXTS_AT_ONCE)
     chosen = (
         labels.where("quality is not null and doc_id is not null")
         .where(remainder("doc_id", folds) != 0)
