@@ -6,7 +6,8 @@ level's width. A point has a time, a place in the signature and a cell of its
 level, found by halving the level with the point's random bits; points in cells
 above w do not count. The first counted time of each place is the signature, and
 two texts agree in a place with the probability of their weighted similarity.
-Four places make a band. Texts that share a band are compared in full, and
+Six places make a band, so a pair at the threshold misses all bands once in 300,000
+cases and one at 0.3 meets in one of thirty. Texts that share a band are compared in full, and
 links of SIMILARITY or more are closed to groups.
 
 Defined cases: texts below five words are one shingle of all their words; texts
@@ -24,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postline.llm.common import WORD, mix, stage, texts_of, word_hashes
+from postline.llm.common import TEXTS_AT_ONCE, WORD, in_batches, mix, stage, texts_of, word_hashes
 from postline.llm.linking import linked, node_of
 
 WORDS = 5
 #: Similarity in percent from which texts are near duplicates.
 SIMILARITY = 80
-PLACES = 128
-ROWS = 4
+PLACES = 252
+ROWS = 6
 AT_ONCE = 2_000_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -134,6 +135,22 @@ def banded(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(sketch, "node binary, bands array<long>")
 
 
+def elements(texts: DataFrame) -> DataFrame:
+    """texts (node, text) as (node, element, weight): a row per different shingle."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, every = batch.column("node"), texts_of(batch)
+            for start in range(0, len(every), 500):
+                found = [shingles(t) for t in every[start : start + 500]]
+                owner = np.repeat(np.arange(start, start + len(found)), [len(e) for e, _ in found])
+                hashes, weight = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+                columns = [nodes.take(pa.array(owner)), pa.array(hashes.view(np.int64)), pa.array(weight, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "element", "weight"])
+
+    return texts.select("node", "text").mapInArrow(spell, "node binary, element long, weight long")
+
+
 def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], percent: int = SIMILARITY) -> bool:
     """Whether the weighted Jaccard similarity of two shingle multisets reaches percent, exactly."""
     total = int(a[1].sum() + b[1].sum())
@@ -163,11 +180,12 @@ def similar_texts(rows: DataFrame) -> DataFrame:
     """(node, root) of all different texts of rows (node, text) that are linked with another."""
     sketched = banded(rows).groupBy("node").agg(F.first("bands").alias("bands"))
     bands = sketched.select(F.explode("bands").alias("band"), "node")
-    return linked(stage(bands), rows.groupBy("node").agg(F.first("text").alias("text")), verified)
+    return linked(stage(bands), rows.groupBy("node").agg(F.first("text").alias("text")), verified, elements, SIMILARITY)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, node, cluster_id, cluster_size, kept for every row of docs."""
+    in_batches(docs.sparkSession, TEXTS_AT_ONCE)
     text = F.col("text").cast("string")
     rows = docs.select("doc_id", node_of(text).alias("node"), text.alias("text"), F.coalesce(text.rlike(WORD), F.lit(False)).alias("worded"))
     roots = similar_texts(rows.where("worded").select("node", "text"))

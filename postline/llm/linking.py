@@ -2,21 +2,27 @@
 
 In every band all members are first compared with one of them, the one whose
 bands are the most crowded (in a group of copies that is the text nearest to
-all). What that links is one component and needs no further pair. Only members
-of one band that are still in different components are then compared with each
-other, so every pair that shares a band is either compared or already joined.
+all). What that links is one component and needs no further pair. Members of
+bands that then still hold several components are joined again, on their rarest
+elements: two multisets of the wanted similarity must have one in common among
+so many of the rarest that they cannot all differ (prefix filter), and what no
+other text has cannot be common. Both bounds hold for certain, so every pair that
+shares a band is compared, already joined, or ruled out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postline.llm.common import stage
 from postline.llm.components import components
 
+#: How often elements are counted again without the nodes that were ruled out.
+PASSES = 2
+
 Verify = Callable[[DataFrame], DataFrame]
 
 
@@ -34,30 +40,73 @@ def star_pairs(shared: DataFrame) -> DataFrame:
     return ranked.join(center, "band").where("a <> node").select("a", F.col("node").alias("b")).distinct()
 
 
-def open_pairs(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b) that share a band and are in different components."""
-    placed = shared.select("band", "node").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+def with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def undecided(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root) of the members of bands that hold several components."""
+    placed = with_roots(shared.select("band", "node"), roots)
     mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    there = stage(placed.join(mixed, "band"))
-    other = there.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    pairs = there.join(other, "band").where("node < b and root <> root_b")
-    return pairs.select(F.col("node").alias("a"), "b").distinct()
+    return placed.join(mixed, "band").select("node", "root").distinct()
 
 
-def linked(bands: DataFrame, texts: DataFrame, verify: Verify) -> DataFrame:
+def ranked_elements(elements: DataFrame, percent: int) -> DataFrame:
+    """(node, element, before, whole, sharable): each node's elements that others have too, the rarest first.
+
+    elements: (node, element, weight). `before` is the weight that comes before
+    an element, with all that the node has alone at the front. Nodes whose
+    sharable weight is below the wanted part of their whole are left out, and
+    what only those had in common counts no more in the next pass.
+    """
+    whole = elements.groupBy("node").agg(F.sum("weight").alias("whole"))
+    for _ in range(PASSES):
+        counts = stage(elements.groupBy("element").agg(F.count("*").alias("n")).where("n > 1"))
+        common = elements.join(counts, "element")
+        part = common.groupBy("node").agg(F.sum("weight").alias("sharable"))
+        able = stage(whole.join(part, "node").where(F.col("sharable") * 100 >= F.col("whole") * percent))
+        elements = stage(elements.join(able.select("node"), "node"))
+    earlier = Window.partitionBy("node").orderBy("n", "element").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("whole") - F.col("sharable") + F.coalesce(F.sum("weight").over(earlier), F.lit(0))
+    return common.join(able, "node").withColumn("before", before).select("node", "element", "before", "whole", "sharable")
+
+
+def open_pairs(members: DataFrame, texts: DataFrame, elements: Verify, percent: int) -> DataFrame:
+    """(a, b) of different components among members (node, root) that may be similar.
+
+    Of a pair the larger one (ties by node) must have an element of its first
+    `longer` weights among the first `shorter` ones of the other. From the first
+    element that they have in common on, no more than the smaller rest is common.
+    """
+    found = stage(elements(texts.join(members.select("node"), "node", "left_semi")))
+    ranked = stage(ranked_elements(found, percent).join(members, "node"))
+    longer = F.col("whole") - F.ceil(F.col("whole") * percent / 100) + 1
+    shorter = F.col("whole") - F.ceil(F.col("whole") * (2 * percent) / (100 + percent)) + 1
+    large = ranked.where(F.col("before") < longer)
+    columns = ("node", "root", "whole", "sharable", "before")
+    small = ranked.where(F.col("before") < shorter).select("element", *(F.col(c).alias(f"{c}_b") for c in columns))
+    most = F.least("sharable", "sharable_b", F.col("whole") - F.col("before"), F.col("whole_b") - F.col("before_b"))
+    may_be = 100 * most >= percent * (F.col("whole") + F.col("whole_b") - most)
+    once = F.struct("whole", "node") > F.struct("whole_b", "node_b")
+    pairs = large.join(small, "element").where(once & (F.col("root") != F.col("root_b")) & may_be)
+    return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
+
+
+def linked(bands: DataFrame, texts: DataFrame, verify: Verify, elements: Verify, percent: int) -> DataFrame:
     """(node, root) of all nodes that have a verified link.
 
     bands: (band, node), each once. texts: (node, text), each node once. verify
-    takes rows (a, b, text_a, text_b) and returns (a, b) of those that hold.
+    takes rows (a, b, text_a, text_b) and returns (a, b) of those that hold;
+    elements takes texts and returns (node, element, weight) of the multisets
+    whose Jaccard similarity in percent a link must reach.
     """
     shared = stage(shared_bands(bands))
     held = stage(texts.join(shared.select("node").distinct(), "node", "left_semi"))
     tried = stage(star_pairs(shared))
-    links = stage(verify(with_texts(tried, held)))
-    roots = stage(components(links))
-    rest = open_pairs(shared, roots)
+    roots = stage(components(verify(with_texts(tried, held))))
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stage(rest.join(known, ["a", "b"], "left_anti"))
+    members = stage(undecided(shared, roots))
+    rest = stage(open_pairs(members, held, elements, percent).join(known, ["a", "b"], "left_anti"))
     more = stage(verify(with_texts(rest, held)))
     if more.isEmpty():
         return roots

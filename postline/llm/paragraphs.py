@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postline.llm.common import WORD, mix, stage, texts_of, word_hashes
+from postline.llm.common import TEXTS_AT_ONCE, WORD, in_batches, mix, stage, texts_of, word_hashes
 from postline.llm.linking import linked, node_of
 
 MIN_WORDS = 30
@@ -85,6 +85,22 @@ def banded(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(sketch, "node binary, bands array<long>")
 
 
+def elements(texts: DataFrame) -> DataFrame:
+    """texts (node, text) as (node, element, weight): a row per different shingle, all of weight 1."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, every = batch.column("node"), texts_of(batch)
+            for start in range(0, len(every), 2000):
+                found = [np.unique(shingles(t)) for t in every[start : start + 2000]]
+                owner = np.repeat(np.arange(start, start + len(found)), [len(f) for f in found])
+                hashes = np.concatenate(found)
+                columns = [nodes.take(pa.array(owner)), pa.array(hashes.view(np.int64)), pa.array(np.ones(len(hashes), dtype=np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "element", "weight"])
+
+    return texts.select("node", "text").mapInArrow(spell, "node binary, element long, weight long")
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int = SIMILARITY) -> bool:
     """Whether the Jaccard similarity of two sets, sorted and without repeats, reaches percent."""
     common = len(np.intersect1d(a, b, assume_unique=True))
@@ -117,10 +133,11 @@ def paragraphs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, of, place, group, stays) of the paragraphs that have a near copy; `group` is the first one's id."""
+    in_batches(docs.sparkSession, TEXTS_AT_ONCE)
     every = paragraphs(docs)
     sketched = banded(every.groupBy("node").agg(F.first("text").alias("text")))
     bands = stage(sketched).select(F.explode("bands").alias("band"), "node")
-    roots = linked(bands, every.groupBy("node").agg(F.first("text").alias("text")), verified)
+    roots = linked(bands, every.groupBy("node").agg(F.first("text").alias("text")), verified, elements, SIMILARITY)
     slim = stage(every.select("doc_id", "of", "place", "node"))
     order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "of", "place")
     nodes = slim.groupBy("node").agg(F.min(order).alias("least"), F.count("*").alias("n")).join(roots, "node", "left")
