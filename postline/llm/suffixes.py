@@ -14,9 +14,10 @@
    the byte before is a maximal repeat; its occurrences are all its suffixes.
 4. Each occurrence covers its bytes in all documents with that stretch.
 
-A hash with more than GROUP different stretches is never gathered: its runs are
-hashed one by one (twice, 128 bits) and counted by Spark, which gives the same
-coverage.
+A hash with more than SORTED different stretches is not sorted: its runs are
+hashed (128 bits) in the task and equal ones found, which gives the same coverage
+in bounded memory. One with more than GROUP is never gathered in a task: Spark
+counts the hashes of its runs.
 
 Defined cases: a null text is empty; texts below LENGTH bytes keep all; rows equal
 in id and text are occurrences of their own and get equal results; matches never
@@ -34,29 +35,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
-from postline.llm.common import mix, stage
+from postline.llm.common import TEXTS_AT_ONCE, in_batches, mix, stage
 
 LENGTH = 200
 KEY = 64
-#: Different stretches of one hash that a task gathers at most.
-GROUP = 2000
+#: Different stretches of one hash that are sorted at most, and that a task gathers at most (about 15 MB).
+SORTED = 2000
+GROUP = 50_000
 #: Bytes of stretches that are sorted in one go.
-AT_ONCE = 1_500_000
+AT_ONCE = 800_000
 FACTOR = 0x9E3779B97F4A7C15
 #: Bytes of a text that are sampled in one go.
-PIECE = 1 << 22
+PIECE = 1 << 20
 #: Low bits of a hash that give way to the place; they hold any place of a piece.
 PLACE_BITS = np.uint64((1 << 23) - 1)
-INVERSE = pow(FACTOR, -1, 1 << 64)
+OTHER_FACTOR = 0xD6E8FEB86659FD93
 
 
 class Rolling:
     """Hashes of any part of a byte string, by prefix sums modulo 2**64."""
 
-    def __init__(self, most: int) -> None:
-        self.powers = np.cumprod(np.full(most + 1, FACTOR, dtype=np.uint64), dtype=np.uint64)
-        self.back = np.cumprod(np.full(most + 1, INVERSE, dtype=np.uint64), dtype=np.uint64)
-        self.values = mix(np.arange(256, dtype=np.uint64) + np.uint64(977))
+    def __init__(self, most: int, factor: int = FACTOR) -> None:
+        self.powers = np.cumprod(np.full(most + 1, factor, dtype=np.uint64), dtype=np.uint64)
+        self.back = np.cumprod(np.full(most + 1, pow(factor, -1, 1 << 64), dtype=np.uint64), dtype=np.uint64)
+        self.values = mix(np.arange(256, dtype=np.uint64) + np.uint64(factor & 0xFFFF))
 
     def sums(self, data: np.ndarray) -> np.ndarray:
         out = np.zeros(len(data) + 1, dtype=np.uint64)
@@ -178,6 +180,24 @@ def maximal_repeats(stretches: list[bytes], group: np.ndarray, length: int = LEN
             yield prefix, stretch[first : last + 1], offset[first : last + 1]
 
 
+def equal_runs(stretches: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, int]]:
+    """(stretch, offset) of the runs of `length` bytes that occur more than once in the stretches."""
+    data = np.frombuffer(b"".join(stretches), dtype=np.uint8)
+    size = np.array([len(s) for s in stretches])
+    runs = np.maximum(size - length + 1, 0)
+    which = np.repeat(np.arange(len(stretches)), runs)
+    offset = np.arange(len(which)) - np.repeat(np.cumsum(runs) - runs, runs)
+    at = np.repeat(np.cumsum(size) - size, runs) + offset
+    hashes = []
+    for factor in (FACTOR, OTHER_FACTOR):
+        rolling = Rolling(len(data), factor)
+        hashes.append(rolling.part(rolling.sums(data), at, at + length, at))
+    order = np.lexsort(hashes)
+    same = (hashes[0][order][1:] == hashes[0][order][:-1]) & (hashes[1][order][1:] == hashes[1][order][:-1])
+    again = np.unique(np.concatenate([order[1:][same], order[:-1][same]]))
+    yield from zip(which[again].tolist(), offset[again].tolist(), strict=True)
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Spans in order, those that touch or overlap as one."""
     out: list[tuple[int, int]] = []
@@ -190,34 +210,55 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def in_groups(batches: Iterator[pa.RecordBatch], at_once: int = AT_ONCE) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
-    """Rows (hash, stretch, bytes) sorted by hash, in runs of whole hashes of about at_once bytes."""
-    hashes: list[int] = []
-    stretches: list[int] = []
-    data: list[bytes] = []
+def in_groups(batches: Iterator[pa.RecordBatch], most: int = SORTED, at_once: int = AT_ONCE) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Rows (hash, stretch, bytes) sorted by hash, in runs of whole hashes of about at_once bytes.
+
+    A hash with more than `most` rows comes alone.
+    """
+    held: tuple[list[int], list[int], list[bytes]] = ([], [], [])
     size = 0
+    for group in one_by_one(batches):
+        large = len(group[0]) > most
+        if held[0] and (large or size > at_once):
+            yield held
+            held, size = ([], [], []), 0
+        if large:
+            yield group
+            continue
+        for kept, new in zip(held, group, strict=True):
+            kept.extend(new)
+        size += sum(map(len, group[2]))
+    if held[0]:
+        yield held
+
+
+def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """The rows of one hash after the other."""
+    group: tuple[list[int], list[int], list[bytes]] = ([], [], [])
     for batch in batches:
-        for h, s, b in zip(*(batch.column(c).to_pylist() for c in ("hash", "stretch", "bytes")), strict=True):
-            if size > at_once and h != hashes[-1]:
-                yield hashes, stretches, data
-                hashes, stretches, data, size = [], [], [], 0
-            hashes.append(h)
-            stretches.append(s)
-            data.append(b)
-            size += len(b)
-    if data:
-        yield hashes, stretches, data
-
-
-def repeats(fetched: DataFrame, length: int = LENGTH) -> DataFrame:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("hash", "stretch", "bytes")), strict=True):
+            if group[0] and row[0] != group[0][-1]:
+                yield group
+                group = ([], [], [])
+            for kept, new in zip(group, row, strict=True):
+                kept.append(new)
+    if group[0]:
+        yield group
+
+
+def repeats(fetched: DataFrame, length: int = LENGTH, most: int = SORTED) -> DataFrame:
     """fetched (hash, stretch, bytes) as (hash, stretch, start, stop): what repeats, from the beginning of the stretch."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for hashes, names, data in in_groups(batches):
+        for hashes, names, data in in_groups(batches, most):
             spans: dict[int, list[tuple[int, int]]] = {}
-            for size, stretch, offset in maximal_repeats(data, np.array(hashes), length):
-                for i, o in zip(stretch.tolist(), offset.tolist(), strict=True):
-                    spans.setdefault(i, []).append((o, o + size))
+            if len(data) > most and hashes[0] == hashes[-1]:
+                for i, o in equal_runs(data, length):
+                    spans.setdefault(i, []).append((o, o + length))
+            else:
+                for size, stretch, offset in maximal_repeats(data, np.array(hashes), length):
+                    for i, o in zip(stretch.tolist(), offset.tolist(), strict=True):
+                        spans.setdefault(i, []).append((o, o + size))
             rows = [(hashes[i], names[i], *span) for i, found in spans.items() for span in merged(found)]
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64())
@@ -288,10 +329,11 @@ def doc_key() -> Column:
     return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def covered(docs: DataFrame, length: int = LENGTH, key: int = KEY, group: int = GROUP) -> DataFrame:
+def covered(docs: DataFrame, length: int = LENGTH, key: int = KEY, group: int = GROUP, most: int = SORTED) -> DataFrame:
     """(doc, spans): for each text with repeats the byte spans they cover; docs: (doc, text)."""
     every = places(docs, length, key)
-    twice = every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # written first: a join of two plain tables lets Spark split a hash with very many places
+    twice = stage(every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
     rows = stage(every.join(twice, "hash"))
     kinds = stage(
         rows.groupBy("hash", "stretch").agg(F.count("*").alias("copies"), F.min(F.struct("doc", "begin", "size")).alias("one"))
@@ -303,17 +345,20 @@ def covered(docs: DataFrame, length: int = LENGTH, key: int = KEY, group: int =
     )
     fetched = stage(fetch(wanted, pack(docs)))
     whole = kinds.where("copies > 1").select("hash", "stretch", F.lit(0).cast("long").alias("start"), F.col("one.size").cast("long").alias("stop"))
-    found = whole.unionByName(repeats(fetched.where("not many"), length)).unionByName(run_repeats(fetched.where("many"), length))
+    found = whole.unionByName(repeats(fetched.where("not many"), length, most)).unionByName(run_repeats(fetched.where("many"), length))
     spans = rows.join(stage(found), ["hash", "stretch"]).select(
         "doc", (F.col("begin") + F.col("start")).alias("start"), (F.col("begin") + F.col("stop")).alias("stop")
     )
     return spans.groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
-def without_repeats(docs: DataFrame, keep: list[str], length: int = LENGTH, key: int = KEY, group: int = GROUP) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, keep: list[str], length: int = LENGTH, key: int = KEY, group: int = GROUP, most: int = SORTED
+) -> DataFrame:
     """The columns `keep` of docs, and n_bytes, n_removed, n_spans, kept (the bytes that are left)."""
+    in_batches(docs.sparkSession, TEXTS_AT_ONCE)
     slim = docs.withColumn("doc", doc_key()).withColumn("text", F.col("text").cast("string"))
-    spans = stage(covered(slim.select("doc", "text"), length, key, group))
+    spans = stage(covered(slim.select("doc", "text"), length, key, group, most))
     rest = [c for c in keep if c != "text"]
     marked = slim.select("doc", F.struct(*rest).alias("row") if rest else F.lit(True).alias("row"), "text")
     joined = pack(marked).join(spans, "doc", "left").select("row", "packed", "spans")

@@ -189,12 +189,12 @@ def passages(seed):
     return [*out, (70, "ab" * 300), (71, "é漢" * 150 + "x"), (72, None), (73, ""), (None, out[3][1]), (4, out[4][1])]
 
 
-@pytest.mark.parametrize("group", [suffixes.GROUP, 2])
-def test_removal_against_brute_force(spark, group):
-    """With groups of two stretches the runs are hashed one by one; the result is the same."""
+@pytest.mark.parametrize(("group", "most"), [(suffixes.GROUP, suffixes.SORTED), (suffixes.GROUP, 2), (2, 2)])
+def test_removal_against_brute_force(spark, group, most):
+    """Small groups are sorted, larger ones hashed in the task, the largest by Spark; the result is the same."""
     data = passages(11)
     frame_ = spark.createDataFrame([(*row, "x", "y") for row in data], "doc_id long, text string, doc string, spans string")
-    found = suffixes.without_repeats(frame_, ["doc_id"], length=24, key=9, group=group).collect()
+    found = suffixes.without_repeats(frame_, ["doc_id"], length=24, key=9, group=group, most=most).collect()
     got = sorted((r["row"]["doc_id"] is None, r["row"]["doc_id"] or 0, r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in found)
     assert got == brute_removal([(i, (t or "").encode()) for i, t in data], 24)
 
