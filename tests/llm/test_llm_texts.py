@@ -75,6 +75,44 @@ def test_word_model_beats_the_unigrams_on_held_out_texts(spark, real):
     assert got["r"] < 0.97 and got["share"] > 0.9
 
 
+def test_all_training_rows_are_learned_from(spark, monkeypatch):
+    """More rows than any fixed sample, rows that agree among them: every one is in the averaged pass, over several shards."""
+    text = "a b c d"
+    table = spark.range(5000).selectExpr("id as doc_id", f"'{text}' as text").unionByName(spark.range(600).selectExpr("7L as doc_id", f"'{text}' as text"))
+    vocabulary = gru.vocabulary(gru.count_words(table))
+    rows = gru.training_items(table, vocabulary, 5)
+    sizes = [r["count"] for r in rows.groupBy("shard").count().collect()]
+    assert len(sizes) == 5 and max(sizes) < 1.5 * min(sizes)
+    start = gru.start_weights(vocabulary)
+    weights, n = gru.averaged_pass(rows, start, 5)
+    assert n == 5600
+    parts = [[np.frombuffer(r["items"], np.int32) for r in rows.where(f"shard = {k}").collect()] for k in range(5)]
+    passed = [gru.train_pass(start, part) for part in parts]
+    for name in weights:
+        want = sum(len(part) * p[name].astype(float) for part, p in zip(parts, passed, strict=True)) / n
+        assert np.allclose(weights[name], want, atol=1e-5), name
+
+
+def test_head_grows_with_the_words(spark):
+    counts = spark.range(3_000_000).selectExpr("cast(cast(id as string) as binary) as word", "if(id < 4000, 100 - id div 100, 1) as n")
+    assert gru.vocabulary(counts.limit(1000)).head == 1001
+    assert gru.vocabulary(counts, known=10_000).head > gru.HEAD + 1000
+    assert gru.head_for(10**8) > 2 * gru.head_for(10**7) > 4 * gru.HEAD
+
+
+def test_passes_stream_their_texts(monkeypatch):
+    """Texts of any number go through a pass in chunks, each with the weights and steps of those before."""
+    vocabulary = small_words()
+    random = np.random.default_rng(5)
+    texts = [random.integers(0, vocabulary.items, 40) for _ in range(200)]
+    monkeypatch.setattr(gru, "CHUNK", 800)
+    runs = list(gru.in_chunks(iter(texts)))
+    assert len(runs) == 10 and sum(map(len, runs)) == 200
+    start = gru.start_weights(vocabulary)
+    got = gru.train_pass(start, iter(texts))
+    assert not np.allclose(got["u"], gru.train_pass(start, iter(texts[:100]))["u"])
+
+
 def small_words(n=150):
     ranked = {w.encode(): i + 1 for i, w in enumerate(dict.fromkeys(words(n, 3)))} | {b"": 0}
     count = np.arange(len(ranked), 0, -1).astype(float)
