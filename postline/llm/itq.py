@@ -1,12 +1,15 @@
 """Near-duplicate vectors by iterative quantisation, multi-index Hamming tables and exact cosine.
 
 The codes: vectors of unit length, turned to their principal axes, and rotated
-so that the signs lose as little as possible; CODES rotations from different
-starts give as many words of up to 64 bits. The model is fitted on at most
+so that the signs lose as little as possible; rotations from different starts, CODES
+or more, give as many words of up to 64 bits. The model is fitted on at most
 SAMPLE vectors, those with the smallest hashes.
 
-The tables: each word is cut into parts of about log2(n) bits, so a bucket
-holds a few chance members at any n. Two vectors meet in a table when their
+The tables: each word is cut into parts of log2(n) bits, so a bucket holds a few
+chance members at any n. There are as many words as it takes for a pair at the
+threshold to be missed by all tables with a probability of MISS at most. That is
+computed from the share of bits in which such a pair differs, which is measured on
+the sample, and takes bits as independent. Two vectors meet in a table when their
 parts differ in one bit at most: a vector stands once per bit, under its part
 without that bit. A pair that meets several times is taken at its first meeting
 only, which both codes tell. Pairs whose codes differ in more than FAR of their
@@ -21,7 +24,7 @@ row is a vector of its own; null ids are last. Labels and other columns are not
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,10 @@ from postline.llm.components import components
 
 COSINE = 0.95
 SAMPLE = 20_000
+#: The least number of rotations.
 CODES = 2
+#: Computed share of pairs at the threshold that no table finds.
+MISS = 0.005
 WORD_BITS = 64
 FAR = 0.3
 ROUNDS = 40
@@ -73,12 +79,35 @@ def encode(vectors: np.ndarray, mean: np.ndarray, projections: np.ndarray) -> np
     return np.stack(words, axis=1).view(np.int64)
 
 
+def differing(sample: np.ndarray, model: tuple[np.ndarray, np.ndarray], cosine: float = COSINE) -> float:
+    """Share of bits that differ between a sample vector and one at that cosine in a random direction; no less than for centred vectors."""
+    least = float(np.arccos(cosine) / np.pi)
+    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    side = np.random.default_rng(13).normal(size=unit.shape)
+    side -= (side * unit).sum(1, keepdims=True) * unit
+    size = np.linalg.norm(side, axis=1, keepdims=True)
+    if unit.shape[1] < 2 or not size.all():
+        return least
+    other = cosine * unit + np.sqrt(1 - cosine**2) * side / size
+    apart = np.bitwise_count(encode(unit, *model).view(np.uint64) ^ encode(other, *model).view(np.uint64))
+    return max(least, float(apart.mean()) / model[1].shape[2])
+
+
 def tables(bits: int, rows: int, codes: int = CODES) -> list[tuple[int, int, int]]:
-    """(code, first bit, width) of the parts, each about log2(rows) bits wide."""
-    width = max(4, min(bits, int(np.ceil(np.log2(max(rows, 2))))))
-    parts = max(1, bits // width)
-    edges = np.linspace(0, bits, parts + 1).astype(int)
-    return [(c, int(a), int(b - a)) for c in range(codes) for a, b in zip(edges, edges[1:], strict=False)]
+    """(code, first bit, width) of the parts, each log2(rows) bits wide."""
+    width = max(1, min(bits, max(4, int(np.ceil(np.log2(max(rows, 2)))))))
+    return [(c, first, width) for c in range(codes) for first in range(0, bits - width + 1, width)]
+
+
+def missed(parts: list[tuple[int, int, int]], differ: float) -> float:
+    """Probability that a pair whose bits differ with that probability meets in no part."""
+    return float(np.prod([1 - (1 - differ) ** w - w * differ * (1 - differ) ** (w - 1) for _, _, w in parts]))
+
+
+def codes_for(bits: int, rows: int, differ: float, miss: float = MISS) -> int:
+    """The least number of codes, from CODES, with which at most `miss` is missed."""
+    each = missed(tables(bits, rows, 1), min(differ, 0.5))
+    return max(CODES, int(np.ceil(np.log(miss) / np.log(each)))) if each > 0 else CODES
 
 
 def coded(vectors: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -99,13 +128,23 @@ def matrix(vectors: pa.Array) -> np.ndarray:
     return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
 
 
+def place_of(table: int, part: Column) -> Callable[[Column], Column]:
+    """From a bit to (table, bit, the part without that bit)."""
+
+    def place(bit: Column) -> Column:
+        without = F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+        return F.struct(F.lit(table).alias("table"), bit.alias("bit"), part.bitwiseAND(without).alias("rest"))
+
+    return place
+
+
 def meetings(codes: DataFrame, parts: list[tuple[int, int, int]]) -> DataFrame:
     """(table, bit, rest, node, codes) of every place where a vector stands in the tables."""
     places = []
     for table, (code, first, width) in enumerate(parts):
         part = F.shiftrightunsigned(F.col(f"code{code}"), first).bitwiseAND(F.lit((1 << width) - 1))
-        places += [F.struct(F.lit(table).alias("table"), F.lit(bit).alias("bit"), part.bitwiseAND(F.lit(~(1 << bit) & ((1 << width) - 1))).alias("rest")) for bit in range(width)]
-    rows = codes.withColumn("place", F.explode(F.array(*places)))
+        places.append(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), place_of(table, part)))
+    rows = codes.withColumn("place", F.explode(F.flatten(F.array(*places))))
     return rows.select("place.table", "place.bit", "place.rest", *codes.columns)
 
 
@@ -153,8 +192,10 @@ def links(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE) -> D
     """(a, b): pairs of different vectors (node, vector), all usable and of one length."""
     chosen = vectors.orderBy(F.xxhash64("node")).limit(sample).select("vector")
     found = [r["vector"] for r in chosen.collect()]  # bounded by `sample`
-    model = fit(np.array(found, dtype=np.float64))
-    bits, rows = model[1].shape[2], vectors.count()
+    known, rows = np.array(found, dtype=np.float64), vectors.count()
+    model = fit(known, 1)
+    bits = model[1].shape[2]
+    model = fit(known, codes_for(bits, rows, differing(known, model, cosine)))
     codes = stage(coded(vectors, model))
     return near(candidates(codes, tables(bits, rows, len(model[1])), bits), vectors, cosine)
 

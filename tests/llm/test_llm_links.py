@@ -110,6 +110,33 @@ def test_recall_of_the_tables_at_the_threshold():
     assert met.mean() >= 0.9
 
 
+@pytest.mark.parametrize("rows_", [10**4, 65_537, 10**6, 3 * 10**6, 10**8])
+def test_recall_holds_for_any_number_of_vectors(rows_):
+    random_ = np.random.default_rng(9)
+    base = random_.normal(size=(4000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = random_.normal(size=base.shape)
+    side -= (side * base).sum(1, keepdims=True) * base
+    other = 0.95 * base + np.sqrt(1 - 0.95**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    rate = itq.differing(base, itq.fit(base, 1))
+    codes = itq.codes_for(64, rows_, rate)
+    parts = itq.tables(64, rows_, codes)
+    assert itq.missed(parts, rate) < 0.01
+    assert {w for _, _, w in parts} == {int(np.ceil(np.log2(rows_)))}
+    model = itq.fit(base, codes)
+    differ = itq.encode(base, *model).view(np.uint64) ^ itq.encode(other, *model).view(np.uint64)
+    met = np.zeros(len(base), dtype=bool)
+    for code, first, width in parts:
+        met |= np.bitwise_count((differ[:, code] >> np.uint64(first)) & np.uint64((1 << width) - 1)) <= 1
+    assert met.mean() > 0.99
+
+
+@pytest.mark.parametrize("bits", [1, 2, 3, 8, 32])
+def test_vectors_of_few_dimensions_have_tables(bits):
+    for n in (2, 10**4, 10**8):
+        assert itq.missed(itq.tables(bits, n, itq.codes_for(bits, n, 0.1011)), 0.1011) < 0.01
+
+
 # ---- op5
 
 
