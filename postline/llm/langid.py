@@ -1,13 +1,14 @@
 """Language of a text by Kneser-Ney character models, one per language.
 
-The language whose model needs the fewest nats per character wins. Of the rows
-that may be learned from, four parts in five make the models; the rest set the
-sharpness that turns cross-entropies into a probability, and per language the
-cross-entropy above which a prediction is marked as rejected.
+The language whose model needs the fewest nats per character wins. All rows that
+may be learned from make the models. The sharpness that turns cross-entropies into
+a probability, and per language the cross-entropy above which a prediction is
+marked as rejected, are set before on one fold of these rows under models of the others.
 
 Defined cases: a text that is null or has no letter is `und` with score 0 and
 rejected; rows without a language are predicted, not learned from; without any
-row to learn from all texts are `und`. Ids, sources and languages are never
+row to learn from all texts are `und`; a language without rows to set its limit
+from is never rejected. Ids, sources and languages are never
 inputs of a prediction. Repeated rows get equal results; other columns are not read.
 """
 
@@ -36,7 +37,7 @@ def has_letter(text: str) -> bool:
 
 
 def train(docs: DataFrame) -> dict:
-    """Models by language, from rows that have one; tuning rows are left out if that leaves any language its text."""
+    """Models by language, from rows that have one."""
     known = docs.where("lang is not null and text is not null")
     return {name: m for name, m in fit_groups(count_grams(known, "lang", letters_only), modified=False).items() if name is not None}
 
@@ -66,7 +67,7 @@ def predict(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
     fold = remainder("doc_id", FOLDS)
     learning = rows.where(fold != 0)
-    models = train(learning.where(fold != TUNING_FOLD)) or train(learning)
+    models = train(learning)
     names = list(models)
     flags = rows.select("doc_id", "lang", (fold == 0).alias("held_out"), (fold == TUNING_FOLD).alias("tuning"), "text")
     if not names:
@@ -74,11 +75,9 @@ def predict(docs: DataFrame) -> DataFrame:
             "doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
             F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"),
         )
-    scored = stage(cross_entropies(flags, models))
-    best = F.array_min("nats")
-    chosen = F.element_at(F.array(*map(F.lit, names)), F.array_position("nats", best).cast("int"))
-    scored = scored.withColumn("best", best).withColumn("pred", chosen)
-    sharp, limits = tune(scored, names)
+    others = train(learning.where(fold != TUNING_FOLD)) or models
+    sharp, limits = tune(decided(flags.where("tuning and lang is not null"), others), list(others))
+    scored = decided(flags, models)
     limit = F.coalesce(*(F.when(F.col("pred") == name, F.lit(v)) for name, v in limits.items()), F.lit(float("inf")))
     return scored.select(
         "doc_id",
@@ -90,6 +89,13 @@ def predict(docs: DataFrame) -> DataFrame:
     )
 
 
+def decided(flags: DataFrame, models: dict) -> DataFrame:
+    """cross_entropies with the best one and its language, pred."""
+    best = F.array_min("nats")
+    chosen = F.element_at(F.array(*map(F.lit, models)), F.array_position("nats", best).cast("int"))
+    return stage(cross_entropies(flags, models)).withColumn("best", best).withColumn("pred", chosen)
+
+
 def odds(own: Column, sharp: float) -> Column:
     """Summed weight of all languages over that of the one whose cross-entropy is `own`."""
     return F.aggregate("nats", F.lit(0.0), lambda s, x: s + F.exp((own - x) * sharp))

@@ -183,6 +183,17 @@ def test_language_of_held_out_texts(spark, real):
     assert sum(r["rejected"] for r in rows) < 0.05 * len(rows)
 
 
+def test_language_of_one_fold_is_learned(spark):
+    """A language whose only learnable rows lie in the tuning fold has a model too."""
+    rare = next(i for i in range(1000, 2000) if fold(i, langid.FOLDS) == langid.TUNING_FOLD)
+    asked = next(i for i in range(1000, 2000) if fold(i, langid.FOLDS) == 0)
+    strange = "qxz vkj wqx zzk jqv xkw " * 20
+    data = [(i, prose(60, i), "en") for i in range(40)] + [(rare, strange, "qq"), (asked, "zzk jqv xkw qxz vkj wqx " * 9, None)]
+    got = {r["doc_id"]: r for r in langid.predict(spark.createDataFrame(data, "doc_id long, text string, lang string")).collect()}
+    assert (got[asked]["lang_pred"], got[rare]["lang_pred"], got[asked]["rejected"]) == ("qq", "qq", False)
+    assert sum(r["lang_pred"] == "en" for r in got.values()) == 40
+
+
 def test_language_of_odd_texts(spark, docs):
     got = langid.predict(docs).collect()
     assert len(got) == docs.count()
