@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postline.llm import bagminhash, gru, itq, langid, mixing, packing, paragraphs, perplexity, quality, suffixes
+from postline.llm import (
+    audit,
+    bagminhash,
+    bpe,
+    gru,
+    itq,
+    langid,
+    mixing,
+    packing,
+    paragraphs,
+    perplexity,
+    quality,
+    residues,
+    suffixes,
+)
 from postline.llm.common import stage, table
 
 
@@ -51,6 +65,18 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
 
 
+def op11_path_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_residue_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residues.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_gated_word_model,
     op2_language_id,
@@ -62,10 +88,13 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op8_line_field_quality,
     op9_maximal_repeats,
     op10_bagminhash,
+    op11_path_counts,
+    op12_residue_negatives,
+    op13_merge_rounds,
 )
 
 #: Not expressible: trained models, tokenisers, suffix arrays, sketches; tests hold those against brute force.
-SQL = {"op7_source_mixing": mixing.SQL}
+SQL = {"op7_source_mixing": mixing.SQL, "op11_path_counts": audit.SQL, "op12_residue_negatives": residues.SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
