@@ -13,7 +13,7 @@ from postline.plans.folding import with_payload
 from postline.plans.merging import BASE, RUN_TS, STAGED, batch_ctes, show, shown, unique
 from postline.plans.registry import query, table
 from postline.session import checkpoint_dir
-from postline.streaming import ingest, ticks
+from postline.streaming import ingest, tick_state, ticks
 
 C = F.col
 
@@ -44,15 +44,29 @@ def _chain() -> str:
     return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + shown(rows)
 
 
-@query("stm_01_incremental_ingest", "STM-01 MRG-01", oracle(_chain(), "batch", "stored"))
-def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ingested(spark: SparkSession, sf_dir: str) -> str:
+    """A store of the stored rows and three batches after one another."""
     store = scratch(spark, "store")
-    ingest.write_version(unique(spark, sf_dir), store, 0)
+    ingest.write_version(unique(spark, sf_dir), store, 0, buckets=16)
     orders = table(spark, sf_dir, "orders")
     stream = landed(spark, [orders.where(C("o_orderkey") % PARTS == i) for i in range(PARTS)], "landing")
     stage = lambda rows: folding.fold_inputs(with_payload(derived_from(rows, "batch")))
     ingest.ingest(stream, store, scratch(spark, "ingest"), stage, RUN_TS).awaitTermination()
-    return show(ingest.read_store(spark, store))
+    return store
+
+
+@query("stm_01_incremental_ingest", "STM-01 MRG-01", oracle(_chain(), "batch", "stored"))
+def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return show(ingest.read_store(spark, ingested(spark, sf_dir)))
+
+
+@query("stm_01_compacted_store", "STM-01 MRG-01", oracle(_chain(), "batch", "stored"))
+def compacted_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows after the buckets that several batches touched have been rewritten, read from a copy with other buckets."""
+    store, copy = ingested(spark, sf_dir), scratch(spark, "copy")
+    ingest.compact_buckets(spark, store, PARTS + 1, most=2)
+    ingest.compact(spark, store, copy, 0, buckets=5)
+    return show(ingest.read_store(spark, copy))
 
 
 @query(
@@ -98,6 +112,31 @@ def tick_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("tick", F.date_format("tick", "yyyy-MM-dd HH:mm"))
 
 
+LATE_SQL = TICKS_SQL.replace("FROM events)", "FROM events WHERE event_id % 97 = 0)", 1)
+
+
+@query(
+    "stm_03_tick_stream",
+    "STM-03 AGG-03",
+    f"SELECT *, false AS late FROM ({TICKS_SQL}) AS c UNION ALL SELECT *, true FROM ({LATE_SQL}) AS l",
+)
+def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events come in two halves, two rows move the clock on, then some events come once more, after all ticks have closed."""
+    kind = F.when(C("event_id") % 50 > 0, C("event_type")).alias("event_type")
+    events = table(spark, sf_dir, "events").select("event_id", C("ts").cast("timestamp").alias("ts"), kind)
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    half = F.lit(first + (last - first) / 2)
+    clock = lambda days: spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("event_id"), F.date_add(F.lit(last), days).cast("timestamp").alias("ts"), F.lit("clock").alias("event_type")
+    )
+    parts = [events.where(C("ts") < half), events.where(C("ts") >= half), clock(5), clock(6), events.where("event_id % 97 = 0")]
+    counts = tick_state.count_stream(landed(spark, parts, "ticks"), "ts", "event_type", ["error", "signup"], shards=2)
+    target = scratch(spark, "tick-counts")
+    tick_state.write_counts(counts, "event_type", target, scratch(spark, "tick-state")).awaitTermination()
+    whole = tick_state.read_counts(spark.read.parquet(target), "event_type")
+    return whole.where("event_type is null or event_type <> 'clock'").withColumn("tick", F.date_format("tick", "yyyy-MM-dd HH:mm"))
+
+
 @query(
     "stm_03_tick_rules",
     "STM-01 STM-03 FLT-06",

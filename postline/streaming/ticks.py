@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 FIRST_HOUR, LAST_HOUR, MINUTE = 7, 22, 30
 HOURLY_MINUTES, FIRST_MINUTES, SLOW_HOURS = 60, 24 * 60, 3
 ZONE = "Asia/Jerusalem"
+HOUR_MICROS = 3600 * 1_000_000
+FIRST_MICROS = (FIRST_HOUR * 60 + MINUTE) * 60 * 1_000_000
 
 
 def lookback_minutes(tick: Column) -> Column:
@@ -34,25 +36,26 @@ def collecting_tick(moment: Column, slow: Column, zone: str = ZONE) -> Column:
     """
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.to_utc_timestamp(moment, F.current_timezone()).cast("timestamp_ntz"))
     day = F.date_trunc("day", local).cast("timestamp_ntz")
-    past = F.timestamp_diff("SECOND", day, local) - (FIRST_HOUR * 60 + MINUTE) * 60
-    step = F.when(slow, F.lit(SLOW_HOURS * 3600)).otherwise(F.lit(3600))
-    waits = F.greatest(F.ceil(past / step), F.lit(0)) * step
+    past = F.greatest(F.timestamp_diff("MICROSECOND", day, local) - F.lit(FIRST_MICROS), F.lit(0))
+    step = F.when(slow, F.lit(SLOW_HOURS * HOUR_MICROS)).otherwise(F.lit(HOUR_MICROS))
+    waits = past + F.pmod(-past, step)  # whole microseconds: a tick collects what comes at it, not what comes after
     whole = (LAST_HOUR - FIRST_HOUR) // SLOW_HOURS * SLOW_HOURS
-    last = F.when(slow, F.lit(whole * 3600)).otherwise(F.lit((LAST_HOUR - FIRST_HOUR) * 3600))
-    after = F.when(waits > last, F.lit(24 * 3600)).otherwise(waits)
-    return F.timestamp_add("SECOND", (after + (FIRST_HOUR * 60 + MINUTE) * 60).cast("int"), day)
+    last = F.when(slow, F.lit(whole * HOUR_MICROS)).otherwise(F.lit((LAST_HOUR - FIRST_HOUR) * HOUR_MICROS))
+    after = F.when(waits > last, F.lit(24 * HOUR_MICROS)).otherwise(waits)
+    return F.timestamp_add("SECOND", ((after + FIRST_MICROS) / 1_000_000).cast("int"), day)
 
 
-def coverage(df: DataFrame, moment: str, source: str, slow: list[str], zone: str = ZONE) -> DataFrame:
-    """tick, source, hours, n: rows per collecting tick. Rows without a source count as hourly ones; one scan."""
-    late = F.coalesce(F.col(source).isin(slow), F.lit(False))
-    ticked = df.select(
-        collecting_tick(F.col(moment), late, zone).alias("tick"), source, F.when(late, SLOW_HOURS).otherwise(1).alias("hours")
-    )
-    return ticked.groupBy("tick", source, "hours").agg(F.count("*").alias("n"))
+def is_hours(source: str, slow: list[str]) -> Column:
+    """Hours between the ticks of a source. Rows without a source count as hourly ones."""
+    return F.when(F.coalesce(F.col(source).isin(slow), F.lit(False)), SLOW_HOURS).otherwise(1)
+
 
+def ticked(df: DataFrame, moment: str, source: str, slow: list[str], zone: str = ZONE, *keep: str) -> DataFrame:
+    """tick (local), source and hours of every row, and the columns to keep."""
+    hours = is_hours(source, slow)
+    return df.select(collecting_tick(F.col(moment), hours > 1, zone).alias("tick"), source, hours.alias("hours"), *keep)
 
-def tick_counts(df: DataFrame, moment: str, source: str, width: str = "1 hour") -> DataFrame:
-    """Rows per source and window between ticks; the same for tables and for streams."""
-    counted = df.groupBy(F.window(moment, width, startTime=f"{MINUTE} minutes").alias("w"), source)
-    return counted.agg(F.count("*").alias("n")).select(F.col("w.start").alias("tick"), source, "n")
+
+def coverage(df: DataFrame, moment: str, source: str, slow: list[str], zone: str = ZONE) -> DataFrame:
+    """tick, source, hours, n: rows per collecting tick. Rows without a source count as hourly ones; one scan."""
+    return ticked(df, moment, source, slow, zone).groupBy("tick", source, "hours").agg(F.count("*").alias("n"))
