@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postline.plans.derive import derived, oracle
 from postline.plans.registry import query, table
 from postline.plans.streams import scratch
-from postline.sources import html, landing
+from postline.sources import arrays, html, landing
 
 C = F.col
 
@@ -41,6 +41,28 @@ def read_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("pos", F.variant_get("item", "$.id", "string").alias("id"), F.variant_get("item", "$.title", "string").alias("title"))
 
 
+@query("src_01_read_large_array", "SRC-01", oracle(ITEMS_SQL.replace("seq AS file, 0 AS pos", "0 AS part").replace("seq, 1,", "1,"), "positions"))
+def read_large_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All positions in two documents of many lines: an array, and an object with other keys around its jobs."""
+    path = scratch(spark, "large")
+    items = derived(spark, sf_dir, "positions").select("seq", C("name").alias("title"), "id", "url")
+    spread = lambda kind, *columns: F.to_json(F.struct(F.lit(kind).alias("part"), *columns), {"pretty": "true"})
+    lists = (
+        (spread(0, "id", "title"), '[', "]\n"),
+        (spread(1, F.concat(C("id"), F.lit("b")).alias("id"), C("url").alias("title"), F.array(F.struct(F.lit("}],[{").alias("jobs"))).alias("x")),
+         '{"meta": {"jobs": [{"a": "]}"}]}, "jobs" :\n [', '], "next": [{}]}'),
+    )
+    low, high = items.agg(F.min("seq"), F.max("seq")).first()
+    for k, (text, opening, closing) in enumerate(lists):  # a line or more per item, in order
+        before = F.when(C("seq") == low, F.lit(opening)).otherwise(F.lit(","))
+        after = F.when(C("seq") == high, F.lit(closing)).otherwise(F.lit(""))
+        lines = items.select("seq", F.concat(before, text, after).alias("value"))
+        lines.coalesce(1).sortWithinPartitions("seq").select("value").write.text(f"{path}/{k}")
+    rows = arrays.array_items(spark, f"{path}/*")
+    take = lambda name, kind: F.variant_get("item", f"$.{name}", kind).alias(name)
+    return rows.select(take("part", "int"), take("id", "string"), take("title", "string"))
+
+
 @query(
     "src_02_read_grid_export",
     "SRC-02",
@@ -85,6 +107,25 @@ def locate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("src_04_probe_payload_rows", "SRC-04", oracle(ITEMS_SQL, "positions"))
+def probe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows up to seven levels down, behind empty lists, scalars and objects without rows."""
+    two = _two()
+    wrap = lambda a, b: F.concat(F.lit(a), two, F.lit(b))
+    shape = (
+        F.when(C("seq") % 6 == 0, two)
+        .when(C("seq") % 6 == 1, wrap('{"data":{"results":{"items":{"data":{"positions":', "}}}}}"))
+        .when(C("seq") % 6 == 2, wrap('{"jobs":{"results":[],"items":[1]},"data":{"jobs":"no","positions":{"jobs":', '}},"results":[2]}'))
+        .when(C("seq") % 6 == 3, wrap('{"jobs":{"data":{"jobs":{"data":{"jobs":{"data":{"jobs":', ',"data":[1]}}}}}},"items":[3]}'))
+        .when(C("seq") % 6 == 4, wrap('{"other":{"jobs":[4]},"jobs":null,"data":{"data":{}},"positions":', "}"))
+        .otherwise(wrap('{"jobs":{"jobs":{"jobs":[]}},"data":{"data":{"data":[]},"items":', '},"positions":[5]}'))
+    )
+    rows = landing.explode_items(_docs(spark, sf_dir, shape), landing.probe_rows(C("doc")), ["file"])
+    return rows.select(
+        "file", "pos", F.variant_get("item", "$.id", "string").alias("id"), F.variant_get("item", "$.title", "string").alias("title")
+    )
+
+
 @query(
     "src_05_extract_embedded_json",
     "SRC-05",

@@ -71,6 +71,43 @@ def locate_rows(doc: Column, rows_path: str | None = None) -> Column:
     return F.coalesce(as_items(doc), *direct, *nested)
 
 
+def probe_rows(doc: Column) -> Column:
+    """The row list of an unknown payload: itself, or found by walking the known keys as deep as they go.
+
+    In each object the keys are tried in their order. A list ends the object's
+    turn; an object is walked first; a list without items lets the search go on
+    behind the object it lies in. Without any row the result is an empty list.
+
+    What is still to be walked is a stack per document. A step takes one value
+    from it, so there are at most as many steps as known keys in the text.
+    """
+    is_list = lambda v: as_items(v).isNotNull()
+    is_map = lambda v: F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+    none = F.array().cast("array<variant>")
+
+    def inside(v: Column) -> Column:
+        under = F.array(*(F.try_variant_get(v, f"$.{k}", "variant") for k in ROW_KEYS))
+        first_list = F.array_position(F.transform(under, is_list), F.lit(True))
+        tried = F.slice(under, F.lit(1), F.when(first_list > 0, first_list).otherwise(F.lit(len(ROW_KEYS))).cast("int"))
+        return F.filter(tried, lambda v: is_list(v) | is_map(v))
+
+    def state(stack: Column, found: Column) -> Column:
+        return F.struct(stack.alias("stack"), found.alias("found"))
+
+    def step(s: Column, _: Column) -> Column:
+        top, rest = F.get(s["stack"], F.lit(0)), F.slice(s["stack"], F.lit(2), F.greatest(F.size(s["stack"]), F.lit(1)))
+        items = as_items(top)
+        return (
+            F.when((F.size(s["found"]) > 0) | (F.size(s["stack"]) == 0), s)
+            .when(items.isNotNull(), state(rest, items))
+            .otherwise(state(F.concat(inside(top), rest), none))
+        )
+
+    keys = F.regexp_count(F.to_json(doc), F.lit('"(' + "|".join(ROW_KEYS) + ')":'))
+    walked = F.aggregate(F.sequence(F.lit(0), keys), state(F.array(doc), none), step, lambda s: s["found"])
+    return F.coalesce(as_items(doc), walked)
+
+
 def require_rows(rows: Column) -> Column:
     return must(rows.isNotNull(), rows, "array<variant>", "a feed payload must be a list or expose one")
 

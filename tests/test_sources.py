@@ -1,6 +1,7 @@
 """Files, pages, feeds, grids and sinks."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -208,3 +209,33 @@ def test_script_links_have_no_limit_and_read_whole_names(spark, value):
 def test_a_selector_may_state_its_attribute(value):
     page = F.lit("<div class='d'></div><p title='from title'>text</p>")
     assert value(html.html_description(page, ["div.d", {"selector": "p", "attr": "title"}])) == "from title"
+
+
+def test_probe_walks_known_keys_to_any_depth(spark):
+    """Against the walk written as a recursion, on random payloads and one two hundred levels deep."""
+
+    def walk(p):
+        if isinstance(p, list):
+            return p
+        for k in landing.ROW_KEYS if isinstance(p, dict) else ():
+            inner = p.get(k)
+            found = walk(inner)
+            if isinstance(inner, list) or found:
+                return found
+        return []
+
+    r = random.Random(1)
+
+    def payload(depth):
+        if depth == 0 or r.random() < 0.2:
+            return r.choice([1, "a", None, [], [1], [{"a": r.randrange(99)}], {}])
+        return {k: payload(depth - 1) for k in r.sample((*landing.ROW_KEYS, "other"), r.randrange(4))}
+
+    docs = [payload(6) for _ in range(800)]
+    deep = [{"z": 1}]
+    for _ in range(200):
+        deep = {r.choice(landing.ROW_KEYS): deep}
+    docs.append(deep)
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, t string")
+    got = df.select("i", F.to_json(landing.probe_rows(F.parse_json("t"))).alias("r")).collect()
+    assert {x["i"]: json.loads(x["r"]) for x in got} == {i: walk(d) for i, d in enumerate(docs)}
