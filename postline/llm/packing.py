@@ -8,7 +8,8 @@ down, and the rest is packed best-fit, largest first, whole histogram entries at
 a time. The plan says for each length which ranks go to which sequences; tasks
 number the pieces of a length and look their places up.
 
-Defined cases: a null or empty text is a document of the end id alone; rows that
+Defined cases: a null or empty text is a document of the end id alone; a text that
+holds the string of an added token gets that token's id there; rows that
 agree in all columns are packed each on its own; an empty table gives no pieces.
 """
 
@@ -35,15 +36,25 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def tokenizer_path() -> str:
-    """The public vocabulary the queries use, as ranks; it equals byte_bpe_50k.json id for id."""
+    """The public vocabulary the queries use, as ranks; with the added tokens it equals byte_bpe_50k.json id for id."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encoder(path: str) -> Callable[[str], bytes]:
+def added_tokens() -> dict[str, int]:
+    """Strings the public vocabulary keeps whole, with their ids; its rank file has no place for them."""
+    from postline.llm import bpe
+
+    return {t["content"]: t["id"] for t in bpe.read_file(bpe.vocabulary_path())["added_tokens"]}
+
+
+def encoder(path: str, added: dict[str, int] | None = None) -> Callable[[str], bytes]:
     """Little-endian 32-bit ids of a text, by the byte-level vocabulary at path.
 
+    The strings of added tokens become their ids; what is between two of them
+    is encoded as a text of its own.
+
     A token never spans the place between a character that is no white space
     and a blank before another such character. So a text is cut there, and the
     ids of each cut are remembered.
@@ -78,7 +89,17 @@ def encoder(path: str) -> Callable[[str], bytes]:
                             known[part] = found[i]
         return whole(first) + b"".join(found)
 
+    added = added_tokens() if added is None else added
+    cuts = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+    added_ids = {t: np.array([i], dtype="<u4").tobytes() for t, i in added.items()}
+
     def encode(text: str) -> bytes:
+        if cuts and cuts.search(text):
+            pieces = cuts.split(text)
+            return b"".join(added_ids[p] if k % 2 else between(p) for k, p in enumerate(pieces))
+        return between(text)
+
+    def between(text: str) -> bytes:
         if len(text) <= AT_ONCE:
             return ids(text)
         out, start = [], 0
@@ -96,12 +117,12 @@ def encoder(path: str) -> Callable[[str], bytes]:
 def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id: int = 0) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
     in_batches(docs.sparkSession, TEXTS_AT_ONCE)
-    path = path or tokenizer_path()
+    path, added = path or tokenizer_path(), added_tokens() if path is None else {}
     end = int(end_id).to_bytes(4, "little")
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode = encoder(path, added)
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):

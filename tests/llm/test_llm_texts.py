@@ -305,9 +305,8 @@ def test_ids_equal_those_of_the_tokenizer(real):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     encode = packing.encoder(packing.tokenizer_path())
-    odd = ["", " ", "  a", "a  b", "a \n b", "a\n\n b ", "x 's y", "\t\ttabs  ", "é 漢 ☃", " lead", "trail ", "a b c  d", "<|endoftext|> x", "1 2  3"]
+    odd = ["", " ", "  a", "a  b", "a \n b", "a\n\n b ", "x 's y", "\t\ttabs  ", "é 漢 ☃", " lead", "trail ", "a b c  d", "<|endoftext|> x", "1 2  3", "a <|endoftext|> b", "a  <|endoftext|><|endoftext|>  "]
     for text in odd + [r["text"] for r in real.limit(300).collect()] + odd:
         assert encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text[:50]
 
