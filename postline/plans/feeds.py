@@ -93,6 +93,39 @@ def infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "prj_18_many_feeds",
+    "PRJ-18 EXT-01",
+    oracle(
+        """SELECT seq, 'feed ' || (seq % 40) AS company_name, CAST(seq AS STRING) AS id, name AS title, 'https://x.org/' || seq AS job_url,
+        CASE WHEN seq % 4 = 1 THEN 'https://a.org/' || seq ELSE 'https://x.org/' || seq END AS apply_url,
+        concat_ws(', ', city_2, CASE WHEN (seq % 40) % 8 < 4 THEN 'Israel' ELSE 'France' END) AS shown FROM positions WHERE seq % 4 < 3""",
+        "positions",
+    ),
+)
+def many_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty feeds of four shapes; those of the last one show no title. What only later rows hold is not looked at."""
+    df = derived(spark, sf_dir, "positions").withColumn("feed", C("seq") % 40)
+    link, city = F.concat(F.lit("https://x.org/"), C("seq")), F.coalesce(C("city_2"), F.lit(""))
+    later = F.when(C("seq") >= 400, F.lit("https://later.org"))
+    shapes = [
+        S(C("seq").alias("id"), C("name").alias("title"), link.alias("absolute_url"), S(city.alias("name")).alias("location"), later.alias("apply_url")),
+        S(C("seq").alias("jobId"), C("name").alias("jobTitle"), later.alias("title"), link.alias("hostedUrl"),
+          F.concat(F.lit("https://a.org/"), C("seq")).alias("applyUrl"), S(city.alias("location")).alias("categories")),
+        S(C("seq").alias("requisition_id"), C("name").alias("text"), link.alias("job_url"), city.alias("location"), later.alias("jobId")),
+        S(C("seq").alias("id"), link.alias("url"), later.alias("title")),
+    ]
+    texts = [F.to_json(s) for s in shapes]
+    text = F.when(C("seq") % 4 == 0, texts[0]).when(C("seq") % 4 == 1, texts[1]).when(C("seq") % 4 == 2, texts[2]).otherwise(texts[3])
+    rows = df.select("seq", "feed", F.parse_json(text).alias("item"))
+    feeds = df.groupBy("feed").agg(F.count("*").alias("_n")).select(
+        "feed", F.concat(F.lit("feed "), C("feed")).alias("company_name"), F.concat(F.lit("https://f.org/"), C("feed")).alias("url"),
+        F.when(C("feed") % 8 < 4, "Israel").otherwise("France").alias("country"),
+    )
+    mapped = feed.map_feeds(rows, feed.infer_mappings(rows, feeds))
+    return mapped.select("seq", "company_name", "id", "title", "job_url", "apply_url", display_location(C("location")).alias("shown"))
+
+
 @query(
     "prj_23_company_name_fallback",
     "PRJ-23",

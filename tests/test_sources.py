@@ -239,3 +239,29 @@ def test_probe_walks_known_keys_to_any_depth(spark):
     df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, t string")
     got = df.select("i", F.to_json(landing.probe_rows(F.parse_json("t"))).alias("r")).collect()
     assert {x["i"]: json.loads(x["r"]) for x in got} == {i: walk(d) for i, d in enumerate(docs)}
+
+
+def test_mappings_of_many_feeds_are_data(spark):
+    """Each feed's first object decides; scalars before it, feeds without title or link and unknown feeds drop out."""
+    rows = [
+        ("a", 1, 5), ("a", 2, {"title": "t1", "url": "https://a/1", "location": "Haifa"}), ("a", 3, {"title": "t2", "jobUrl": "https://no", "url": "https://a/2"}),
+        ("b", 4, {"text": "t3", "hostedUrl": "https://b/1", "applyUrl": "https://b/a", "title": None}), ("b", 5, {"title": "no", "hostedUrl": "https://b/2"}),
+        ("c", 6, {"title": "t4"}), ("c", 7, {"title": "t5", "url": "https://c/1"}), (None, 8, {"title": "t6", "url": "https://d/1"}), ("x", 9, {"title": "t7", "url": "https://x/1"}),
+    ]
+    df = spark.createDataFrame([(f, s, json.dumps(d)) for f, s, d in rows], "feed string, seq int, t string").select("feed", "seq", F.parse_json("t").alias("item"))
+    feeds = spark.createDataFrame([(f, f"name {f}", f"https://{f}.org", "Israel") for f in "abcde"], "feed string, company_name string, url string, country string")
+    mappings = feed.infer_mappings(df, feeds)
+    paths = {r["feed"]: r["paths"] for r in mappings.collect()}
+    assert paths == {
+        "a": {"title": "title", "job_url": "url", "apply_url": "url", "city": "location", "job_url_direct": "url"},
+        "b": {"title": "text", "job_url": "hostedUrl", "apply_url": "applyUrl", "job_url_direct": "hostedUrl"},
+    }
+    got = sorted((r["seq"], r["title"], r["job_url"], r["apply_url"], r["company_name"]) for r in feed.map_feeds(df, mappings).collect())
+    assert got == [
+        (2, "t1", "https://a/1", "https://a/1", "name a"), (3, "t2", "https://a/2", "https://a/2", "name a"), (4, "t3", "https://b/1", "https://b/a", "name b"),
+    ]
+    near = feed.map_feeds(df, mappings, location="haifa").select("seq").collect()
+    assert [r["seq"] for r in near] == [2]
+    one = feed.map_feed(df.where("feed = 'a'"), feed.infer_mapping(df.where("seq in (2, 3)"), "name a", "https://a.org", "Israel"))
+    same = feed.map_feeds(df.where("feed = 'a'"), mappings)
+    assert sorted(map(str, one.select("id", "title", "job_url", "location").collect())) == sorted(map(str, same.select("id", "title", "job_url", "location").collect()))
