@@ -1,15 +1,26 @@
 """Paragraphs that repeat across texts, by MinHash bands over five-word shingles.
 
-A paragraph is a line of MIN_WORDS words or more. Bands are tuned to the most
-selective ones that still find RECALL of the pairs at the threshold. Paragraphs
-that share a band are compared in full (Jaccard similarity of their shingle
-sets), links are closed to groups, and of each group the paragraph that comes
-first (smallest id, then position) stays; the others are removed.
-
-Defined cases: null and empty texts have no paragraphs and stay as they are;
-shorter lines are never removed; exact copies are always of one group; rows equal
-in id and text are one document, both lose the same paragraphs. Null ids come
-last. Other columns are not read.
+Paragraphs are made from the whole text, whatever its lines: a text is cut before
+each run of CUT_WORDS words whose hash is the smallest among those of REACH words
+to either side. Such places depend on the words around them alone, so a passage
+that recurs is cut alike wherever it stands, over many short lines or inside a long
+one. Paragraphs above MOST words (one word over and over has no such place) are cut
+every PART words from their start. Neighbouring cuts are more than REACH words
+apart, so only the first and last paragraph of a text, and what is left of one cut
+by length, can be below LEAST words; these are phrases and are never compared. A
+passage of over 50 words that lies anywhere in two texts holds a whole paragraph but
+for a few in a hundred; what is shorter than two paragraphs may hold none.
+
+Bands are tuned to the most selective ones that still find RECALL of the pairs at
+the threshold. Paragraphs that share a band are compared in full (Jaccard similarity
+of their shingle sets), links are closed to groups, and of each group the paragraph
+that comes first (smallest id, then position) stays; the others are removed, each
+with the blanks that follow it.
+
+Defined cases: null and empty texts have no paragraphs and stay as they are; exact
+copies are always of one group, also within a text; rows equal in id and text are
+one document, both lose the same paragraphs. Null ids come last. A very long text is
+cut in blocks and held as 16 bytes a word. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -17,21 +28,35 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
-from postline.llm.common import TEXTS_AT_ONCE, WORD, in_batches, mix, stage, texts_of, word_hashes
+from postline.llm.common import TEXTS_AT_ONCE, in_batches, mix, stage, texts_of, word_hashes
 from postline.llm.linking import linked, node_of
 
-MIN_WORDS = 30
+#: Words whose hash decides on a cut, and how far around a cut no other has a smaller one.
+CUT_WORDS = 3
+REACH = 11
+#: The fewest and the most words of a paragraph that is compared, and the words of parts of longer ones.
+LEAST = 12
+MOST = 64
+PART = 32
 WORDS = 5
 #: Jaccard similarity in percent from which paragraphs are near copies.
 SIMILARITY = 80
-PLACES = 64
-RECALL = 0.9995
-AT_ONCE = 1_000_000
+PLACES = 12
+RECALL = 0.995
+#: Words that are sketched, and bytes that are split, at once.
+AT_ONCE = 200_000
+BLOCK = 1 << 22
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+LARGEST = np.uint64(2**64 - 1)
+#: The bytes that separate words.
+BLANKS = b" \t\n\x0b\x0c\r"
 
 
 def tuned_rows(places: int = PLACES, percent: int = SIMILARITY, recall: float = RECALL) -> int:
@@ -41,48 +66,133 @@ def tuned_rows(places: int = PLACES, percent: int = SIMILARITY, recall: float =
     return max(fitting, default=1)
 
 
+def rolled(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each run of n words, given the words' hashes."""
+    out = np.full(max(0, len(h) - n + 1), n, dtype=np.uint64)
+    for k in range(n):
+        out = out * FACTOR + h[k : k + len(out)]
+    return mix(out)
+
+
 def shingles(text: str) -> np.ndarray:
     """Hashes of a paragraph's shingles; of all its words where they are fewer than five."""
     h = word_hashes(text.encode("utf-8", "surrogatepass").split())
-    n = min(WORDS, len(h))
-    out = np.full(len(h) - n + 1 if n else 0, n, dtype=np.uint64)
-    for k in range(n):
-        out = out * FACTOR + h[k : len(h) - n + 1 + k]
-    return mix(out)
+    return rolled(h, min(WORDS, len(h))) if len(h) else h
 
 
-def signatures(found: list[np.ndarray], places: int = PLACES) -> np.ndarray:
-    """The smallest value of each of `places` hash functions over each set; sets are not empty."""
-    values = np.concatenate(found)
-    first = np.concatenate([[0], np.cumsum([len(f) for f in found])])[:-1]
+def signatures(values: np.ndarray, first: np.ndarray, stop: np.ndarray, places: int = PLACES) -> np.ndarray:
+    """The smallest value of each of `places` hash functions over values[first:stop]; no range is empty, none overlap."""
     keys = mix(np.arange(1, 2 * places + 1, dtype=np.uint64) * FACTOR)
-    out = np.empty((len(found), places), dtype=np.uint64)
+    ranges = np.column_stack([first, stop]).ravel()
+    values = np.append(values, LARGEST)  # the last range may stop at the end
+    out = np.empty((len(first), places), dtype=np.uint64)
     for k in range(places):
-        out[:, k] = np.minimum.reduceat((values ^ keys[2 * k]) * (keys[2 * k + 1] | np.uint64(1)), first)
+        out[:, k] = np.minimum.reduceat((values ^ keys[2 * k]) * (keys[2 * k + 1] | np.uint64(1)), ranges)[::2]
     return out
 
 
-def banded(texts: DataFrame) -> DataFrame:
-    """texts (node, text) as (node, bands)."""
+def band_hashes(values: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """(paragraph, band) of hashes; a paragraph's shingles are values[first:stop]."""
     rows = tuned_rows()
+    bands = PLACES // rows
+    sketches = signatures(values, first, stop, bands * rows).reshape(len(first), bands, rows)
+    hashes = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(first), bands))
+    for k in range(rows):
+        hashes = mix(hashes * FACTOR + sketches[:, :, k])
+    return hashes.view(np.int64)
+
+
+def words_at(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, stop) of each word, starts and stops in bytes; a long text is split block by block."""
+    blank = np.isin(np.frombuffer(data, dtype=np.uint8), np.frombuffer(BLANKS, dtype=np.uint8))
+    edges = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
+    starts, stops = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+    found, at = [], 0
+    while at < len(starts):
+        till = max(at + 1, int(np.searchsorted(stops, starts[at] + BLOCK, "right")))
+        found.append(word_hashes(data[starts[at] : stops[till - 1]].split()))
+        at = till
+    return (np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)), starts, stops
+
+
+def least_of(values: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of each n values that follow each other, by doubling."""
+    wide = 1
+    while 2 * wide <= n:
+        values = np.minimum(values[:-wide], values[wide:])
+        wide *= 2
+    return np.minimum(values[: len(values) - (n - wide)], values[n - wide :])
+
+
+def bounds(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, stop) in words of the paragraphs of a text whose words' hashes are h, the short ones too."""
+    if not len(h):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    g = rolled(h, CUT_WORDS)
+    around = least_of(np.concatenate([np.full(REACH, LARGEST), g, np.full(REACH, LARGEST)]), REACH)
+    # of equal ones the first is the smallest
+    cuts = np.flatnonzero((g < around[: len(g)]) & (g <= around[REACH + 1 : REACH + 1 + len(g)]))
+    first = np.union1d([0], cuts)
+    parts = np.diff(np.append(first, len(h)))
+    n = np.where(parts > MOST, -(-parts // PART), 1)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    first = np.repeat(first, n) + nth * PART
+    return first, np.append(first[1:], len(h))
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """(doc_id, of, start, stop, node, bands, text) of every paragraph that is compared.
+
+    `of` is the hash of the text it stands in, start and stop are bytes of it; what
+    is removed with it reaches to the next paragraph. `node` is the hash of its text.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every, bands, run, size = texts_of(batch), [], [], 0
-            for i, text in enumerate(every):
-                run.append(shingles(text))
-                size += len(text)
-                if size >= AT_ONCE or i + 1 == len(every):
-                    sketches = signatures(run)
-                    sketches = sketches[:, : PLACES // rows * rows].reshape(len(run), -1, rows)
-                    hashes = np.broadcast_to(np.arange(sketches.shape[1], dtype=np.uint64), sketches.shape[:2])
-                    for k in range(rows):
-                        hashes = mix(hashes * FACTOR + sketches[:, :, k])
-                    bands += hashes.view(np.int64).tolist()
+            every = batch.column("text")
+            run, size = [], 0
+            for row in range(len(batch)):
+                data = (every[row].as_py() or "").encode("utf-8", "surrogatepass")
+                h, starts, stops = words_at(data)
+                if len(h) >= LEAST:
+                    run.append((row, data, h, starts, stops))
+                    size += len(h)
+                if run and (size >= AT_ONCE or row + 1 == len(batch)):
+                    yield laid_out(batch, run, xxhash.xxh3_128_digest)
                     run, size = [], 0
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(bands, pa.list_(pa.int64()))], ["node", "bands"])
 
-    return texts.select("node", "text").mapInArrow(sketch, "node binary, bands array<long>")
+    def laid_out(batch: pa.RecordBatch, run: list[tuple], digest) -> pa.RecordBatch:
+        firsts, ends, rows, begins, closes, texts, base = [], [], [], [], [], [], 0
+        for row, data, h, starts, stops in run:
+            first, stop = bounds(h)
+            compared = stop - first >= LEAST
+            first, stop = first[compared], stop[compared]
+            firsts.append(first + base)
+            ends.append(stop + base)
+            base += len(h)
+            begin = starts[first]
+            rows.append(np.full(len(first), row))
+            begins.append(begin)
+            closes.append(np.append(starts, len(data))[stop])
+            texts += [data[a:b] for a, b in zip(begin.tolist(), stops[stop - 1].tolist(), strict=True)]
+        first, stop = np.concatenate(firsts), np.concatenate(ends)
+        values = rolled(np.concatenate([r[2] for r in run]), WORDS)
+        hashes = band_hashes(values, first, stop - WORDS + 1) if len(first) else np.zeros((0, PLACES // tuned_rows()), dtype=np.int64)
+        width = hashes.shape[1]
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1) * width, pa.int32()), pa.array(hashes.ravel()))
+        at = pa.array(np.concatenate(rows))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(at), batch.column("of").take(at), pa.array(np.concatenate(begins), pa.int64()),
+             pa.array(np.concatenate(closes), pa.int64()), pa.array([digest(t) for t in texts], pa.binary()), lists,
+             pa.array([t.decode("utf-8", "surrogatepass") for t in texts], pa.string())],
+            ["doc_id", "of", "start", "stop", "node", "bands", "text"],
+        )
+
+    text = F.col("text").cast("string")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, of binary, start long, stop long, node binary, bands array<long>, text string"
+    return docs.select("doc_id", node_of(text).alias("of"), text.alias("text")).mapInArrow(cut, schema)
 
 
 def elements(texts: DataFrame) -> DataFrame:
@@ -124,47 +234,56 @@ def verified(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(check, "a binary, b binary")
 
 
-def paragraphs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, of, place, node, text) of every paragraph; `of` is the hash of the text it stands in."""
-    text = F.col("text").cast("string")
-    lines = docs.select("doc_id", node_of(text).alias("of"), F.posexplode(F.split(text, "\n", -1)).alias("place", "text"))
-    return lines.where(F.regexp_count("text", F.lit(WORD)) >= least).withColumn("node", node_of(F.col("text")))
-
-
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, of, place, group, stays) of the paragraphs that have a near copy; `group` is the first one's id."""
+    """(doc_id, of, start, stop, group, stays) of the paragraphs that have a near copy; `group` is the first one's id."""
     in_batches(docs.sparkSession, TEXTS_AT_ONCE)
-    every = paragraphs(docs)
-    sketched = banded(every.groupBy("node").agg(F.first("text").alias("text")))
-    bands = stage(sketched).select(F.explode("bands").alias("band"), "node")
+    every = stage(paragraphs(docs))
+    sketched = every.groupBy("node").agg(F.first("bands").alias("bands"))
+    bands = stage(sketched.select(F.explode("bands").alias("band"), "node"))
     roots = linked(bands, every.groupBy("node").agg(F.first("text").alias("text")), verified, elements, SIMILARITY)
-    slim = stage(every.select("doc_id", "of", "place", "node"))
-    order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "of", "place")
+    slim = every.select("doc_id", "of", "start", "stop", "node")
+    order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "of", "start")
     nodes = slim.groupBy("node").agg(F.min(order).alias("least"), F.count("*").alias("n")).join(roots, "node", "left")
     nodes = nodes.withColumn("root", F.coalesce("root", "node"))
     groups = nodes.groupBy("root").agg(F.min("least").alias("first"), F.sum("n").alias("n")).where("n > 1")
     placed = stage(nodes.select("node", "root").join(groups, "root").select("node", "first"))
     found = slim.join(placed, "node")
-    stays = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.of") == F.col("of")) & (F.col("first.place") == F.col("place"))
-    return found.select("doc_id", "of", "place", F.col("first.doc_id").alias("group"), stays.alias("stays"))
+    stays = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.of") == F.col("of")) & (F.col("first.start") == F.col("start"))
+    return found.select("doc_id", "of", "start", "stop", F.col("first.doc_id").alias("group"), stays.alias("stays"))
+
+
+@pandas_udf(StringType())
+def without(text: pd.Series, gone: pd.Series) -> pd.Series:
+    """Each text without the ranges of bytes given as start, stop, start, stop, ...; null where the text is."""
+
+    def left(text: str | None, ranges) -> str | None:
+        if text is None:
+            return None
+        data, at, kept = text.encode("utf-8", "surrogatepass"), 0, []
+        for start, stop in np.sort(np.asarray(ranges).reshape(-1, 2), axis=0).tolist():
+            kept.append(data[at:start])
+            at = stop
+        return b"".join([*kept, data[at:]]).decode("utf-8", "surrogatepass")
+
+    return pd.Series([left(t, g) for t, g in zip(text, gone, strict=True)], dtype=object)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs with columns __repeated, __removed (numbers of paragraphs) and __kept (the text without those removed)."""
     found = repeated(docs).distinct()
     by_doc = found.groupBy("doc_id", "of").agg(
-        F.count("*").alias("__repeated"), F.collect_list(F.when(~F.col("stays"), F.col("place"))).alias("__gone")
+        F.count("*").alias("__repeated"), F.flatten(F.collect_list(F.when(~F.col("stays"), F.array("start", "stop")))).alias("__gone")
     )
     by_doc = by_doc.withColumnRenamed("doc_id", "__id").withColumnRenamed("of", "__of")
     text = F.col("text").cast("string")
     rows = docs.withColumn("__node", node_of(text))
     rows = rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__node") == F.col("__of")), "left")
-    left = F.filter(F.split(text, "\n", -1), lambda line, k: ~F.array_contains("__gone", k))
-    kept = F.when(F.size("__gone") > 0, F.array_join(left, "\n")).otherwise(text)
+    touched = F.size("__gone") > 0
+    kept = F.when(touched, without(F.when(touched, text), "__gone")).otherwise(text)
     return rows.select(
         *docs.columns,
         F.coalesce("__repeated", F.lit(0)).alias("__repeated"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("__removed"),
+        F.coalesce((F.size("__gone") / 2).cast("long"), F.lit(0)).alias("__removed"),
         kept.alias("__kept"),
     )
 

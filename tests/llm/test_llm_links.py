@@ -140,6 +140,18 @@ def test_vectors_of_few_dimensions_have_tables(bits):
 # ---- op5
 
 
+def cut_by_hand(text):
+    """The paragraphs of a text by their definition, one place at a time."""
+    found = text.split()
+    h = [int(x) for x in paragraphs.rolled(paragraphs.word_hashes([w.encode() for w in found]), 3)]
+    starts = [0] + [i for i in range(1, len(h)) if all(h[i] < x for x in h[max(0, i - 11) : i]) and all(h[i] <= x for x in h[i + 1 : i + 12])]
+    out = []
+    for a, b in zip(starts, [*starts[1:], len(found)], strict=True):
+        step = 32 if b - a > 64 else 64
+        out += [(k, found[k : min(k + step, b)]) for k in range(a, b, step)]
+    return [(k, p) for k, p in out if len(p) >= 12]
+
+
 def test_paragraphs_against_brute_force(spark):
     r = random.Random(2)
     shared = [" ".join(words(60, 50 + k)) for k in range(4)]
@@ -150,17 +162,16 @@ def test_paragraphs_against_brute_force(spark):
         lines = [" ".join(words(r.randrange(5, 60), 1000 + 10 * i + k)) for k in range(4)] + r.sample([*shared, " ".join(close), "short line"], 2)
         r.shuffle(lines)
         data.append((i, "\n".join(lines)))
-    data += [(None, data[0][1]), (0, data[0][1]), (40, None), (41, ""), (42, "short line")]
+    data += [(None, data[0][1]), (0, data[0][1]), (40, None), (41, ""), (42, "short line"), (43, "so " * 200), (44, "then " + "so " * 150)]
     frame_ = spark.createDataFrame([(*row, "x") for row in data], "doc_id long, text string, place string")
-    items = {(i is None, i or 0, k): set(zip(*(line.split()[j:] for j in range(5)), strict=False))
-             for i, t in data for k, line in enumerate((t or "").split("\n")) if len(line.split()) >= paragraphs.MIN_WORDS}
+    items = {(i is None, i or 0, k): set(zip(*(p[j:] for j in range(5)), strict=False)) for i, t in data for k, p in cut_by_hand(t or "")}
     pairs = [(a, b) for a in items for b in items if a < b and len(items[a] & items[b]) * 100 >= 80 * len(items[a] | items[b])]
     root = union(pairs, items)
-    linked = {n for p in pairs for n in p}
     gone, some = collections.Counter(), collections.Counter()
-    for n in linked:
+    for n in {n for p in pairs for n in p}:
         some[n[:2]] += 1
         gone[n[:2]] += root[n] != n
+    assert sum(gone.values()) > 40
     for row in paragraphs.removal(frame_).collect():
         name = (row["doc_id"] is None, row["doc_id"] or 0)
         assert (row["n_repeated"], row["n_removed"]) == (some[name], gone[name])
@@ -169,6 +180,41 @@ def test_paragraphs_against_brute_force(spark):
     assert paragraphs.removal(frame_.where("false")).count() == 0
 
 
+def test_passages_over_short_lines_and_inside_long_ones(spark):
+    r, n = random.Random(9), 120
+    passages = [words(60 + 5 * (k % 9), 300 + k) for k in range(n)]
+    data = []
+    for k, passage in enumerate(passages):
+        before, after = words(40 + k % 30, 5000 + k, 10**6), words(50, 7000 + k, 10**6)
+        data.append((2 * k, " ".join([*before, *passage, *after])))
+        broken = "".join(w + r.choice(["\n", " ", " ", " "]) for w in passage)
+        data.append((2 * k + 1, "\n".join([" ".join(words(7, 9000 + k, 10**6)), broken, " ".join(after[:9][::-1])])))
+    data += [(2 * n + k, " ".join(words(200, 20_000 + k, 10**6))) for k in range(60)]
+    got = {x["doc_id"]: x for x in paragraphs.removal(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    caught = sum(got[2 * k]["n_repeated"] > 0 and got[2 * k + 1]["n_removed"] > 0 for k in range(n))
+    assert caught >= 0.95 * n
+    assert all(got[2 * n + k]["n_repeated"] == 0 for k in range(60))
+
+
+def test_text_without_its_ranges(spark):
+    text = " ".join(words(300, 1)) + " été 漢字 " + " ".join(words(300, 2))
+    before, after = prose(40, 3), prose(40, 4) + " end ☃"
+    rows_ = paragraphs.deduplicated(spark.createDataFrame([(1, text), (2, f"{before} {text}\n\t{after}")], "doc_id long, text string")).collect()
+    by_id = {x["doc_id"]: x for x in rows_}
+    assert by_id[1]["__kept"] == text
+    left = by_id[2]["__kept"]
+    assert left.startswith(before[:20]) and left.endswith(after[-20:]) and len(left) < len(text) / 2
+
+
+def test_blocks_of_a_long_text_change_nothing(monkeypatch):
+    data = ("  " + prose(3000, 5) + "\t\r\n").encode()
+    whole = paragraphs.words_at(data)
+    monkeypatch.setattr(paragraphs, "BLOCK", 50)
+    for a, b in zip(whole, paragraphs.words_at(data), strict=True):
+        assert (a == b).all()
+    assert [data[a:b] for a, b in zip(whole[1], whole[2], strict=True)] == data.split()
+
+
 def test_tuned_bands_reach_the_recall():
     rows_ = paragraphs.tuned_rows()
     s = paragraphs.SIMILARITY / 100
