@@ -226,8 +226,12 @@ def test_paragraphs_of_odd_texts(spark, docs):
     got = paragraphs.removal(docs).collect()
     assert len(got) == docs.count()
     by_id = {r["doc_id"]: r for r in got if r["doc_id"] not in (2, 4, 12, None)}
-    assert by_id[1]["n_repeated"] == 0 and by_id[11]["n_removed"] == 0 and by_id[11]["n_repeated"] == 1
-    assert sum(r["n_removed"] for r in got if r["doc_id"] == 12) == 1
+    # short lines are compared too: 2 is a copy of 1, 3 one with a word changed
+    assert by_id[1]["n_repeated"] > 5 and by_id[1]["n_removed"] == 0
+    assert [r["n_removed"] for r in got if r["doc_id"] == 2] == [by_id[1]["n_repeated"]] * 2
+    assert by_id[3]["n_removed"] > 0
+    assert by_id[11]["n_removed"] == 0 and by_id[11]["n_repeated"] > 0
+    assert sorted(r["n_removed"] > 0 for r in got if r["doc_id"] == 12) == [False, True]
 
 
 # ---- op9
