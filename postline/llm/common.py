@@ -27,11 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends, sizes are known."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -92,16 +92,17 @@ def open_pairs(members: DataFrame, texts: DataFrame, elements: Verify, percent:
     return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
 
-def linked(bands: DataFrame, texts: DataFrame, verify: Verify, elements: Verify, percent: int) -> DataFrame:
+def linked(bands: DataFrame, texts: DataFrame | Verify, verify: Verify, elements: Verify, percent: int) -> DataFrame:
     """(node, root) of all nodes that have a verified link.
 
-    bands: (band, node), each once. texts: (node, text), each node once. verify
-    takes rows (a, b, text_a, text_b) and returns (a, b) of those that hold;
+    bands: (band, node), each once. texts: (node, text), each node once, or what
+    gives these for a table of nodes. verify takes rows (a, b, text_a, text_b) and returns (a, b) of those that hold;
     elements takes texts and returns (node, element, weight) of the multisets
     whose Jaccard similarity in percent a link must reach.
     """
     shared = stage(shared_bands(bands))
-    held = stage(texts.join(shared.select("node").distinct(), "node", "left_semi"))
+    nodes = shared.select("node").distinct()
+    held = stage(texts(nodes) if callable(texts) else texts.join(nodes, "node", "left_semi"))
     tried = stage(star_pairs(shared))
     roots = stage(components(verify(with_texts(tried, held))))
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -48,15 +48,17 @@ PART = 32
 WORDS = 5
 #: Jaccard similarity in percent from which paragraphs are near copies.
 SIMILARITY = 80
-PLACES = 12
-RECALL = 0.995
-#: Words that are sketched, and bytes that are split, at once.
-AT_ONCE = 200_000
+PLACES = 10
+RECALL = 0.99
+#: Bytes that are sketched, and that are split into words, at once.
+AT_ONCE = 2_000_000
 BLOCK = 1 << 22
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+FACTOR_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 LARGEST = np.uint64(2**64 - 1)
 #: The bytes that separate words.
 BLANKS = b" \t\n\x0b\x0c\r"
+IS_BLANK = np.isin(np.arange(256), list(BLANKS))
 
 
 def tuned_rows(places: int = PLACES, percent: int = SIMILARITY, recall: float = RECALL) -> int:
@@ -102,17 +104,28 @@ def band_hashes(values: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.n
     return hashes.view(np.int64)
 
 
-def words_at(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, stop) of each word, starts and stops in bytes; a long text is split block by block."""
-    blank = np.isin(np.frombuffer(data, dtype=np.uint8), np.frombuffer(BLANKS, dtype=np.uint8))
-    edges = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
-    starts, stops = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-    found, at = [], 0
+def words_at(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, stop) of each word in bytes."""
+    blank = np.ones(len(data) + 2, dtype=bool)
+    blank[1:-1] = IS_BLANK[np.frombuffer(data, dtype=np.uint8)]
+    return np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
+
+
+def hashed(data: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 64-bit hash per word: a polynomial of its bytes, as differences of running sums; a long text goes block by block."""
+    letters = mix(np.arange(1, 257, dtype=np.uint64) * FACTOR)
+    found, at = [np.zeros(0, dtype=np.uint64)], 0
     while at < len(starts):
         till = max(at + 1, int(np.searchsorted(stops, starts[at] + BLOCK, "right")))
-        found.append(word_hashes(data[starts[at] : stops[till - 1]].split()))
+        base = starts[at]
+        values = letters[np.frombuffer(data, dtype=np.uint8, count=stops[till - 1] - base, offset=base)]
+        power = np.cumprod(np.full(len(values), FACTOR))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(values * power)])
+        back = np.cumprod(np.full(len(values), FACTOR_BACK))
+        first, stop = starts[at:till] - base, stops[at:till] - base
+        found.append(mix((sums[stop] - sums[first]) * back[first] + (stop - first).astype(np.uint64)))
         at = till
-    return (np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)), starts, stops
+    return np.concatenate(found)
 
 
 def least_of(values: np.ndarray, n: int) -> np.ndarray:
@@ -124,15 +137,25 @@ def least_of(values: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (n - wide)], values[n - wide :])
 
 
-def bounds(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first, stop) in words of the paragraphs of a text whose words' hashes are h, the short ones too."""
+def bounds(h: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, stop) of the paragraphs of texts of `sizes` words, the short ones too; h: the hashes of all their words.
+
+    Texts are laid out with REACH places between them, so none bears on another. Every text has a word.
+    """
     if not len(h):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    g = rolled(h, CUT_WORDS)
-    around = least_of(np.concatenate([np.full(REACH, LARGEST), g, np.full(REACH, LARGEST)]), REACH)
+    ends = np.cumsum(sizes)
+    g = np.concatenate([rolled(h, CUT_WORDS), np.full(min(len(h), CUT_WORDS - 1), LARGEST)])
+    for k in range(1, CUT_WORDS):
+        g[np.maximum(ends - k, ends - sizes)] = LARGEST  # these runs go beyond their text
+    at = np.arange(len(h)) + REACH * np.repeat(np.arange(1, len(sizes) + 1), sizes)
+    apart = np.full(len(h) + REACH * (len(sizes) + 1), LARGEST)
+    apart[at] = g
+    around = least_of(apart, REACH)
     # of equal ones the first is the smallest
-    cuts = np.flatnonzero((g < around[: len(g)]) & (g <= around[REACH + 1 : REACH + 1 + len(g)]))
-    first = np.union1d([0], cuts)
+    cut = (g < around[at - REACH]) & (g <= around[at + 1])
+    cut[ends - sizes] = True
+    first = np.flatnonzero(cut)
     parts = np.diff(np.append(first, len(h)))
     n = np.where(parts > MOST, -(-parts // PART), 1)
     nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -141,10 +164,10 @@ def bounds(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, of, start, stop, node, bands, text) of every paragraph that is compared.
+    """(doc_id, of, start, stop, digest, bands, text) of every paragraph that is compared.
 
     `of` is the hash of the text it stands in, start and stop are bytes of it; what
-    is removed with it reaches to the next paragraph. `node` is the hash of its text.
+    is removed with it reaches to the next paragraph. `digest` is the 128-bit hash of its text.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,43 +178,39 @@ def paragraphs(docs: DataFrame) -> DataFrame:
             run, size = [], 0
             for row in range(len(batch)):
                 data = (every[row].as_py() or "").encode("utf-8", "surrogatepass")
-                h, starts, stops = words_at(data)
-                if len(h) >= LEAST:
-                    run.append((row, data, h, starts, stops))
-                    size += len(h)
+                if len(data) >= 2 * LEAST - 1:
+                    run.append((row, data))
+                    size += len(data)
                 if run and (size >= AT_ONCE or row + 1 == len(batch)):
                     yield laid_out(batch, run, xxhash.xxh3_128_digest)
                     run, size = [], 0
 
-    def laid_out(batch: pa.RecordBatch, run: list[tuple], digest) -> pa.RecordBatch:
-        firsts, ends, rows, begins, closes, texts, base = [], [], [], [], [], [], 0
-        for row, data, h, starts, stops in run:
-            first, stop = bounds(h)
-            compared = stop - first >= LEAST
-            first, stop = first[compared], stop[compared]
-            firsts.append(first + base)
-            ends.append(stop + base)
-            base += len(h)
-            begin = starts[first]
-            rows.append(np.full(len(first), row))
-            begins.append(begin)
-            closes.append(np.append(starts, len(data))[stop])
-            texts += [data[a:b] for a, b in zip(begin.tolist(), stops[stop - 1].tolist(), strict=True)]
-        first, stop = np.concatenate(firsts), np.concatenate(ends)
-        values = rolled(np.concatenate([r[2] for r in run]), WORDS)
-        hashes = band_hashes(values, first, stop - WORDS + 1) if len(first) else np.zeros((0, PLACES // tuned_rows()), dtype=np.int64)
-        width = hashes.shape[1]
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1) * width, pa.int32()), pa.array(hashes.ravel()))
-        at = pa.array(np.concatenate(rows))
+    def laid_out(batch: pa.RecordBatch, run: list[tuple[int, bytes]], digest) -> pa.RecordBatch:
+        data = b"\n".join(d for _, d in run)
+        base = np.cumsum([0] + [len(d) + 1 for _, d in run])
+        starts, stops = words_at(data)
+        h = hashed(data, starts, stops)
+        till = np.searchsorted(starts, base)
+        first, stop = bounds(h, np.diff(till)[np.diff(till) > 0])
+        compared = stop - first >= LEAST
+        first, stop = first[compared], stop[compared]
+        of = np.searchsorted(till, first, "right") - 1
+        # up to the next word of the same text, or its end
+        close = np.minimum(np.append(starts, len(data))[stop], base[of + 1] - 1)
+        texts = [data[a:b] for a, b in zip(starts[first].tolist(), stops[stop - 1].tolist(), strict=True)]
+        bands = PLACES // tuned_rows()
+        hashes = band_hashes(rolled(h, WORDS), first, stop - WORDS + 1) if len(first) else np.zeros((0, bands), dtype=np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1) * bands, pa.int32()), pa.array(hashes.ravel()))
+        at = pa.array(np.array([row for row, _ in run])[of])
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(at), batch.column("of").take(at), pa.array(np.concatenate(begins), pa.int64()),
-             pa.array(np.concatenate(closes), pa.int64()), pa.array([digest(t) for t in texts], pa.binary()), lists,
+            [batch.column("doc_id").take(at), batch.column("of").take(at), pa.array(starts[first] - base[of], pa.int64()),
+             pa.array(close - base[of], pa.int64()), pa.array([digest(t) for t in texts], pa.binary()), lists,
              pa.array([t.decode("utf-8", "surrogatepass") for t in texts], pa.string())],
-            ["doc_id", "of", "start", "stop", "node", "bands", "text"],
+            ["doc_id", "of", "start", "stop", "digest", "bands", "text"],
         )
 
     text = F.col("text").cast("string")
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, of binary, start long, stop long, node binary, bands array<long>, text string"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, of binary, start long, stop long, digest binary, bands array<long>, text string"
     return docs.select("doc_id", node_of(text).alias("of"), text.alias("text")).mapInArrow(cut, schema)
 
 
@@ -208,7 +227,7 @@ def elements(texts: DataFrame) -> DataFrame:
                 columns = [nodes.take(pa.array(owner)), pa.array(hashes.view(np.int64)), pa.array(np.ones(len(hashes), dtype=np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "element", "weight"])
 
-    return texts.select("node", "text").mapInArrow(spell, "node binary, element long, weight long")
+    return texts.select("node", "text").mapInArrow(spell, "node long, element long, weight long")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = SIMILARITY) -> bool:
@@ -231,23 +250,29 @@ def verified(pairs: DataFrame) -> DataFrame:
                 keep.append(similar(left, np.unique(shingles(two[i].as_py()))))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.mapInArrow(check, "a binary, b binary")
+    return pairs.mapInArrow(check, "a long, b long")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, of, start, stop, group, stays) of the paragraphs that have a near copy; `group` is the first one's id."""
+    """(doc_id, of, start, stop, group, stays) of the paragraphs that have a near copy; `group` is the first one's id.
+
+    Equal paragraphs are one numbered node, so that what is shuffled of each is eight bytes a band.
+    """
     in_batches(docs.sparkSession, TEXTS_AT_ONCE)
-    every = stage(paragraphs(docs))
-    sketched = every.groupBy("node").agg(F.first("bands").alias("bands"))
-    bands = stage(sketched.select(F.explode("bands").alias("band"), "node"))
-    roots = linked(bands, every.groupBy("node").agg(F.first("text").alias("text")), verified, elements, SIMILARITY)
-    slim = every.select("doc_id", "of", "start", "stop", "node")
+    every = stage(paragraphs(docs), "zstd")
     order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "of", "start")
-    nodes = slim.groupBy("node").agg(F.min(order).alias("least"), F.count("*").alias("n")).join(roots, "node", "left")
-    nodes = nodes.withColumn("root", F.coalesce("root", "node"))
-    groups = nodes.groupBy("root").agg(F.min("least").alias("first"), F.sum("n").alias("n")).where("n > 1")
-    placed = stage(nodes.select("node", "root").join(groups, "root").select("node", "first"))
-    found = slim.join(placed, "node")
+    nodes = every.groupBy("digest").agg(F.first("bands").alias("bands"), F.min(order).alias("least"), F.count("*").alias("n"))
+    nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()))
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        named = nodes.select("node", "digest").join(wanted, "node", "left_semi")
+        return every.groupBy("digest").agg(F.first("text").alias("text")).join(named, "digest").select("node", "text")
+
+    roots = linked(nodes.select(F.explode("bands").alias("band"), "node"), texts, verified, elements, SIMILARITY)
+    rooted = nodes.select("digest", "node", "least", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    groups = rooted.groupBy("root").agg(F.min("least").alias("first"), F.sum("n").alias("n")).where("n > 1")
+    placed = stage(rooted.select("digest", "root").join(groups, "root").select("digest", "first"))
+    found = every.select("doc_id", "of", "start", "stop", "digest").join(placed, "digest")
     stays = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.of") == F.col("of")) & (F.col("first.start") == F.col("start"))
     return found.select("doc_id", "of", "start", "stop", F.col("first.doc_id").alias("group"), stays.alias("stays"))
 

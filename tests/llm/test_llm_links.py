@@ -143,7 +143,7 @@ def test_vectors_of_few_dimensions_have_tables(bits):
 def cut_by_hand(text):
     """The paragraphs of a text by their definition, one place at a time."""
     found = text.split()
-    h = [int(x) for x in paragraphs.rolled(paragraphs.word_hashes([w.encode() for w in found]), 3)]
+    h = [int(x) for x in paragraphs.rolled(paragraphs.hashed(text.encode(), *paragraphs.words_at(text.encode())), 3)]
     starts = [0] + [i for i in range(1, len(h)) if all(h[i] < x for x in h[max(0, i - 11) : i]) and all(h[i] <= x for x in h[i + 1 : i + 12])]
     out = []
     for a, b in zip(starts, [*starts[1:], len(found)], strict=True):
@@ -208,11 +208,12 @@ def test_text_without_its_ranges(spark):
 
 def test_blocks_of_a_long_text_change_nothing(monkeypatch):
     data = ("  " + prose(3000, 5) + "\t\r\n").encode()
-    whole = paragraphs.words_at(data)
+    starts, stops = paragraphs.words_at(data)
+    assert [data[a:b] for a, b in zip(starts, stops, strict=True)] == data.split()
+    whole = paragraphs.hashed(data, starts, stops)
     monkeypatch.setattr(paragraphs, "BLOCK", 50)
-    for a, b in zip(whole, paragraphs.words_at(data), strict=True):
-        assert (a == b).all()
-    assert [data[a:b] for a, b in zip(whole[1], whole[2], strict=True)] == data.split()
+    assert (paragraphs.hashed(data, starts, stops) == whole).all()
+    assert len(set(zip(whole.tolist(), data.split(), strict=True))) == len(set(whole.tolist())) == len(set(data.split()))
 
 
 def test_tuned_bands_reach_the_recall():
