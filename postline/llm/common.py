@@ -35,6 +35,15 @@ def stage(df: DataFrame, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let the driver collect garbage, upon which Spark deletes the shuffle files of jobs that have ended.
+
+    Spark does so only when the driver's memory fills up, or every half hour.
+    What a staged table was made from is not needed once it is written.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def in_batches(spark: SparkSession, rows: int) -> None:
     """Rows that go to a Python worker at once, from now on in this session.
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from postline.llm.common import TEXTS_AT_ONCE, in_batches, mix, stage, texts_of, word_hashes
+from postline.llm.common import TEXTS_AT_ONCE, forget_shuffles, in_batches, mix, stage, texts_of, word_hashes
 from postline.llm.linking import linked, node_of
 
 #: Words whose hash decides on a cut, and how far around a cut no other has a smaller one.
@@ -260,19 +260,22 @@ def repeated(docs: DataFrame) -> DataFrame:
     """
     in_batches(docs.sparkSession, TEXTS_AT_ONCE)
     every = stage(paragraphs(docs), "zstd")
-    order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "of", "start")
-    nodes = every.groupBy("digest").agg(F.first("bands").alias("bands"), F.min(order).alias("least"), F.count("*").alias("n"))
+    nodes = every.groupBy("digest").agg(F.first("bands").alias("bands"), F.count("*").alias("n"))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()))
+    forget_shuffles(docs.sparkSession)
 
     def texts(wanted: DataFrame) -> DataFrame:
         named = nodes.select("node", "digest").join(wanted, "node", "left_semi")
         return every.groupBy("digest").agg(F.first("text").alias("text")).join(named, "digest").select("node", "text")
 
     roots = linked(nodes.select(F.explode("bands").alias("band"), "node"), texts, verified, elements, SIMILARITY)
-    rooted = nodes.select("digest", "node", "least", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    groups = rooted.groupBy("root").agg(F.min("least").alias("first"), F.sum("n").alias("n")).where("n > 1")
-    placed = stage(rooted.select("digest", "root").join(groups, "root").select("digest", "first"))
-    found = every.select("doc_id", "of", "start", "stop", "digest").join(placed, "digest")
+    # what is there twice or has a link is of a group of two or more
+    grouped = nodes.select("digest", "node", "n").join(roots, "node", "left").where("n > 1 or root is not null")
+    placed = stage(grouped.select("digest", F.coalesce("root", "node").alias("root")))
+    found = stage(every.select("doc_id", "of", "start", "stop", "digest").join(placed, "digest").drop("digest"))
+    forget_shuffles(docs.sparkSession)
+    order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "of", "start")
+    found = found.join(found.groupBy("root").agg(F.min(order).alias("first")), "root")
     stays = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.of") == F.col("of")) & (F.col("first.start") == F.col("start"))
     return found.select("doc_id", "of", "start", "stop", F.col("first.doc_id").alias("group"), stays.alias("stays"))
 
