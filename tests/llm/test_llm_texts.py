@@ -93,6 +93,45 @@ def test_all_training_rows_are_learned_from(spark, monkeypatch):
         assert np.allclose(weights[name], want, atol=1e-5), name
 
 
+def test_rounds_share_the_texts_of_a_large_corpus(spark, monkeypatch):
+    """Above ONCE words each round reads its own part, and all parts together every row."""
+    table = spark.range(3000).selectExpr("id as doc_id", "concat('a b ', id % 7) as text").unionByName(spark.range(3000).selectExpr("7L as doc_id", "'c d' as text"))
+    vocabulary = gru.vocabulary(gru.count_words(table))
+    read = []
+    original = gru.averaged_pass
+    monkeypatch.setattr(gru, "averaged_pass", lambda rows, weights, shards: read.append(original(rows, weights, shards)) or read[-1])
+    monkeypatch.setattr(gru, "ONCE", vocabulary.total)
+    gru.train(table, vocabulary)
+    parts = [n for _, n in read]
+    assert sum(parts) == 6000 and len(parts) == gru.ROUNDS and max(parts) < 1.3 * min(parts)
+    monkeypatch.setattr(gru, "ONCE", vocabulary.total + 1)
+    gru.train(table, vocabulary)
+    assert [n for _, n in read[3:]] == [6000] * gru.ROUNDS
+
+
+def test_long_texts_need_little_room():
+    """A text of a million words among 2,000 short ones is laid out in chunks of bounded size and learned from whole."""
+    random = np.random.default_rng(6)
+    vocabulary = small_words()
+    texts = [random.integers(0, vocabulary.items, n).astype(np.int32) for n in [1_000_000] + [100] * 2000]
+    room, learned, counted = 0, 0, np.zeros(vocabulary.items, np.int64)
+    for run in gru.in_chunks(gru.in_pieces(texts)):
+        laid = gru.in_streams(run)
+        room = max(room, sum(x.nbytes for x in laid))
+        learned += int(laid[3].sum())
+        counted += np.bincount(laid[1][laid[3]], minlength=vocabulary.items)
+        starts = laid[0][laid[2]]
+        assert len(starts) == len(run)
+    assert learned == 1_200_000 and room < 30_000_000
+    assert (counted == np.bincount(np.concatenate(texts), minlength=vocabulary.items)).all()
+
+
+def test_pieces_follow_the_word_before_them(monkeypatch):
+    monkeypatch.setattr(gru, "PIECE", 3)
+    pieces = [p.tolist() for p in gru.in_pieces([np.array([5, 6, 7, 8, 0]), np.array([0])])]
+    assert pieces == [[0, 5, 6, 7], [7, 8, 0], [0, 0]]
+
+
 def test_head_grows_with_the_words(spark):
     counts = spark.range(3_000_000).selectExpr("cast(cast(id as string) as binary) as word", "if(id < 4000, 100 - id div 100, 1) as n")
     assert gru.vocabulary(counts.limit(1000)).head == 1001
@@ -151,9 +190,10 @@ def test_state_is_carried_to_the_end_of_every_text(monkeypatch):
     monkeypatch.setattr(gru, "HELD", 50)
     got = gru.likelihoods(p, texts)
     for text, value in zip(texts, got, strict=True):
-        h, last, want = np.zeros((1, gru.HIDDEN), np.float32), 0, 0.0
+        h, last, want = np.zeros((gru.HIDDEN, 1), np.float32), 0, 0.0
+        gates, candidate, past = (np.empty((n * gru.HIDDEN, 1), np.float32) for n in (2, 1, 1))
         for item in text:
-            h = gru.step(p, (p["embed"] @ p["w"] + p["b"])[[last]], h)[0]
+            h = gru.step(p, (p["embed"] @ p["w"] + p["b"])[[last]].T, h, gates, candidate, past)
             want += gru.target_logs(p, h, np.array([item]))[0] / np.log(10)
             last = item
         assert value == pytest.approx(want, rel=1e-4)
@@ -162,7 +202,7 @@ def test_state_is_carried_to_the_end_of_every_text(monkeypatch):
 def test_model_probabilities_sum_to_one():
     vocabulary = small_words()
     p = gru.start_weights(vocabulary)
-    h = np.full((vocabulary.items, gru.HIDDEN), 0.3, np.float32)
+    h = np.full((gru.HIDDEN, vocabulary.items), 0.3, np.float32)
     assert np.exp(gru.target_logs(p, h, np.arange(vocabulary.items))).sum() == pytest.approx(1, abs=1e-4)
 
 
