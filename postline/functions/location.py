@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postline.functions.lookups import (
@@ -77,127 +78,178 @@ def _front(parts: Column, drop: int) -> Column:
     return F.array_join(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - drop, F.lit(0))), ", ")
 
 
-def _let(value: Column, rule: Callable[[Column], Column]) -> Column:
-    """The rule over a value that it reads several times.
+@dataclass(frozen=True)
+class Line:
+    """A cleaned text with its pieces: expressions over the text, or columns made from it before."""
 
-    Every rule reads the value in its first test, so generated code computes it
-    once per row and shares it; a function over a one-item array would not be generated.
-    """
-    return rule(value)
+    text: Column
+    pieces: Column
+    kept: Column
 
 
-def parse_location(text: Column, style: str, country: Column | None = None) -> Column:
-    """Location of a text in the writing style of its source."""
-    home = F.lit(None).cast("string") if country is None else country
+def _line(text: Column) -> Line:
+    return Line(text, _pieces(text), _pieces(text, keep_blank=True))
+
+
+def _cleaned(text: Column, style: str) -> Column:
     if style not in _STYLES:
         raise ValueError(f"unknown location style: {style}")
-    return _let(clean_text(text), lambda line: _STYLES[style](line, home))
+    if style == "offices":
+        return distinct_offices(text)
+    return tidy_office(text) if style == "workday" else clean_text(text)
 
 
-def _linkedin(line: Column, home: Column) -> Column:
-    return _let(
-        _pieces(line),
-        lambda p: F.when(F.size(p) == 2, place(_at(p, 1), _at(p, 2), home))
+def parse_location(text: Column, style: str, country: Column | None = None) -> Column:
+    """Location of a text in the writing style of its source.
+
+    One expression, in which every branch cuts the text again; `with_locations`
+    gives the same from columns that are made once per row.
+    """
+    home = F.lit(None).cast("string") if country is None else country
+    if style == "offices":
+        return join_offices(text, home)
+    return _STYLES[style](_line(_cleaned(text, style)), home)
+
+
+def with_locations(df: DataFrame, wanted: Mapping[str, tuple[str, str]], country: Column | None = None) -> DataFrame:
+    """df with a location per name, each of (text column, style); `offices` reads a list of texts.
+
+    Cleaned texts are columns of a first projection and pieces of a second one,
+    shared by all styles that read them. The optimiser keeps the projections
+    apart, as what they make is read several times.
+    """
+    home = F.lit(None).cast("string") if country is None else country
+    kind = {style: style if style in ("offices", "workday") else "plain" for _, style in wanted.values()}
+    texts = {(text, kind[style]): style for text, style in wanted.values()}
+    number = {key: i for i, key in enumerate(texts)}
+    lines = df.withColumns({f"_text{i}": _cleaned(F.col(text), texts[text, k]) for (text, k), i in number.items()})
+    first = {i: _at(F.col(f"_text{i}"), 1) if k == "offices" else F.col(f"_text{i}") for (_, k), i in number.items()}
+    pieces = {f"_pieces{i}": _pieces(c) for i, c in first.items()}
+    kept = {f"_kept{number[text, kind[style]]}" for text, style in wanted.values() if style in _KEEP_BLANK}
+    pieces |= {name: _pieces(F.col(name.replace("_kept", "_text")), keep_blank=True) for name in sorted(kept)}
+    none = F.lit(None).cast("array<string>")
+    made = {}
+    for name, (text, style) in wanted.items():
+        i = number[text, kind[style]]
+        made[name] = _STYLES[style](Line(F.col(f"_text{i}"), F.col(f"_pieces{i}"), F.col(f"_kept{i}") if f"_kept{i}" in kept else none), home)
+    return lines.withColumns(pieces).select(*[F.col(f"`{c}`") for c in df.columns if c not in made], *[c.alias(n) for n, c in made.items()])
+
+
+def _linkedin(line: Line, home: Column) -> Column:
+    p = line.pieces
+    return (
+        F.when(F.size(p) == 2, place(_at(p, 1), _at(p, 2), home))
         .when(F.size(p) >= 3, place(_at(p, 1), _at(p, 2), _at(p, -1)))
-        .otherwise(place(None, None, home)),
+        .otherwise(place(None, None, home))
     )
 
 
-def _glassdoor(line: Column, home: Column) -> Column:
-    city = F.substring_index(line, ", ", 1)
-    state = F.substring(line, F.length(city) + 3, F.length(line))
-    return F.when(line != "Remote", place(city, state, None))
+def _glassdoor(line: Line, home: Column) -> Column:
+    city = F.substring_index(line.text, ", ", 1)
+    state = F.substring(line.text, F.length(city) + 3, F.length(line.text))
+    return F.when(line.text != "Remote", place(city, state, None))
 
 
-def _greenhouse(line: Column, home: Column) -> Column:
-    return _let(
-        _pieces(line, keep_blank=True),
-        lambda p: F.when(F.size(p) == 2, place(_at(p, 1), _at(p, 2), None)).when(
-            line.isNotNull(), place(None, None, line)
-        ),
+def _greenhouse(line: Line, home: Column) -> Column:
+    p = line.kept
+    return F.when(F.size(p) == 2, place(_at(p, 1), _at(p, 2), None)).when(
+        line.text.isNotNull(), place(None, None, line.text)
     )
 
 
-def _eightfold(line: Column, home: Column) -> Column:
-    after = F.substring(line, F.locate("-", line) + 1, F.length(line))
-    dashed = place(clean_text(F.substring_index(after, "(", 1)), None, clean_text(F.substring_index(line, "-", 1)))
-    return _let(
-        _pieces(line),
-        lambda p: F.when(F.size(p) >= 3, place(_front(p, 2), _at(p, -2), _at(p, -1)))
+def _eightfold(line: Line, home: Column) -> Column:
+    text, p = line.text, line.pieces
+    after = F.substring(text, F.locate("-", text) + 1, F.length(text))
+    dashed = place(clean_text(F.substring_index(after, "(", 1)), None, clean_text(F.substring_index(text, "-", 1)))
+    return (
+        F.when(F.size(p) >= 3, place(_front(p, 2), _at(p, -2), _at(p, -1)))
         .when(F.size(p) == 2, place(_at(p, 1), None, _at(p, 2)))
-        .when(F.contains(line, F.lit("-")), dashed)
-        .when(line.isNotNull(), place(None, None, line)),
+        .when(F.contains(text, F.lit("-")), dashed)
+        .when(text.isNotNull(), place(None, None, text))
     )
 
 
-def _workday(line: Column, home: Column) -> Column:
-    return _let(tidy_office(line), lambda tidy: _office(tidy, home))
+def _naukri(line: Line, home: Column) -> Column:
+    parts = F.split(line.text, ", ")
+    return place(_at(parts, 1), _at(parts, 2), F.lit("india"))
 
 
-def _naukri(line: Column, home: Column) -> Column:
-    parts = F.split(line, ", ")
-    return place(_at(parts, 1), _at(parts, 2), F.lit("india"))
+def _bdjobs(line: Line, home: Column) -> Column:
+    p = line.kept
+    return F.when(F.size(p) >= 2, place(_at(p, 1), _at(p, 2), F.lit("bangladesh"))).otherwise(
+        place(line.text, None, F.lit("bangladesh"))
+    )
+
+
+def _meta(line: Line, home: Column) -> Column:
+    p = line.pieces
+    return F.when(F.size(p) >= 2, place(_front(p, 1), None, _at(p, -1))).when(
+        line.text.isNotNull(), place(None, None, line.text)
+    )
 
 
-def _bdjobs(line: Column, home: Column) -> Column:
-    return _let(
-        _pieces(line, keep_blank=True),
-        lambda p: F.when(F.size(p) >= 2, place(_at(p, 1), _at(p, 2), F.lit("bangladesh"))).otherwise(
-            place(line, None, F.lit("bangladesh"))
-        ),
+def _office(line: Line, country: Column) -> Column:
+    """Place of one tidy office text; the country alone when there is none."""
+    tidy, p = line.text, line.pieces
+    return (
+        F.when(
+            F.size(p) >= 2,
+            place(_at(p, 1), F.array_join(F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(1))), ", "), country),
+        )
+        .when(tidy.isNotNull(), place(tidy, None, country))
+        .when(country.isNotNull(), place(None, None, country))
     )
 
 
-def _meta(line: Column, home: Column) -> Column:
-    return _let(
-        _pieces(line),
-        lambda p: F.when(F.size(p) >= 2, place(_front(p, 1), None, _at(p, -1))).when(
-            line.isNotNull(), place(None, None, line)
-        ),
+def _offices(line: Line, country: Column) -> Column:
+    """Place of a list of tidy offices: one is split, more are joined by a slash. The pieces are those of the first."""
+    one = Line(_at(line.text, 1), line.pieces, line.kept)
+    return F.when(F.size(line.text) > 1, place(F.array_join(line.text, " / "), None, country)).otherwise(
+        _office(one, country)
     )
 
 
-_STYLES: dict[str, Callable[[Column, Column], Column]] = {
+_STYLES: dict[str, Callable[[Line, Column], Column]] = {
     "linkedin": _linkedin,
     "glassdoor": _glassdoor,
     "greenhouse": _greenhouse,
     "eightfold": _eightfold,
-    "workday": _workday,
+    "workday": _office,
+    "offices": _offices,
     "naukri": _naukri,
     "bdjobs": _bdjobs,
     "meta": _meta,
 }
+#: Styles in which an empty piece counts.
+_KEEP_BLANK = ("greenhouse", "bdjobs")
+
+
+def _without_region(text: Column) -> Column:
+    return F.regexp_replace(text, r"^(?:[A-Z]{2}(?:-[A-Z]{2,})?\s*-\s*)(.+)$", "$1")
+
+
+def _without_unit(text: Column) -> Column:
+    return F.regexp_replace(text, r"\s*-\s*[A-Z]{2,4}$", "")
 
 
 def tidy_office(c: Column) -> Column:
     """Office text without region prefix (`US-CA - `) and unit suffix (` - SF`)."""
-    text = clean_text(c)
-    front = F.regexp_replace(text, r"^(?:[A-Z]{2}(?:-[A-Z]{2,})?\s*-\s*)(.+)$", "$1")
-    return clean_text(F.regexp_replace(strip(front), r"\s*-\s*[A-Z]{2,4}$", ""))
+    return clean_text(_without_unit(strip(_without_region(clean_text(c)))))
 
 
-def _office(tidy: Column, country: Column) -> Column:
-    """Place of one tidy office text; the country alone when there is none."""
-    return _let(
-        _pieces(tidy),
-        lambda p: F.when(
-            F.size(p) >= 2,
-            place(_at(p, 1), F.array_join(F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(1))), ", "), country),
-        )
-        .when(tidy.isNotNull(), place(tidy, None, country))
-        .when(country.isNotNull(), place(None, None, country)),
-    )
+def distinct_offices(offices: Column) -> Column:
+    """The different tidy texts of a list, in order. One function over the list per step:
+    within a function every step would run again for each time its result is read.
+    """
+    bare = F.transform(F.transform(offices, clean_text), lambda x: strip(_without_region(x)))
+    return F.array_distinct(F.filter(F.transform(bare, lambda x: clean_text(_without_unit(x))), lambda x: x.isNotNull()))
 
 
 def join_offices(offices: Column, country: Column) -> Column:
-    """Several offices of one posting: one is split, more are joined by a slash."""
-    clean = F.array_distinct(F.filter(F.transform(offices, tidy_office), lambda x: x.isNotNull()))
-    return _let(
-        clean,
-        lambda c: F.when(F.size(c) > 1, place(F.array_join(c, " / "), None, country)).otherwise(
-            _office(_at(c, 1), country)
-        ),
-    )
+    """Several offices of one posting as one expression, see `with_locations` for style `offices`."""
+    clean = distinct_offices(offices)
+    first = _line(_at(clean, 1))
+    return _offices(Line(clean, first.pieces, first.kept), country)
 
 
 def active_place(places: Column) -> Column:

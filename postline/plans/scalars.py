@@ -619,15 +619,10 @@ project(
 STYLES = ("linkedin", "glassdoor", "greenhouse", "eightfold", "meta", "naukri", "bdjobs")
 
 
-def _places() -> dict[str, Column]:
-    out = {style: location.parse_location(C("location"), style, F.lit("usa")) for style in STYLES}
-    offices = F.array(F.concat(F.lit("US-CA - "), C("location")), F.concat(C("location"), F.lit(" - HQ")), F.when(C("cust") % 2 == 0, "Haifa - IL"))
-    return out | {"office": location.join_offices(offices, F.lit("usa"))}
-
-
-project(
-    "loc_02_parse_location", "LOC-02", "postings", _places,
-    """SELECT seq,
+@query(
+    "loc_02_parse_location", "LOC-02",
+    oracle(
+        """SELECT seq,
         CASE WHEN n >= 2 THEN p[1] END AS linkedin_city, CASE WHEN n >= 2 THEN p[2] END AS linkedin_state, CASE WHEN n >= 3 THEN p[n] ELSE 'usa' END AS linkedin_country,
         CASE WHEN n >= 2 THEN p[1] END AS glassdoor_city, CASE WHEN n >= 2 THEN array_to_string(p[2:], ', ') END AS glassdoor_state, CAST(NULL AS STRING) AS glassdoor_country,
         CASE WHEN n = 2 THEN p[1] END AS greenhouse_city, CASE WHEN n = 2 THEN p[2] END AS greenhouse_state, CASE WHEN n <> 2 THEN location END AS greenhouse_country,
@@ -638,9 +633,15 @@ project(
         CASE WHEN cust % 2 = 0 THEN concat_ws(' / ', location, 'Haifa') ELSE p[1] END AS office_city,
         CASE WHEN cust % 2 > 0 AND n >= 2 THEN array_to_string(p[2:], ', ') END AS office_state
         FROM (SELECT *, string_split(location, ', ') AS p, len(string_split(location, ', ')) AS n FROM postings) AS q""",
-    fields={f"{s}_{f}": f"{s}.{f}" for s in STYLES for f in ("city", "state", "country")}
-    | {"office_city": "office.city", "office_state": "office.state"},
+        "postings",
+    ),
 )
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    offices = F.array(F.concat(F.lit("US-CA - "), C("location")), F.concat(C("location"), F.lit(" - HQ")), F.when(C("cust") % 2 == 0, "Haifa - IL"))
+    rows = derived(spark, sf_dir, "postings").select("seq", C("location").alias("text"), offices.alias("offices"))
+    found = location.with_locations(rows, {s: ("text", s) for s in STYLES} | {"office": ("offices", "offices")}, F.lit("usa"))
+    parts = [C(f"{s}.{f}").alias(f"{s}_{f}") for s in STYLES for f in ("city", "state", "country")]
+    return found.select("seq", *parts, C("office.city").alias("office_city"), C("office.state").alias("office_state"))
 KEYS = "['USA', 'UK', 'GERMANY', 'USA', NULL, 'WORLDWIDE', 'US_CANADA', 'SOUTHKOREA'][cust % 8 + 1]"
 project(
     "loc_03_country_lookup", "LOC-03", "postings",

@@ -139,6 +139,22 @@ def test_location_styles(value):
     assert value(location.parse_location(L("Remote"), "glassdoor")) is None
 
 
+def test_locations_from_shared_columns(spark):
+    """The same places as from single expressions, odd texts too; each text is cleaned and cut once."""
+    texts = ["A, B, israel", "A", "A, B, C, D", "US-City (x)", "US-CA - San Jose, CA - HQ", "A, , B, C", ", ,", " ", "", None, "Remote", "a-b", ",A,", "IL - Haifa - IL"]
+    lists = [[a, b] for a, b in zip(texts, texts[1:] + texts[:1], strict=True)] + [[], None, [None], ["X - HQ", "X"]]
+    texts += ["A, B"] * (len(lists) - len(texts))
+    rows = spark.createDataFrame(list(zip(range(len(lists)), texts, lists, strict=True)), "i int, t string, l array<string>")
+    styles = ["linkedin", "glassdoor", "greenhouse", "eightfold", "workday", "naukri", "bdjobs", "meta"]
+    got = location.with_locations(rows, {s: ("t", s) for s in styles} | {"offices": ("l", "offices")}, L("usa"))
+    want = rows.select("i", "t", "l", *[location.parse_location(F.col("t"), s, L("usa")).alias(s) for s in styles], location.join_offices(F.col("l"), L("usa")).alias("offices"))
+    assert got.orderBy("i").collect() == want.orderBy("i").collect()
+    assert got.columns == want.columns
+    plain = location.with_locations(rows.select("i", "t"), {s: ("t", s) for s in styles if s != "workday"}, L("usa"))
+    plan = plain._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") - plan.count("split(_text0#") <= 2, plan  # the pieces, with blank ones and without
+
+
 def test_display_and_countries(value):
     shown = location.display_location(location.place(L("A"), L(None).cast("string"), L("uk")))
     assert value(shown) == "A, UK"
