@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postline.llm.common import remainder, ship, stage, texts_of, unpacked
+from postline.llm.common import TEXTS_AT_ONCE, in_batches, remainder, ship, stage, texts_of, unpacked
 from postline.llm.kneser_ney import Scorer, count_grams, fit_groups, letters_only
 
 FOLDS = 5
@@ -64,6 +64,7 @@ def cross_entropies(docs: DataFrame, models: dict) -> DataFrame:
 
 def predict(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, cross_entropy, rejected for every row of docs."""
+    in_batches(docs.sparkSession, TEXTS_AT_ONCE)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
     fold = remainder("doc_id", FOLDS)
     learning = rows.where(fold != 0)

@@ -457,6 +457,29 @@ def test_mixed_documents_take_what_the_mix_says(spark, docs):
 # ---- op8
 
 
+def test_long_documents_teach_with_two_runs():
+    lines = np.arange(3 * 1000, dtype=np.float32).reshape(1000, 3)
+    first, later = quality.teaching(lines)
+    assert (first == lines[:100]).all() and len(later) == 100
+    at = int(later[0, 0]) // 3
+    assert at >= 100 and (later == lines[at : at + 100]).all()
+    assert [len(m) for m in quality.teaching(lines[:200])] == [200] and [len(m) for m in quality.teaching(lines[:201])] == [100, 100]
+
+
+def test_sample_is_bounded_in_rows(spark, monkeypatch):
+    """One id in many rows: equal rows count once, and no more rows than the bound reach the driver."""
+    seen = {}
+    monkeypatch.setattr(quality, "fit_field", lambda x, row, length, label: seen.update(rows=len(set(row.tolist()))) or 0.5)
+    ids = [i for i in range(100) if fold(i, 5) != 0][:2]
+    same = spark.range(500).selectExpr(f"{ids[0]}L as doc_id", "concat('a b ', id % 100) as text")
+    other = spark.range(300).selectExpr(f"{ids[1]}L as doc_id", "concat('text ', id) as text")
+    labels = spark.createDataFrame([(ids[0], 0), (ids[1], 1)], "doc_id long, quality int")
+    quality.train(same.unionByName(other), labels)
+    assert seen["rows"] == 400
+    quality.train(same.unionByName(other), labels, sample_docs=40)
+    assert seen["rows"] == 40
+
+
 def test_quality_of_held_out_texts(spark, real, labels):
     rows = quality.quality_scores(real, labels).join(labels, "doc_id").where("held_out").collect()
     assert sum(r["predicted"] == r["quality"] for r in rows) >= 0.97 * len(rows)
