@@ -252,9 +252,18 @@ def join_offices(offices: Column, country: Column) -> Column:
     return _offices(Line(clean, first.pieces, first.kept), country)
 
 
-def active_place(places: Column) -> Column:
+def chosen_place(places: Column) -> Column:
     """The active one of a list of struct(active, city, name, state, country), else the first."""
-    chosen = F.coalesce(_at(F.filter(places, lambda p: p["active"]), 1), _at(places, 1))
+    return F.coalesce(_at(F.filter(places, lambda p: p["active"]), 1), _at(places, 1))
+
+
+def active_place(places: Column) -> Column:
+    """Location of the chosen place as one expression."""
+    return stated_place(chosen_place(places))
+
+
+def stated_place(chosen: Column) -> Column:
+    """Location of struct(city, name, state, country)."""
     city = F.coalesce(clean_text(chosen["city"]), clean_text(chosen["name"]))
     return F.when(chosen.isNotNull(), place(city, clean_text(chosen["state"]), clean_text(chosen["country"])))
 

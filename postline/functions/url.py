@@ -195,10 +195,41 @@ def join_url(base: Column, link: Column) -> Column:
     )
 
 
+def with_joined_url(df: DataFrame, name: str, base: str, link: str) -> DataFrame:
+    """df with join_url of two text columns. Its parts are made in projections of their own;
+    in one expression each branch would cut the base and the link again.
+    """
+    b = split_url(F.col("_whole"))
+    made = df.withColumns({"_whole": clean_text(F.col(base)), "_text": clean_text(F.col(link))})
+    made = made.withColumns({"_scheme": b.scheme, "_host": b.host, "_path": b.path})
+    path, text = F.col("_path"), F.col("_text")
+    folder = F.regexp_replace(path, r"[^/]*$", "")
+    merged = (
+        F.when(F.startswith(text, F.lit("/")), text)
+        .when(text.rlike(r"^\?"), F.concat(F.when(path == "", F.lit("/")).otherwise(path), text))
+        .otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), text))
+    )
+    made = made.withColumn("_merged", merged)
+    made = made.withColumns({"_route": F.regexp_replace("_merged", r"[?#].*$", ""), "_tail": F.regexp_extract("_merged", r"[?#].*$", 0)})
+    root = Parts(F.col("_scheme"), F.col("_host"), path, F.lit("")).root
+    joined = (
+        F.when(text.isNull(), F.col(base))
+        .when(text.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), text)
+        .when(F.startswith(text, F.lit("//")), F.concat(F.col("_scheme"), F.lit(":"), text))
+        .when(F.startswith(text, F.lit("#")), F.concat(F.regexp_replace(F.col(base), "#.*$", ""), text))
+        .otherwise(F.concat(root, F.concat(_solved(F.col("_route")), F.col("_tail"))))
+    )
+    return made.select(*[F.col(f"`{c}`") for c in df.columns if c != name], joined.alias(name))
+
+
 def _flatten_dots(path: Column) -> Column:
     """Resolve `.` and `..`; the query part is left alone."""
     tail = F.regexp_extract(path, r"[?#].*$", 0)
-    route = F.regexp_replace(path, r"[?#].*$", "")
+    return F.concat(_solved(F.regexp_replace(path, r"[?#].*$", "")), tail)
+
+
+def _solved(route: Column) -> Column:
+    """A path without query, its `.` and `..` resolved."""
     steps = F.split(route, "/")
     kept = F.reduce(
         steps,
@@ -210,7 +241,7 @@ def _flatten_dots(path: Column) -> Column:
     )
     slash = F.when(route.rlike(r"/\.{1,2}$"), F.lit("/")).otherwise(F.lit(""))
     solved = F.when(route.rlike(r"(?:^|/)\.{1,2}(?:/|$)"), F.concat(F.array_join(kept, "/"), slash))
-    return F.concat(F.coalesce(solved, route), tail)
+    return F.coalesce(solved, route)
 
 
 def with_scheme(url: Column) -> Column:

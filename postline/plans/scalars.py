@@ -12,6 +12,7 @@ from postline.operators import records
 from postline.plans.derive import GIVEN, RUN_DATE, derived, oracle
 from postline.plans.records import DATE, HOST, KNOWN, PATH, QUERY, RULES, SALARY, SCHEME, clean, parts, record_sql, rx
 from postline.plans.registry import query, table
+from postline.session import spread
 
 Columns = Callable[[], dict[str, Column]]
 C = F.col
@@ -33,6 +34,8 @@ def project(
     @query(name, covers, sql_text)
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = table(spark, sf_dir, source) if source in GIVEN else derived(spark, sf_dir, source)
+        if source == "part":  # its rows are made into pages
+            df = spread(df)
         made = df.select(key, *[v.alias(k) for k, v in columns().items()])
         return made if fields is None else made.select(key, *[C(path).alias(out) for out, path in fields.items()])
 

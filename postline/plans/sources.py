@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postline.plans.derive import derived, oracle
 from postline.plans.registry import query, table
 from postline.plans.streams import scratch
+from postline.session import spread
 from postline.sources import arrays, html, landing
 
 C = F.col
@@ -209,7 +210,7 @@ def _escaped(c: Column) -> Column:
     UNION ALL SELECT p_partkey, 1, p_brand || ' & ' || p_size, NULL, '<b>' || p_brand || ' &amp; ' || p_size || '</b>', NULL FROM part WHERE p_size % 2 = 0""",
 )
 def html_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "part")
+    df = spread(table(spark, sf_dir, "part"))
     first = _parts_page(
         "<h1>Parts</h1><ul class='a list'><li class=row><span><b>", C("p_name"), "</b></span><a data-href='/no' href='/p/", C("p_partkey"),
         "' title=\"", C("p_type"), "\">more</a>",
@@ -274,7 +275,7 @@ def html_description(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(C("p_size") % 3 == 0, main).otherwise(F.lit("<div id=main><div class=text> </div></div>")),
         _parts_page("<footer>", C("p_brand"), "</footer>"),
     )
-    df = table(spark, sf_dir, "part")
+    df = spread(table(spark, sf_dir, "part"))
     return df.select(
         "p_partkey",
         html.html_description(page, ["div.missing", "#main div.text", "footer"]).alias("body"),
@@ -314,7 +315,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
         _parts_page('</ul><span class="x industry">', C("p_name"), "</span>"),
     )
     values = html.labelled_values(page, {"job_level": "Seniority level", "job_type": "Employment type"}, {"industry": "span.industry"})
-    return table(spark, sf_dir, "part").select("p_partkey", *[values[n].alias(n) for n in ("job_level", "job_type", "industry")])
+    return spread(table(spark, sf_dir, "part")).select("p_partkey", *[values[n].alias(n) for n in ("job_level", "job_type", "industry")])
 
 
 @query(

@@ -265,3 +265,40 @@ def test_mappings_of_many_feeds_are_data(spark):
     one = feed.map_feed(df.where("feed = 'a'"), feed.infer_mapping(df.where("seq in (2, 3)"), "name a", "https://a.org", "Israel"))
     same = feed.map_feeds(df.where("feed = 'a'"), mappings)
     assert sorted(map(str, one.select("id", "title", "job_url", "location").collect())) == sorted(map(str, same.select("id", "title", "job_url", "location").collect()))
+
+
+def test_rows_of_one_group_are_dealt_over_tasks(spark, tmp_path):
+    from postline.plans import load
+    from postline.plans.derive import derived
+
+    rows = spark.range(400).selectExpr(
+        "id AS p_partkey", "'a b' AS p_name", "'Brand#1' AS p_brand", "'SMALL' AS p_type", "CAST(id % 50 AS INT) AS p_size", "900.5D AS p_retailprice"
+    )
+    rows.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    assert derived(spark, str(tmp_path), "positions").rdd.getNumPartitions() >= 4 * cores
+    for name in ("src_08_html_rows", "src_10_html_description", "src_14_labelled_values", "str_07_html_to_markdown", "prj_21_comeet_landing"):
+        found = load()[name].build(spark, str(tmp_path))
+        filled = found.select(F.spark_partition_id().alias("task")).distinct().count()
+        assert filled > cores, name
+
+
+def test_joined_url_in_steps_is_the_expression(spark):
+    from postline.functions import url
+
+    bases = ["https://x.org/a/b?c=d#e", "https://x.org", "HTTP://X.org/a/./b/", " https://x.org/a ", "", "x.org/a", None]
+    links = ["/p/../q?r=/../s", "c/./d", "?z=1", "#f", "//y.org/a", "mailto:a@b.c", "..", "../..", "/a/..", "", " ", None, " e.html "]
+    rows = spark.createDataFrame([(b, x) for b in bases for x in links], "b string, x string")
+    both = url.with_joined_url(rows.withColumn("one", url.join_url(F.col("b"), F.col("x"))), "steps", "b", "x").collect()
+    assert len(both) == len(bases) * len(links)
+    assert [r["one"] for r in both] == [r["steps"] for r in both]
+
+
+@pytest.mark.parametrize("source", ["eightfold", "workday", "greenhouse"])
+def test_landed_filter_reads_the_link_as_a_column(spark, source):
+    from postline.sources.landed import map_landed
+
+    rows = spark.range(1).select(F.col("id").alias("seq"), *[F.parse_json(F.concat(F.lit('{"id":'), "id", F.lit("}"))).alias(n) for n in ("job", "page", "detail")])
+    plan = map_landed(rows, source, "2001-10-01").select("seq", "location")._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and all("variant_get" not in line and "regexp" not in line for line in filters)
