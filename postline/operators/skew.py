@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 BUCKET_ROWS = 1 << 20
+#: Parts among which rows without a key are dealt.
+BLANK_SALTS = 1 << 16
 
 
 def attach(
@@ -25,18 +27,23 @@ def attach(
     rows get a salt from `spread` (any expression that differs between rows)
     and the side's row is repeated once per salt. Finding them costs one
     aggregate over the key columns only, or nothing when `size` names the
-    side's column that holds the rows per key. The list of hot keys holds at
+    side's column that holds the rows per key. Rows without a key meet nothing, so
+    they are dealt by `spread` alone, however many there are. The list of hot keys holds at
     most rows / hot_rows entries of 16 bytes; Spark decides how to join it.
     """
-    mark = F.xxhash64(*keys).alias("_mark")
-    counts = rows.groupBy(mark).agg(F.count("*").alias("_n"))
-    if size is not None:
-        counts = side.groupBy(mark).agg(F.max(size).alias("_n"))
     mark = F.xxhash64(*keys)
+    blank = F.lit(False)
+    for key in keys:
+        blank = blank | F.col(key).isNull()
+    if size is None:
+        counts = rows.groupBy(mark.alias("_mark")).agg(F.count_if(~blank).alias("_n"))
+    else:
+        counts = side.groupBy(mark.alias("_mark")).agg(F.max(size).alias("_n"))
     big = counts.where(F.col("_n") > hot_rows)
     hot = big.select("_mark", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
-    salted = rows.withColumn("_mark", mark).join(hot, "_mark", "left")
-    salt = F.pmod(F.xxhash64(spread), F.coalesce("_salts", F.lit(1))).cast("int")
+    salted = rows.withColumn("_mark", F.when(blank, F.xxhash64(spread)).otherwise(mark)).join(hot, "_mark", "left")
+    salts = F.when(blank, F.lit(BLANK_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64(spread), salts).cast("int")
     salted = salted.withColumn("_salt", salt).drop("_salts", "_mark")
     copies = side.withColumn("_mark", mark).join(hot, "_mark", "left")
     last = F.coalesce(F.col("_salts"), F.lit(1)) - 1

@@ -264,8 +264,8 @@ DERIVED = {
 }
 
 
-#: Derived rows that are made into documents and pages, which cost far more than the narrow rows they come from.
-DEALT = {"positions": "part"}
+#: Derived rows that are wide or made into documents and pages, which cost far more than the narrow rows they come from.
+DEALT = {"positions": "part", "postings": "orders", "stored": "orders", "batch": "orders"}
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

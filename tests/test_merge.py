@@ -266,3 +266,22 @@ def test_realign_gives_one_row_per_link(spark):
     batch = spark.createDataFrame([new(0, "new"), new(1, "x", ext="9")], STAGED)
     got = {r["id"]: r["job_url"] for r in merge.realign_links(current, batch).collect()}
     assert got == {1: "new", 2: "b", 3: "x"}
+
+
+def test_rows_without_a_key_are_dealt(spark):
+    """Half of the rows have no key: none is lost and no task gets them all."""
+    from postline.operators import skew
+
+    rows = spark.range(40_000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN id % 1000 END AS k")
+    side = spark.range(0, 1000, 2).selectExpr("id AS k", "id + 1 AS v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = skew.attach(rows, side, ["k"], F.col("id"))
+        tasks = found.groupBy(F.spark_partition_id().alias("task")).agg(F.count_if(F.col("k").isNull()).alias("n")).collect()
+        assert sum(t["n"] for t in tasks) == 20_000 and max(t["n"] for t in tasks) < 10_000
+        assert found.where("v = k + 1").count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
