@@ -9,8 +9,8 @@ for other words is split by their smoothed counts, so every text has a proper pr
 Training is back-propagation in numpy, truncated to windows of WINDOW words with
 the state carried on, over all training texts, in ROUNDS rounds, each in shards of about
 SHARD_WORDS words that stream their texts from the same weights, which Spark then
-averages. Below ONCE training words every round reads all texts; from there on the
-rounds share them, so that each is learned from once. Texts above PIECE words are learned from in pieces, each from the zero state
+averages. Every round reads all texts, however many there are; a caller who sets ONCE has
+the rounds share them from so many training words on. Texts above PIECE words are learned from in pieces, each from the zero state
 after the word before it, so that streams end together however long a text is. Biases start from the counts, so the model starts as the unigram model.
 Scoring runs texts of a batch side by side from first to last word; nothing is cut.
 
@@ -50,8 +50,8 @@ HIDDEN = 24
 SHARDS = 4
 SHARD_WORDS = 2_000_000
 ROUNDS = 3
-#: From so many training words on, a round reads its own part of the texts, each text in one round.
-ONCE = 10_000_000
+#: From so many training words on, a round reads its own part of the texts, each text in one round; None: never.
+ONCE: int | None = None
 #: The least number of streams; there are more where each still has STEPS_EACH windows.
 STREAMS = 48
 STEPS_EACH = 100
@@ -492,9 +492,9 @@ def averaged_pass(rows: DataFrame, weights: dict[str, np.ndarray], shards: int)
 
 
 def train(docs: DataFrame, words: Words, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Weights after `rounds` rounds, averaged over the shards after each; all rows of docs are read, see ONCE."""
+    """Weights after `rounds` rounds, averaged over the shards after each; every round reads all rows of docs unless ONCE is set."""
     weights = start_weights(words)
-    parts = rounds if words.total >= ONCE else 1
+    parts = rounds if ONCE is not None and words.total >= ONCE else 1
     shards = max(SHARDS, -(-words.total // (parts * SHARD_WORDS)))
     rows = training_items(docs, words, shards, parts)
     for i in range(rounds):

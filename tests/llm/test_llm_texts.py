@@ -4,6 +4,7 @@ import collections
 import json
 import math
 import zlib
+from dataclasses import replace
 
 import duckdb
 import numpy as np
@@ -109,6 +110,17 @@ def test_rounds_share_the_texts_of_a_large_corpus(spark, monkeypatch):
     assert [n for _, n in read[3:]] == [6000] * gru.ROUNDS
 
 
+def test_every_round_reads_all_texts_of_a_corpus_of_any_size(spark, monkeypatch):
+    table = spark.range(600).selectExpr("id as doc_id", "concat('a b ', id % 7) as text")
+    vocabulary = gru.vocabulary(gru.count_words(table))
+    read = []
+    original = gru.averaged_pass
+    monkeypatch.setattr(gru, "averaged_pass", lambda rows, weights, shards: read.append(original(rows, weights, shards)) or read[-1])
+    for total in (vocabulary.total, 50_000_000):
+        gru.train(table, replace(vocabulary, total=total))
+    assert [n for _, n in read] == [600] * 2 * gru.ROUNDS
+
+
 def test_long_texts_need_little_room():
     """A text of a million words among 2,000 short ones is laid out in chunks of bounded size and learned from whole."""
     random = np.random.default_rng(6)
