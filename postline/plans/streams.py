@@ -31,6 +31,8 @@ def landed(spark: SparkSession, parts: list[DataFrame], name: str) -> DataFrame:
 
 
 PARTS = 3
+#: Rows of a landed file: a batch is mapped by no more tasks than it has files.
+LANDED_ROWS = 100_000
 
 
 def _chain() -> str:
@@ -44,14 +46,27 @@ def _chain() -> str:
     return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + shown(rows)
 
 
+def landed_parts(spark: SparkSession, sf_dir: str, rows_each: int) -> list[DataFrame]:
+    """The orders in parts that land one after another, each in files of about so many rows."""
+    orders = table(spark, sf_dir, "orders")
+    parts = [orders.where(C("o_orderkey") % PARTS == i) for i in range(PARTS)]
+    return [rows.repartition(max(1, -(-rows.count() // rows_each))) for rows in parts]
+
+
 def ingested(spark: SparkSession, sf_dir: str) -> str:
-    """A store of the stored rows and three batches after one another."""
+    """A store of the stored rows and three batches after one another.
+
+    Each part lands in files that many tasks can read, and a run takes all that
+    has landed since the last one as its batch.
+    """
     store = scratch(spark, "store")
     ingest.write_version(unique(spark, sf_dir), store, 0, buckets=16)
-    orders = table(spark, sf_dir, "orders")
-    stream = landed(spark, [orders.where(C("o_orderkey") % PARTS == i) for i in range(PARTS)], "landing")
     stage = lambda rows: folding.fold_inputs(with_payload(derived_from(rows, "batch")))
-    ingest.ingest(stream, store, scratch(spark, "ingest"), stage, RUN_TS).awaitTermination()
+    landing, checkpoint = scratch(spark, "landing"), scratch(spark, "ingest")
+    for i, rows in enumerate(landed_parts(spark, sf_dir, LANDED_ROWS)):
+        rows.write.parquet(f"{landing}/part={i}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{landing}/part=*")
+        ingest.ingest(stream, store, checkpoint, stage, RUN_TS).awaitTermination()
     return store
 
 

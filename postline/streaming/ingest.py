@@ -109,8 +109,11 @@ def write_version(
     last = read_layout(spark, store, version)
     buckets = last.buckets if last else buckets or BUCKETS
     rows = rows if GONE in rows.columns else rows.withColumn(GONE, F.lit(False))
-    in_buckets(rows, link_bucket(buckets), f"{store}/version={version}")
-    entries = with_identity(rows.where(~F.col(GONE))).select("source", "external_id", link_bucket(buckets).alias("lies_in")).distinct()
+    path = f"{store}/version={version}"
+    in_buckets(rows, link_bucket(buckets), path)
+    # from what was written, so that the rows are made once
+    written = spark.read.schema(rows.schema).parquet(path)
+    entries = with_identity(written.where(~F.col(GONE))).select("source", "external_id", link_bucket(buckets).alias("lies_in")).distinct()
     in_buckets(entries, identity_bucket(buckets), f"{store}/_identities/version={version}")
     columns = StructType(list(last.columns.fields) if last else [])
     for field in rows.schema:

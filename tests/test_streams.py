@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postline.operators import folding, merge
+from postline.plans import streams
 from postline.plans.derive import derived, derived_from
 from postline.plans.folding import with_payload
 from postline.plans.merging import RUN_TS, show, unique
@@ -40,6 +41,36 @@ def test_micro_batches_equal_upserts_in_turn(spark, tmp_path):
     assert got.select("id").distinct().count() == got.count()
 
 
+def test_a_version_makes_its_rows_once(spark, tmp_path):
+    """The identities come from the rows that were written; the plan behind them does not run again for them."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def identity(n):
+        made.add(1)
+        return f"E{n}"
+
+    rows = spark.range(40).select("id", F.concat(F.lit("l"), "id").alias("job_url"), F.lit("s").alias("source"), identity("id").alias("external_id"))
+    store = str(tmp_path / "store")
+    ingest.write_version(rows, store, 0, buckets=4)
+    assert made.value == 40
+    entries = spark.read.parquet(f"{store}/_identities/version=0")
+    wanted = rows.select("source", "external_id", ingest.link_bucket(4).alias("lies_in"))
+    assert entries.select(*wanted.columns).exceptAll(wanted).count() == 0 and entries.count() == 40
+    ingest.write_version(rows.where("id < 0"), store, 1)
+    assert ingest.read_store(spark, store).count() == 40
+
+
+def test_a_part_lands_in_many_files(spark):
+    """One file, and so one task, is not all that a large part gets; no row is lost or repeated."""
+    parts = streams.landed_parts(spark, SF, rows_each=100)
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    for i, part in enumerate(parts):
+        wanted = orders.where(F.col("o_orderkey") % streams.PARTS == i)
+        assert part.rdd.getNumPartitions() == -(-wanted.count() // 100) > 1
+        assert part.exceptAll(wanted).count() == 0 and part.count() == wanted.count()
+
+
 def test_a_new_run_never_overwrites_a_version(spark, tmp_path):
     """A compacted base and a new checkpoint: the first batch goes above it; a restart goes on."""
     store = str(tmp_path / "store")
