@@ -212,11 +212,12 @@ def survivor(name: str, kind: str, rule: str, order: Column) -> Column:
 def repoint_facts(facts: DataFrame, mapping: DataFrame, rules: dict[str, str], keys: tuple[str, ...]) -> DataFrame:
     """Facts with losers replaced by winners; facts of the same keys merged.
 
-    One pass: only facts of postings the mapping names are grouped, the rest
-    pass through. `tie` orders facts of the same posting, if the table has it.
+    Only facts of postings the mapping names are grouped, the rest pass through.
+    Facts meet the mapping once and are written with what they met, as the rest,
+    the fold and each payload read them. `tie` orders facts of the same posting, if the table has it.
     """
     spread = F.xxhash64(*[k for k in keys if k != "job_id"])
-    marked = attach(facts, touched_ids(mapping).withColumnRenamed("id", "job_id"), ["job_id"], spread)
+    marked = cut_lineage(attach(facts, touched_ids(mapping).withColumnRenamed("id", "job_id"), ["job_id"], spread))
     rest = marked.where("winner_id IS NULL").select(*facts.columns)
     tie = ["tie"] if "tie" in facts.columns else []
     order = F.struct(~F.col("is_winner"), "job_id", *tie)

@@ -285,3 +285,24 @@ def test_rows_without_a_key_are_dealt(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_facts_meet_the_mapping_once(spark):
+    """The rest, the fold and each payload read what was written; the plan behind the facts runs once."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def note(n):
+        made.add(1)
+        return f"n{n}"
+
+    facts = spark.range(30).select(
+        F.lit(1).alias("user_id"), (F.col("id") % 10).alias("job_id"), F.col("id").alias("tie"), note("id").alias("stage"),
+        F.create_map(F.concat(F.lit("k"), F.col("id") % 2), F.col("id").cast("string")).alias("common_data"),
+    )
+    mapping = spark.createDataFrame([(1, 0, "a"), (2, 0, "a")], "loser_id long, winner_id long, job_url string")
+    got = dedup.repoint_facts(facts, mapping, {"stage": dedup.WINNER, "common_data": dedup.PAYLOAD}, ("user_id", "job_id")).collect()
+    assert made.value == 30
+    folded = [r for r in got if r["job_id"] == 0]
+    assert len(got) == 1 + 7 * 3 and len(folded) == 1
+    assert folded[0]["stage"] == "n0" and folded[0]["common_data"] == {"k0": "22", "k1": "21"}
