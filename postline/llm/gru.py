@@ -29,10 +29,11 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from heapq import heapreplace
 from itertools import groupby
-from math import isqrt
+from math import isqrt, prod
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,37 +66,51 @@ CHUNK = 1_000_000
 BLOCK = 1024
 RATE = 0.01
 SMOOTH = 0.1
-#: Different words a task counts before it hands them on.
-COUNTED = 300_000
+#: Bytes of texts that are cut into words at a time.
+TEXT_BYTES = 1 << 24
 #: Words whose hidden states are held before the output layer.
 HELD = 20_000
+#: Weights that a training step changes at a time, and rows whose outputs are computed at a time in scoring: they stay in a core's cache.
+STEPPED = 16_384
+ROWS = 2_560
+#: All rows as one run.
+WHOLE = [(0, slice(None))]
 #: Texts that go to a Python worker at once, and those that are scored at the same time.
 AT_ONCE = 10_000
 SIDE_BY_SIDE = 1_000
 END = b""
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words in lower case (A to Z only)."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def in_slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts in order, as many at a time as have TEXT_BYTES together, one at least; null is the empty text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + TEXT_BYTES, "right")))
+        yield pc.fill_null(texts.slice(at, to - at), "")
+        at = to
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words of texts in lower case (A to Z only), one text after the other; number of words of each)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    found, ends = lists.flatten(), np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+    # blanks at either end of a text leave an empty word
+    there = pc.greater(pc.binary_length(found), 0)
+    kept = np.append(0, np.cumsum(there.to_numpy(zero_copy_only=False)))
+    return found.filter(there).cast(pa.binary()), np.diff(kept[ends])
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts, one end per text as the empty word."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
         for batch in batches:
-            for text in batch.column("text"):
-                seen.update(words_of(text.as_py()))
-            seen[END] += len(batch)
-            if len(seen) > COUNTED:
-                yield rows(seen)
-                seen = Counter()
-        yield rows(seen)
-
-    def rows(seen: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            for texts in in_slices(batch.column("text")):
+                seen = words_of(texts)[0].value_counts()
+                words = pa.concat_arrays([seen.field("values"), pa.array([END], pa.binary())])
+                yield pa.RecordBatch.from_arrays([words, pa.concat_arrays([seen.field("counts"), pa.array([len(texts)], pa.int64())])], ["word", "n"])
 
     return docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
 
@@ -180,12 +195,30 @@ def start_weights(words: Words, embed: int = EMBED, hidden: int = HIDDEN) -> dic
     }
 
 
-def step(p: dict[str, np.ndarray], xw: np.ndarray, h: np.ndarray, gates: np.ndarray, candidate: np.ndarray, past: np.ndarray) -> np.ndarray:
+class Room:
+    """Arrays by name that are used again, as fresh memory of this size costs more than what is computed in it."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, kind: np.dtype, *shape: int) -> np.ndarray:
+        """An array with any content, the caller's until the name is asked for again."""
+        size = prod(shape)
+        have = self.held.get(name)
+        if have is None or have.size < size or have.dtype != kind:
+            have = self.held[name] = np.empty(size, dtype=kind)
+        return have[:size].reshape(shape)
+
+
+def step(
+    p: dict[str, np.ndarray], xw: np.ndarray, h: np.ndarray, gates: np.ndarray, candidate: np.ndarray, past: np.ndarray,
+    hu: np.ndarray | None = None, new: np.ndarray | None = None,
+) -> np.ndarray:
     """The new state. Arrays hold a stream per column; the gates (update, then reset), the
-    candidate and the state's part of it are written to the last three.
+    candidate and the state's part of it are written to the three after h, the state through its weights and the new state to the last.
     """
     k = len(h)
-    hu = p["u"].T @ h
+    hu = np.matmul(p["u"].T, h, out=hu)
     np.add(xw[: 2 * k], hu[: 2 * k], out=gates)
     np.negative(gates, out=gates)
     np.exp(gates, out=gates)
@@ -195,18 +228,35 @@ def step(p: dict[str, np.ndarray], xw: np.ndarray, h: np.ndarray, gates: np.ndar
     np.multiply(gates[k:], past, out=candidate)
     candidate += xw[2 * k :]
     np.tanh(candidate, out=candidate)
-    new = h - candidate
+    new = np.subtract(h, candidate, out=new)
     new *= gates[:k]
     new += candidate
     return new
 
 
-def softmax(x: np.ndarray) -> np.ndarray:
-    """Probabilities of each column, in place."""
-    x -= x.max(0)
-    np.exp(x, out=x)
-    x /= x.sum(0)
-    return x
+def with_bias(w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Output weights with their biases as a last input, which is always 1."""
+    return np.concatenate([w, b[..., None, :]], axis=-2)
+
+
+def parts_of(states: np.ndarray, w: np.ndarray, runs: list[tuple[int, slice]], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
+    """(sums, what was taken off) for each row of states, whose probabilities are parts / sums; each run of rows has weights of its own.
+
+    The largest output is taken off only where sums would leave the range of the numbers.
+    """
+    for c, at in runs:
+        np.matmul(states[at], w[c], out=parts[at])
+    with np.errstate(over="ignore"):
+        np.exp(parts, out=parts)
+    sums = parts @ np.ones(parts.shape[1], dtype=parts.dtype)
+    if sums.min() > 1e-20 and sums.max() < 1e20:
+        return sums, 0.0
+    for c, at in runs:
+        np.matmul(states[at], w[c], out=parts[at])
+    off = parts.max(1)
+    parts -= off[:, None]
+    np.exp(parts, out=parts)
+    return parts.sum(1), off
 
 
 def by_value(x: np.ndarray, values: int) -> np.ndarray:
@@ -214,110 +264,167 @@ def by_value(x: np.ndarray, values: int) -> np.ndarray:
     return np.argsort(x.astype(np.uint16) if values <= 1 << 16 else x, kind="stable")
 
 
+def in_rows(group: np.ndarray, groups: int) -> Iterator[tuple[slice, list[tuple[int, slice]]]]:
+    """(rows, runs of one group in them as (group, rows counted from the first)) of sorted groups, ROWS rows at a time."""
+    edges = np.searchsorted(group, np.arange(groups + 1)).tolist()
+    for at in range(0, len(group), ROWS):
+        to = min(at + ROWS, len(group))
+        found = range(int(group[at]), int(group[to - 1]) + 1)
+        runs = [(c, slice(max(edges[c], at) - at, min(edges[c + 1], to) - at)) for c in found if edges[c] < edges[c + 1]]
+        yield slice(at, to), runs
+
+
 def target_logs(p: dict[str, np.ndarray], hidden: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log probability of each target item; hidden states are columns."""
+    states = np.ones((len(target), len(hidden) + 1), dtype=hidden.dtype)
+    states[:, :-1] = hidden.T
+    return state_logs(with_bias(p["class_w"], p["class_b"]), with_bias(p["item_w"], p["item_b"]), states, target, Room())
 
-    def logs(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-        x -= x.max(0)
-        found = x[at, np.arange(len(at))].astype(np.float64)
-        return found - np.log(np.exp(x, out=x).sum(0))
 
-    classes = len(p["class_b"])
-    group, place = target // CLASS_SIZE, target % CLASS_SIZE
-    order = by_value(group, classes)
-    edges = np.searchsorted(group[order], np.arange(classes + 1))
-    sorted_, place = np.take(hidden, order, axis=1), place[order]
-    found = logs(p["class_w"].T @ sorted_ + p["class_b"][:, None], group[order])
-    for c in np.flatnonzero(np.diff(edges)):
-        at = slice(edges[c], edges[c + 1])
-        found[at] += logs(p["item_w"][c].T @ sorted_[:, at] + p["item_b"][c][:, None], place[at])
+def state_logs(class_w: np.ndarray, item_w: np.ndarray, states: np.ndarray, target: np.ndarray, room: Room) -> np.ndarray:
+    """Natural log probability of each target item; a row of states ends with 1, weights have their biases."""
+    kind, wide, classes = states.dtype, states.shape[1], len(item_w)
+    order = by_value(target // CLASS_SIZE, classes)
+    states = np.take(states, order, axis=0, out=room("sorted", kind, len(order), wide), mode="clip")
+    target = target[order]
+    group = target // CLASS_SIZE
+    found = np.zeros(len(target))
+    sums = room("sums", kind, len(target))
+
+    def add(w: np.ndarray, at: slice, runs: list[tuple[int, slice]]) -> None:
+        sums[at], off = parts_of(states[at], w, runs, room("parts", kind, at.stop - at.start, w.shape[2]))
+        found[at] -= off
+
+    def add_logs(w: np.ndarray, chosen: np.ndarray) -> None:
+        by_output = w.transpose(0, 2, 1).reshape(-1, wide)
+        outputs = np.take(by_output, chosen, axis=0, out=room("chosen", kind, len(chosen), wide), mode="clip")
+        outputs *= states
+        found[...] += outputs @ np.ones(wide, dtype=kind)
+        found[...] -= np.log(sums)
+
+    for at, _ in in_rows(group, classes):
+        add(class_w[None], at, WHOLE)
+    add_logs(class_w[None], group)
+    for at, runs in in_rows(group, classes):
+        add(item_w, at, runs)
+    add_logs(item_w, target)
     out = np.empty(len(target))
     out[order] = found
     return out
 
 
-def window_slopes(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, begins: np.ndarray, valid: np.ndarray, h: np.ndarray):
+def window_slopes(
+    p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, begins: np.ndarray, valid: np.ndarray, h: np.ndarray,
+    slopes: dict[str, np.ndarray] | None = None, room: Room | None = None,
+):
     """(slopes of the summed log probability, state after the window, the sum). Arrays are (steps, streams), states (streams, size).
 
-    Inside, a column is one word of one stream, so that each gate is one block of memory.
+    Inside, a step has a block of memory with a column for each stream; the output layer has a
+    row for each word, sorted by class. Slopes are written to `slopes` if given.
     """
     steps, streams = inputs.shape
-    k, kind = h.shape[1], h.dtype
-    slopes = {name: np.zeros_like(v) for name, v in p.items()}
+    k, kind, size = h.shape[1], h.dtype, p["embed"].shape[1]
+    if slopes is None:
+        slopes = {name: np.empty_like(v) for name, v in p.items()}
+    if room is None:
+        room = Room()
     words = steps * streams
-    # each item that occurs is taken through the input weights once
-    by_input = by_value(inputs.ravel(), len(p["embed"]))
-    ordered = inputs.ravel()[by_input]
-    new_item = np.append(True, ordered[1:] != ordered[:-1])
-    used, first = ordered[new_item], np.flatnonzero(new_item)
-    number = np.empty(words, dtype=np.int64)
-    number[by_input] = np.cumsum(new_item) - 1
-    embedded = p["embed"][used]
-    table = np.ascontiguousarray((embedded @ p["w"] + p["b"]).T)
-
-    # one block of memory for each step's columns
-    before, hidden, candidate, past = (np.empty((steps, k, streams), dtype=kind) for _ in range(4))
-    gates = np.empty((steps, 2 * k, streams), dtype=kind)
-    state = np.ascontiguousarray(h.T)
+
+    def blocks(name: str, rows: int) -> np.ndarray:
+        return room(name, kind, steps, rows, streams)
+
+    seen = np.take(p["embed"], inputs, axis=0, out=room("seen", kind, steps, streams, size), mode="clip")
+    xw = np.matmul(p["w"].T, seen.transpose(0, 2, 1), out=blocks("xw", 3 * k))
+    xw += p["b"][:, None]
+    before, candidate, past, gates = blocks("before", k), blocks("candidate", k), blocks("past", k), blocks("gates", 2 * k)
+    hidden = room("hidden", kind, words, k + 1)
+    hidden[:, k] = 1
+    state, hu = np.array(h.T, order="C"), room("hu", kind, 3 * k, streams)
     goes_on = (~begins).astype(kind)
-    for t, items in enumerate(number.reshape(steps, streams)):
+    for t in range(steps):
         np.multiply(state, goes_on[t], out=before[t])
-        state = hidden[t] = step(p, np.take(table, items, axis=1), before[t], gates[t], candidate[t], past[t])
+        step(p, xw[t], before[t], gates[t], candidate[t], past[t], hu, state)
+        hidden[t * streams : (t + 1) * streams, :k] = state.T
 
     target, on = targets.ravel(), valid.ravel()
     classes = len(p["class_b"])
-    group = target // CLASS_SIZE
-    order = by_value(group, classes)
+    order = by_value(target // CLASS_SIZE, classes)
     if not on.all():
         order = order[on[order]]
-    group, place, rows = group[order], (target % CLASS_SIZE)[order], np.arange(len(order))
-    edges = np.searchsorted(group, np.arange(classes + 1))
-    states = np.take(hidden.transpose(1, 0, 2).reshape(k, words), order, axis=1)
-    d = softmax(p["class_w"].T @ states + p["class_b"][:, None])
-    right = d[group, rows]
-    d[group, rows] -= 1
-    np.negative(d, out=d)
-    slopes["class_w"] += states @ d.T
-    slopes["class_b"] += d.sum(1)
-    ds = p["class_w"] @ d
-    for c in np.flatnonzero(np.diff(edges)):
-        at = slice(edges[c], edges[c + 1])
-        d = softmax(p["item_w"][c].T @ states[:, at] + p["item_b"][c][:, None])
-        here = rows[: edges[c + 1] - edges[c]]
-        right[at] *= d[place[at], here]
-        d[place[at], here] -= 1
-        np.negative(d, out=d)
-        slopes["item_w"][c] = states[:, at] @ d.T
-        slopes["item_b"][c] = d.sum(1)
-        ds[:, at] += p["item_w"][c] @ d
+    target = target[order]
+    group, place = target // CLASS_SIZE, target % CLASS_SIZE
+    states = np.take(hidden, order, axis=0, out=room("states", kind, len(order), k + 1), mode="clip")
+    class_w, item_w = with_bias(p["class_w"], p["class_b"]), with_bias(p["item_w"], p["item_b"])
+    by_class, by_item = np.zeros_like(class_w), np.zeros_like(item_w)
+    right, ds, numbers = room("right", kind, len(order)), room("ds", kind, len(order), k), np.arange(ROWS)
+
+    def output(w: np.ndarray, chosen: np.ndarray, at: slice, runs: list[tuple[int, slice]], slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(probability of the chosen outputs, slopes of the states); the weights' are added to slope."""
+        n, outputs = at.stop - at.start, w.shape[2]
+        parts = room("parts", kind, n, outputs)
+        sums, _ = parts_of(states[at], w, runs, parts)
+        flat, chosen = parts.reshape(-1), numbers[:n] * outputs + chosen[at]
+        there = flat[chosen]
+        # an output's slope is 1 - p if it is the target, -p elsewhere: parts less their sum, times -1 / sum
+        flat[chosen] = there - sums
+        scale = (-1 / sums)[:, None]
+        scaled = np.multiply(states[at], scale, out=room("scaled", kind, n, k + 1))
+        by_state = room("by_state", kind, n, k)
+        for c, run in runs:
+            slope[c] += scaled[run].T @ parts[run]
+            np.matmul(parts[run], w[c, :-1].T, out=by_state[run])
+        by_state *= scale
+        return there / sums, by_state
+
+    for at, _ in in_rows(group, classes):
+        right[at], ds[at] = output(class_w[None], group, at, WHOLE, by_class[None])
+    for at, runs in in_rows(group, classes):
+        found, by_state = output(item_w, place, at, runs, by_item)
+        right[at] *= found
+        ds[at] += by_state
     total = float(np.log(np.maximum(right, np.finfo(kind).tiny), dtype=np.float64).sum())
-    dh = np.zeros((k, words), dtype=kind)
-    dh[:, order] = ds
+    slopes["class_w"][...], slopes["class_b"][...] = by_class[:-1], by_class[-1]
+    slopes["item_w"][...], slopes["item_b"][...] = by_item[:, :-1], by_item[:, -1]
+    dh = room("dh", kind, words, k)
+    if len(order) < words:
+        dh[...] = 0
+    dh[order] = ds
 
     # what does not depend on later steps is computed for all steps at once
     z, r = gates[:, :k], gates[:, k:]
-    by_candidate = (1 - z) * (1 - candidate * candidate)
-    by_update = (before - candidate) * z * (1 - z)
-    by_reset = past * r * (1 - r)
-    dhu = np.empty((steps, 3 * k, streams), dtype=kind)
-    dn = np.empty_like(before)
+    other = np.subtract(1, z, out=blocks("other", k))
+    by_update = np.subtract(before, candidate, out=blocks("by_update", k))
+    by_update *= z
+    by_update *= other
+    candidate *= candidate
+    by_candidate = np.subtract(1, candidate, out=candidate)
+    by_candidate *= other
+    by_reset = past
+    by_reset *= r
+    by_reset *= np.subtract(1, r, out=other)
+    # hu and xw have been used: their rooms take the slopes
+    dhu, dn = xw, other
+    g, back = np.empty((k, streams), dtype=kind), np.empty((k, streams), dtype=kind)
     onward = np.zeros((k, streams), dtype=kind)
     for t in range(steps - 1, -1, -1):
-        g = dh[:, t * streams : (t + 1) * streams] + onward
+        np.add(dh[t * streams : (t + 1) * streams].T, onward, out=g)
         np.multiply(g, by_candidate[t], out=dn[t])
         np.multiply(g, by_update[t], out=dhu[t, :k])
         np.multiply(dn[t], by_reset[t], out=dhu[t, k : 2 * k])
         np.multiply(dn[t], r[t], out=dhu[t, 2 * k :])
         g *= z[t]
-        g += p["u"] @ dhu[t]
-        onward = g * goes_on[t]
-    slopes["u"] += (before @ dhu.transpose(0, 2, 1)).sum(0)
+        g += np.matmul(p["u"], dhu[t], out=back)
+        np.multiply(g, goes_on[t], out=onward)
+    turned = dhu.transpose(0, 2, 1)
+    slopes["u"][...] = np.matmul(before, turned).sum(0)
     dhu[:, 2 * k :] = dn
-    per_item = np.add.reduceat(np.take(dhu.transpose(1, 0, 2).reshape(3 * k, words), by_input, axis=1), first, axis=1)
-    slopes["b"] += per_item.sum(1)
-    slopes["w"] += (per_item @ embedded).T
-    slopes["embed"][used] = (p["w"] @ per_item).T
-    return slopes, np.ascontiguousarray(state.T), total
+    slopes["b"][...] = dhu.sum(2).sum(0)
+    slopes["w"][...] = np.matmul(dhu, seen).sum(0).T
+    by_seen = np.matmul(turned, p["w"].T, out=room("by_seen", kind, steps, streams, size))
+    places = np.add(inputs.reshape(-1, 1) * size, np.arange(size), out=room("places", np.dtype(np.int64), words, size))
+    slopes["embed"][...] = 0
+    np.add.at(slopes["embed"].reshape(-1), places.ravel(), by_seen.ravel())
+    return slopes, state.T.copy(), total
 
 
 def in_pieces(texts: Iterable[np.ndarray]) -> Iterator[np.ndarray]:
@@ -371,9 +478,10 @@ def train_pass(p: dict[str, np.ndarray], texts: Iterable[np.ndarray], rate: floa
     names = list(p)
     flat = np.concatenate([p[name].ravel() for name in names])
     edges = np.cumsum([0] + [p[name].size for name in names])
-    # the weights by name are views of one vector, which each step changes
-    p = {name: flat[a:b].reshape(p[name].shape) for name, a, b in zip(names, edges, edges[1:], strict=False)}
-    mean, square = np.zeros_like(flat), np.zeros_like(flat)
+    mean, square, slope = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat)
+    # weights and slopes by name are views of one vector each, which each step changes
+    p, slopes = ({name: x[a:b].reshape(p[name].shape) for name, a, b in zip(names, edges, edges[1:], strict=False)} for x in (flat, slope))
+    room, changed = Room(), np.empty(min(len(flat), STEPPED), dtype=flat.dtype)
     i = 0
     for run in in_chunks(in_pieces(texts)):
         inputs, targets, begins, valid = in_streams(run)
@@ -383,28 +491,39 @@ def train_pass(p: dict[str, np.ndarray], texts: Iterable[np.ndarray], rate: floa
             # streams that have ended take no part
             on = np.flatnonzero(valid[t])
             part = (slice(t, t + WINDOW), on)
-            slopes, h[on], _ = window_slopes(p, inputs[part], targets[part], begins[part], valid[part], h[on])
+            _, h[on], _ = window_slopes(p, inputs[part], targets[part], begins[part], valid[part], h[on], slopes, room)
             n = max(1, int(valid[part].sum()))
-            slope = np.concatenate([slopes[name].ravel() for name in names])
-            slope *= np.float32(min(1.0, 1.0 / max(float(np.sqrt(slope @ slope)) / n, 1e-9)) / n)
-            mean += np.float32(0.1) * (slope - mean)
-            slope *= slope
-            slope -= square
-            square += np.float32(0.01) * slope
-            change = np.sqrt(square)
-            change += np.float32(1e-6)
-            np.divide(mean, change, out=change)
-            change *= np.float32(rate * np.sqrt(1 - 0.99**i) / (1 - 0.9**i))
-            flat += change
+            scale = np.float32(min(1.0, 1.0 / max(float(np.sqrt(slope @ slope)) / n, 1e-9)) / n)
+            ahead = np.float32(rate * np.sqrt(1 - 0.99**i) / (1 - 0.9**i))
+            for a in range(0, len(flat), STEPPED):
+                s, m, q = slope[a : a + STEPPED], mean[a : a + STEPPED], square[a : a + STEPPED]
+                change = changed[: len(s)]
+                s *= scale
+                np.subtract(s, m, out=change)
+                change *= np.float32(0.1)
+                m += change
+                s *= s
+                s -= q
+                s *= np.float32(0.01)
+                q += s
+                np.sqrt(q, out=change)
+                change += np.float32(1e-6)
+                np.divide(m, change, out=change)
+                change *= ahead
+                flat[a : a + STEPPED] += change
     return p
 
 
-def items_of(words: Words, text: str | None) -> tuple[np.ndarray, list[bytes]]:
-    """(rank of each word and of the end, -1 where unknown; the words)."""
-    found = words_of(text)
-    found.append(END)
-    get = words.rank.get
-    return np.array([get(w, -1) for w in found], dtype=np.int32), found
+def items_of(words: Words, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(rank of each word and each text's end, -1 where unknown; where texts begin and the last ends; the unknown words; their texts)."""
+    found, size = words_of(texts)
+    place = pc.fill_null(pc.index_in(found, value_set=pa.array(words.rank, pa.binary())), -1).to_numpy(zero_copy_only=False)
+    unknown = place < 0
+    ranks = np.where(unknown, -1, np.fromiter(words.rank.values(), np.int32, len(words.rank))[place])
+    owners = np.repeat(np.arange(len(size)), size)[unknown]
+    ends = np.cumsum(size)
+    with_ends = np.insert(ranks, ends, words.rank[END]).astype(np.int32)
+    return with_ends, np.append(0, ends + np.arange(1, len(size) + 1)), found.filter(pa.array(unknown)), owners
 
 
 def as_items(rank: np.ndarray, words: Words) -> np.ndarray:
@@ -418,14 +537,23 @@ def training_items(docs: DataFrame, words: Words, shards: int, parts: int = 1) -
 
     def to_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = unpacked(shipped)
+
+        def stored(texts: pa.Array) -> pa.Array:
+            rank, edges, _, _ = items_of(known, texts)
+            data = as_items(rank, known).astype(np.int32)
+            return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((edges * data.itemsize).astype(np.int32)), pa.py_buffer(data)])
+
         for batch in batches:
-            data = [as_items(items_of(known, t.as_py())[0], known).astype(np.int32).tobytes() for t in batch.column("text")]
             seen: Counter[int] = Counter()
-            again = []
-            for k in batch.column("k").to_pylist():
-                again.append(seen[k])
-                seen[k] += 1
-            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(again, pa.int64()), pa.array(data, pa.binary())], ["k", "again", "items"])
+            at = 0
+            for texts in in_slices(batch.column("text")):
+                key = batch.column("k").slice(at, len(texts))
+                again = []
+                for k in key.to_pylist():
+                    again.append(seen[k])
+                    seen[k] += 1
+                yield pa.RecordBatch.from_arrays([key, pa.array(again, pa.int64()), stored(texts)], ["k", "again", "items"])
+                at += len(texts)
 
     rows = docs.select(order.alias("k"), "text").mapInArrow(to_items, "k long, again long, items binary")
     part = F.pmod(F.pmod(F.shiftright("k", 20), F.lit(parts)) + F.floor(F.col("again") / shards), F.lit(parts))
@@ -510,36 +638,42 @@ def likelihoods(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray
     """
     size = np.array([len(t) for t in texts], dtype=np.int64)
     order = np.argsort(-size, kind="stable")
-    xw = np.ascontiguousarray((p["embed"] @ p["w"] + p["b"]).T)
+    outputs, room = (with_bias(p["class_w"], p["class_b"]), with_bias(p["item_w"], p["item_b"])), Room()
     out = np.zeros(len(texts))
     for at in range(0, len(texts), SIDE_BY_SIDE):
         group = order[at : at + SIDE_BY_SIDE]
-        out[group] = side_by_side(p, xw, [texts[i] for i in group], size[group])
+        out[group] = side_by_side(p, outputs, [texts[i] for i in group], size[group], room)
     return out / np.log(10)
 
 
-def side_by_side(p: dict[str, np.ndarray], xw: np.ndarray, texts: list[np.ndarray], size: np.ndarray) -> np.ndarray:
-    """Summed natural log probability of each text; the longest come first."""
+def side_by_side(p: dict[str, np.ndarray], outputs: tuple[np.ndarray, np.ndarray], texts: list[np.ndarray], size: np.ndarray, room: Room) -> np.ndarray:
+    """Summed natural log probability of each text; the longest come first. `outputs`: class and item weights with biases."""
     out = np.zeros(len(texts))
     begin = np.cumsum(size) - size
     items = np.concatenate(texts)
-    active = np.searchsorted(-size, -np.arange(size[0]), "left")
-    k = p["u"].shape[0]
-    h = np.zeros((k, len(texts)), dtype=xw.dtype)
-    gates, candidate, past = (np.empty((n, len(texts)), dtype=xw.dtype) for n in (2 * k, k, k))
+    active = np.searchsorted(-size, -np.arange(size[0]), "left").tolist()
+    (wide, k), kind = (p["embed"].shape[1], p["u"].shape[0]), p["u"].dtype
+    state = np.zeros((k, len(texts)), dtype=kind)
     last = np.zeros(len(texts), dtype=np.int64)
-    held = np.empty((k, HELD + len(texts)), dtype=xw.dtype)
+    held = room("held", kind, HELD + len(texts), k + 1)
+    held[:, k] = 1
+    bias = p["b"][:, None]
     goals, owners, n = [], [], 0
     for t, m in enumerate(active):
-        h = step(p, np.take(xw, last[:m], axis=1), h[:, :m], gates[:, :m], candidate[:, :m], past[:, :m])
+        seen = np.take(p["embed"], last[:m], axis=0, out=room("seen", kind, m, wide), mode="clip")
+        xw = np.matmul(p["w"].T, seen.T, out=room("xw", kind, 3 * k, m))
+        xw += bias
+        if m < state.shape[1]:
+            state = state[:, :m].copy()
+        step(p, xw, state, room("gates", kind, 2 * k, m), room("candidate", kind, k, m), room("past", kind, k, m), room("hu", kind, 3 * k, m), state)
         last = items[begin[:m] + t]
-        held[:, n : n + m] = h
+        held[n : n + m, :k] = state.T
         goals.append(last)
         owners.append(m)
         n += m
         if n >= HELD or t + 1 == len(active):
             who = np.arange(n) - np.repeat(np.cumsum(owners) - owners, owners)
-            out += np.bincount(who, weights=target_logs(p, held[:, :n], np.concatenate(goals)), minlength=len(texts))
+            out += np.bincount(who, weights=state_logs(*outputs, held[:n], np.concatenate(goals), room), minlength=len(texts))
             goals, owners, n = [], [], 0
     return out
 
@@ -558,27 +692,26 @@ def score(docs: DataFrame) -> DataFrame:
         known, p = unpacked(shipped)
         base, tail = known.base(known.count), known.within_tail(known.count)
         for batch in batches:
-            items, size, sure, lows, inner = [], [], [], [], []
-            rare, times, ends = [], [], [0]
-            for text in batch.column("text"):
-                rank, found = items_of(known, text.as_py())
-                items.append(as_items(rank, known))
-                there = rank[rank >= 0]
-                size.append(len(rank))
-                sure.append(int((known.count[there] > 0).sum()))
-                lows.append(float(base[there].sum()))
-                inner.append(float(tail[there[there >= known.head]].sum()))
-                unknown = Counter(found[i] for i in np.flatnonzero(rank < 0))
-                rare += unknown.keys()
-                times += unknown.values()
-                ends.append(len(rare))
-            logs = likelihoods(p, items)
-            pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(sure, pa.int64()), pa.array(lows, pa.float64()), pa.array(logs + np.array(inner)), lists],
-                ["doc_id", "n_tokens", "n_known", "base", "model", "rare"],
-            )
+            at = 0
+            for texts in in_slices(batch.column("text")):
+                rank, edges, rare, owners = items_of(known, texts)
+                begin, there = edges[:-1], rank >= 0
+                sure = np.add.reduceat((there & (known.count[rank] > 0)).astype(np.int64), begin)
+                lows = np.add.reduceat(np.where(there, base[rank], 0.0), begin)
+                inner = np.add.reduceat(np.where(rank >= known.head, tail[rank], 0.0), begin)
+                logs = likelihoods(p, np.split(as_items(rank, known), edges[1:-1]))
+                # each unknown word of a text once, with its times there
+                coded = rare.dictionary_encode()
+                different = max(1, len(coded.dictionary))
+                pairs, times = np.unique(owners * different + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+                ends = np.searchsorted(pairs, np.arange(len(texts) + 1) * different)
+                pairs = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(pairs % different)), pa.array(times, pa.int64())], ["word", "n"])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, len(texts)), pa.array(np.diff(edges)), pa.array(sure), pa.array(lows), pa.array(logs + inner), lists],
+                    ["doc_id", "n_tokens", "n_known", "base", "model", "rare"],
+                )
+                at += len(texts)
 
     schema = "doc_id long, n_tokens long, n_known long, base double, model double, rare array<struct<word binary, n long>>"
     scored = stage(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))

@@ -3,11 +3,13 @@
 import collections
 import json
 import math
+import tracemalloc
 import zlib
 from dataclasses import replace
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import SCHEMA, frame, prose, words
 
@@ -225,6 +227,80 @@ def test_scoring_without_training_rows(spark):
     assert gru.score(empty(spark)).count() == 0
 
 
+def test_windows_use_their_memory_again():
+    """After the first window of a pass the next ones ask for little: fresh memory took a third of the training."""
+    random = np.random.default_rng(7)
+    vocabulary = small_words()
+    texts = [random.integers(0, vocabulary.items, 300).astype(np.int32) for _ in range(2000)]
+
+    def most(windows):
+        begun, asked = [], []
+
+        def counted(*args):
+            if len(begun) == windows:
+                tracemalloc.start()
+            begun.append(1)
+            got = original(*args)
+            if tracemalloc.is_tracing():
+                asked.append(tracemalloc.get_traced_memory()[1])
+                tracemalloc.stop()
+            return got
+
+        original = gru.window_slopes
+        gru.window_slopes = counted
+        try:
+            gru.train_pass(gru.start_weights(vocabulary), iter(texts))
+        finally:
+            gru.window_slopes = original
+        return asked[0]
+
+    assert most(5) < 2_000_000
+
+
+def test_outputs_beyond_the_range_of_numbers():
+    """Outputs of some hundred, whose powers no float32 holds, have finite slopes and logs."""
+    vocabulary = small_words()
+    random = np.random.default_rng(8)
+    p = gru.start_weights(vocabulary)
+    p["class_b"] = p["class_b"] + np.float32(300)
+    p["item_b"][0, :10] -= 400
+    p["item_b"][1] -= 250
+    hidden = random.normal(size=(gru.HIDDEN, vocabulary.items)).astype(np.float32) * np.float32(0.2)
+    target = np.arange(vocabulary.items)
+    logs = gru.target_logs(p, hidden, target)
+    wide = {k: v.astype(np.float64) for k, v in p.items()}
+    by_class = hidden.T @ wide["class_w"] + wide["class_b"]
+    for i in target:
+        c, j = divmod(i, gru.CLASS_SIZE)
+        by_item = hidden[:, i] @ wide["item_w"][c] + wide["item_b"][c]
+        want = by_class[i, c] - np.logaddexp.reduce(by_class[i]) + by_item[j] - np.logaddexp.reduce(by_item)
+        assert logs[i] == pytest.approx(want, rel=1e-4, abs=1e-3)
+    shape = (10, 6)
+    inputs, targets = random.integers(0, vocabulary.items, shape), random.integers(0, vocabulary.items, shape)
+    slopes, _, total = gru.window_slopes(p, inputs, targets, np.zeros(shape, bool), np.ones(shape, bool), np.zeros((6, gru.HIDDEN), np.float32))
+    assert math.isfinite(total) and all(np.isfinite(v).all() for v in slopes.values())
+
+
+def test_words_of_odd_texts(monkeypatch):
+    """Words cut from many texts at once are those of each text, however few bytes are taken at a time."""
+    texts = ["", None, " ", "a", "\t A  b\n", "\x0b\x0cX\x1cY c\u00a0d \u0130K \u212a \u00c9", "\x1d \x85", "zz zz Zz yy \x00", "The " * 50, None]
+    for size in (1, 20, 1 << 24):
+        monkeypatch.setattr(gru, "TEXT_BYTES", size)
+        got, count = [], 0
+        for part in gru.in_slices(pa.array(texts, pa.string())):
+            found, sizes = gru.words_of(part)
+            ends = np.append(0, np.cumsum(sizes))
+            got += [found[a:b].to_pylist() for a, b in zip(ends, ends[1:], strict=False)]
+            count += 1
+        assert got == [tokens(t)[:-1] for t in texts]
+        assert (count == 1) == (size > 1000)
+    ranked = {b"": 0, b"the": 2, b"zz": 1}
+    vocabulary = gru.Words(ranked, np.array([5.0, 4.0, 3.0]), 2, 12, 3, 3, 1)
+    rank, edges, rare, owners = gru.items_of(vocabulary, pa.array(["zz Q the", "", "q q"]))
+    assert rank.tolist() == [1, -1, 2, 0, 0, -1, -1, 0] and edges.tolist() == [0, 4, 5, 8]
+    assert rare.to_pylist() == [b"q"] * 3 and owners.tolist() == [0, 2, 2]
+
+
 # ---- op2
 
 
