@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postline.llm.common import stage
+from postline.llm.common import by_sorting, stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -42,11 +42,11 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Tie every larger neighbour of a node to the node's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return _clean(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+    return _clean(both.join(by_sorting(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Tie a node and its smaller neighbours to the smallest of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = edges.join(by_sorting(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _clean(moved.unionByName(least.select("a", F.col("m").alias("b"))))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postline.llm.common import ship, stage, unpacked
+from postline.llm.common import by_sorting, ship, stage, unpacked
 from postline.llm.components import components
 
 COSINE = 0.95
@@ -164,11 +164,11 @@ def candidates(codes: DataFrame, parts: list[tuple[int, int, int]], bits: int) -
     """(a, b): pairs that meet in a table and whose codes are near, each once."""
     placed = meetings(codes, parts)
     shared = placed.groupBy("table", "bit", "rest").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    placed = stage(placed.join(shared, ["table", "bit", "rest"]))
+    placed = stage(placed.join(by_sorting(shared), ["table", "bit", "rest"]))
     names = [c for c in codes.columns if c != "node"]
     other = placed.select("table", "bit", "rest", F.col("node").alias("b"), *(F.col(c).alias(f"{c}_b") for c in names))
     apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in names), F.lit(0))
-    pairs = placed.join(other, ["table", "bit", "rest"])
+    pairs = placed.join(by_sorting(other), ["table", "bit", "rest"])
     return pairs.where((F.col("node") < F.col("b")) & first_meeting(parts) & (apart <= int(FAR * bits * len(names)))).select(F.col("node").alias("a"), "b")
 
 
@@ -184,15 +184,30 @@ def near(pairs: DataFrame, vectors: DataFrame, cosine: float = COSINE) -> DataFr
 
     right = vectors.select(F.col("node").alias("b"), F.col("vector").alias("vector_b"))
     left = vectors.select(F.col("node").alias("a"), F.col("vector").alias("vector_a"))
-    rows = pairs.join(right, "b").join(left, "a").select("a", "b", "vector_a", "vector_b")
+    rows = pairs.join(by_sorting(right), "b").join(by_sorting(left), "a").select("a", "b", "vector_a", "vector_b")
     return rows.mapInArrow(check, "a binary, b binary")
 
 
+def low_hashes(vectors: DataFrame, rows: int, sample: int) -> DataFrame:
+    """The rows whose hashes lie in the lowest part of their range, where twice `sample` of all rows are expected."""
+    if rows <= 2 * sample:
+        return vectors
+    return vectors.where(F.xxhash64("node") < F.lit(int(2**64 * (2 * sample / rows)) - 2**63))
+
+
+def smallest_hashes(vectors: DataFrame, rows: int, sample: int) -> np.ndarray:
+    """The vectors of the `sample` smallest hashes. Each task would send so many rows, so all but the low hashes are left out before."""
+    for low in (low_hashes(vectors, rows, sample), vectors):
+        found = low.orderBy(F.xxhash64("node")).limit(sample).select("vector").toArrow()["vector"].combine_chunks()  # bounded by `sample`
+        if len(found) >= min(rows, sample):
+            break
+    return matrix(found)
+
+
 def links(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE) -> DataFrame:
     """(a, b): pairs of different vectors (node, vector), all usable and of one length."""
-    chosen = vectors.orderBy(F.xxhash64("node")).limit(sample).select("vector")
-    found = [r["vector"] for r in chosen.collect()]  # bounded by `sample`
-    known, rows = np.array(found, dtype=np.float64), vectors.count()
+    rows = vectors.count()
+    known = smallest_hashes(vectors, rows, sample)
     model = fit(known, 1)
     bits = model[1].shape[2]
     model = fit(known, codes_for(bits, rows, differing(known, model, cosine)))
@@ -219,7 +234,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     else:
         found = stage(found)
         both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        degree = both.join(slim.select(F.col("node").alias("b"), "n"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
+        degree = both.join(by_sorting(slim.select(F.col("node").alias("b"), "n")), "b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
         joined = slim.join(components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
         firsts = joined.groupBy("root").agg(F.min("least").alias("first"))
         placed = joined.join(firsts, "root").join(degree, "node", "left")

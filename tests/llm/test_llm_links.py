@@ -137,6 +137,44 @@ def test_vectors_of_few_dimensions_have_tables(bits):
         assert itq.missed(itq.tables(bits, n, itq.codes_for(bits, n, 0.1011)), 0.1011) < 0.01
 
 
+def test_no_places_of_vectors_go_through_the_driver(spark, monkeypatch):
+    """What is joined after an explode, or pairs with ids that repeat, is larger than its files: no side is broadcast, however small those are."""
+    from pyspark.sql import functions as F
+
+    from postline.llm import components as linked
+
+    random_ = np.random.default_rng(3)
+    data = np.repeat(random_.normal(size=(60, 16)), 3, axis=0) + random_.normal(size=(180, 16)) * 0.02
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, vector array<double>")
+    vectors = itq.stage(vectors.withColumn("node", F.unhex(F.md5(F.col("vec_id").cast("string")))).select("node", "vector"))
+    plans = []
+
+    def noted(frame_, *rest):
+        plans.append(frame_._jdf.queryExecution().executedPlan().toString())
+        return original(frame_, *rest)
+
+    original = itq.stage
+    monkeypatch.setattr(itq, "stage", noted)
+    monkeypatch.setattr(linked, "stage", noted)
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) >= 2**20
+    found = noted(itq.links(vectors))
+    assert found.count() >= 150
+    noted(linked.components(found)).count()
+    joins = [p for p in plans if "Join" in p]
+    assert len(joins) >= 4 and not any("Broadcast" in p for p in joins)
+
+
+def test_few_vectors_are_sent_for_the_sample(spark):
+    """The sample is that of the smallest hashes, of rows that are few before tasks send them."""
+    from pyspark.sql import functions as F
+
+    vectors = spark.range(20_000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("node"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"))
+    want = [r["vector"] for r in vectors.orderBy(F.xxhash64("node")).limit(100).collect()]
+    assert itq.smallest_hashes(vectors, 20_000, 100).tolist() == want
+    assert 100 <= itq.low_hashes(vectors, 20_000, 100).count() <= 300
+    assert len(itq.smallest_hashes(vectors.limit(150), 150, 100)) == 100
+
+
 # ---- op5
 
 
