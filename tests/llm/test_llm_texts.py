@@ -384,6 +384,57 @@ def test_long_texts_are_split_without_a_trace(monkeypatch):
 # ---- op3
 
 
+def test_no_character_is_taken_for_another():
+    """A text can be read back from its symbols, so none of it is left out."""
+    spelling = kneser_ney.with_marks()
+    points = np.array([c for c in range(0x110000) if not 0xD800 <= c < 0xE000])
+    text = "".join(map(chr, points.tolist()))
+    symbols, edges = spelling.line(text)
+    rows = [bytes(symbols[a:b].tolist()) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    assert len(set(rows)) == len(points) and max(map(len, rows)) == kneser_ney.LONGEST and symbols.max() < kneser_ney.SYMBOLS
+    whose = dict(zip(rows, text, strict=True))
+    mixed = "".join(text[i] for i in np.random.default_rng(2).permutation(len(text))[:5000]) + "AbC ÀÉé 12\n漢\tß😀 a\u0301á"
+    left, read, at = bytes(spelling.line(mixed)[0].tolist()), [], 0
+    while at < len(left):
+        end = max(n for n in range(1, kneser_ney.LONGEST + 1) if left[at : at + n] in whose)
+        read.append(whose[left[at : at + end]])
+        at += end
+    assert "".join(read) == mixed
+
+
+def test_spelled_texts_are_split_without_a_trace(monkeypatch):
+    symbols = kneser_ney.with_marks()
+    texts = ["", "Ab 12", "é漢 😀X\n" * 40 + prose(90, 8), "", "C" * 300, ""]
+
+    def by_row():
+        out = [[] for _ in texts]
+        for row, gram in kneser_ney.grams(texts, symbols):
+            for r, g in zip(row.tolist(), gram.tolist(), strict=True):
+                out[r].append(g)
+        return out
+
+    whole = by_row()
+    for text, found in zip(texts, whole, strict=True):
+        line = [0, 0, 0, *symbols.line(text)[0].tolist()]
+        assert found == [sum(line[i + 3 - k] << (6 * k) for k in range(4)) for i in range(len(line) - 3)]
+    monkeypatch.setattr(kneser_ney, "AT_ONCE", 100)
+    assert by_row() == whole
+
+
+def test_capitals_and_other_alphabets_are_told_apart(spark, real):
+    """Noise of capitals or other letters is no prose, and texts that differ in capitals alone differ."""
+    import random
+
+    r = random.Random(4)
+    alphabets = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "".join(map(chr, range(0x4E00, 0x5A00))), "".join(map(chr, range(0x3B1, 0x3C9)))]
+    noise = [(10_000 + i, " ".join("".join(r.choice(a) for _ in range(7)) for _ in range(200)), "en") for i, a in enumerate(alphabets)]
+    capitals = [(20_000, "ABBA " * 30, "en"), (20_001, "BOXY " * 30, "en")]
+    data = real.where("lang = 'en'").select("doc_id", "text", "lang").unionByName(spark.createDataFrame(noise + capitals, "doc_id long, text string, lang string"))
+    got = {x["doc_id"]: x for x in perplexity.quality_rules(data).where("doc_id >= 10000").collect()}
+    assert all(got[i]["perplexity"] > 20 and not got[i]["base_failed"] and not got[i]["kept"] for i, _, _ in noise)
+    assert got[20_000]["perplexity"] != pytest.approx(got[20_001]["perplexity"], rel=1e-3)
+
+
 def brute_counts(text):
     import re
 
